@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The library's scope is bounded batch classification (kNN, PCA, logistic regression,
+random forest, evaluation). There is no stream, watermark, or stateful operator to build.
+"""
