@@ -53,8 +53,9 @@ def norm(a: ColumnOrName) -> Column:
 
 
 def squared_euclidean(a: ColumnOrName, b: ColumnOrName) -> Column:
-    return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: (x - y) * (x - y)), F.lit(0.0),
-                       lambda acc, x: acc + x)
+    """Sum of squared differences, summed left to right."""
+    return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x - y), F.lit(0.0),
+                       lambda acc, d: acc + d * d)
 
 
 def euclidean(a: ColumnOrName, b: ColumnOrName) -> Column:

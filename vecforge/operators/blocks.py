@@ -19,7 +19,11 @@ from pyspark.sql import functions as F
 # Block sizing bounds.
 MAX_BLOCK_CELLS = 1 << 21      # rows * dims of one block (16 MiB of doubles)
 MAX_BLOCK_ROWS = 8192
-MIN_BLOCK_ROWS = 256
+MIN_QUERY_BLOCK_ROWS = 16
+# Multiply-adds one grid cell should at least carry before the grid is split further for
+# parallelism: BLAS scores ~1e9/s per core, interpreted higher-order functions ~1e7/s.
+MIN_CELL_WORK = {"block": 1 << 27, "native": 1 << 20}
+MAX_PARTITIONS_PER_SLOT = 4
 
 
 @dataclass(frozen=True)
@@ -31,21 +35,28 @@ class BlockGrid:
     def cells(self) -> int:
         return self.query_blocks * self.ref_blocks
 
+    def partitions(self, parallelism: int) -> int:
+        """Shuffle partitions for the cell exchange: one per cell, at most a few per task slot."""
+        return max(1, min(self.cells, MAX_PARTITIONS_PER_SLOT * max(1, parallelism)))
+
 
 def plan_grid(n_query: int, n_ref: int, dims: int, parallelism: int,
-              max_block_rows: int | None = None) -> BlockGrid:
-    """Choose block counts from row counts and width, not constants.
+              max_block_rows: int | None = None, method: str = "block") -> BlockGrid:
+    """Choose block counts from row counts, width and the work per cell, not constants.
 
-    Blocks hold at most ``max_block_rows`` rows (bounded by memory per task). When the grid
-    has fewer cells than task slots, the query side is split further (down to
-    ``MIN_BLOCK_ROWS`` rows per block), which only costs extra copies of the smaller blocks.
+    Blocks hold at most ``max_block_rows`` rows (memory per task). If the whole product is
+    cheap it stays in one cell (fewest tasks); if it is expensive but has fewer cells than
+    about two per task slot, the query side is split further - each extra query block costs
+    one more copy of a reference block, and no merge step.
     """
-    cap = max_block_rows or max(MIN_BLOCK_ROWS, min(MAX_BLOCK_ROWS, MAX_BLOCK_CELLS // max(dims, 1)))
+    cap = max_block_rows or max(MIN_QUERY_BLOCK_ROWS, min(MAX_BLOCK_ROWS, MAX_BLOCK_CELLS // max(dims, 1)))
     bq = max(1, math.ceil(n_query / cap))
     br = max(1, math.ceil(n_ref / cap))
-    if bq * br < parallelism:
-        most_q = max(1, math.ceil(n_query / MIN_BLOCK_ROWS))
-        bq = max(bq, min(most_q, math.ceil(parallelism / br)))
+    work = n_query * n_ref * max(dims, 1)
+    wanted = max(1, min(2 * parallelism, math.ceil(work / MIN_CELL_WORK[method])))
+    if bq * br < wanted:
+        most_q = max(1, math.ceil(n_query / MIN_QUERY_BLOCK_ROWS))
+        bq = max(bq, min(most_q, math.ceil(wanted / br)))
     return BlockGrid(bq, br)
 
 
@@ -64,10 +75,15 @@ def replicate(blocks: int) -> Column:
 
 
 def lay_out(query: DataFrame, ref: DataFrame, grid: BlockGrid,
-            query_id: str, ref_id: str) -> tuple[DataFrame, DataFrame]:
-    """Tag both sides with ``(qb, rb)`` grid coordinates."""
+            query_id: str, ref_id: str, partitions: int) -> tuple[DataFrame, DataFrame]:
+    """Tag both sides with ``(qb, rb)`` grid coordinates and co-partition them by cell.
+
+    The explicit partition count keeps adaptive execution from merging cells whose shuffle
+    bytes are small but whose compute is not; both sides share it, so the cogroup or join
+    that follows needs no further exchange.
+    """
     q = (query.withColumn("qb", block_of(F.col(query_id), grid.query_blocks))
          .withColumn("rb", replicate(grid.ref_blocks)))
     r = (ref.withColumn("rb", block_of(F.col(ref_id), grid.ref_blocks))
          .withColumn("qb", replicate(grid.query_blocks)))
-    return q, r
+    return q.repartition(partitions, "qb", "rb"), r.repartition(partitions, "qb", "rb")

@@ -199,21 +199,32 @@ def _output_schema(q: DataFrame, r: DataFrame, metric: str, carry: list[str]) ->
     return T.StructType(fields)
 
 
-def _dims(frame: DataFrame, vec: str) -> int:
-    row = frame.select(F.size(vec).alias("d")).filter(F.col("d") >= 0).first()
-    return int(row["d"]) if row else 1
+def _side_stats(q: DataFrame, r: DataFrame) -> tuple[int, int, int]:
+    """Row counts of both sides and the vector width, in one job."""
+    both = (q.select(F.lit(0).alias("side"), F.size("qv").alias("d"))
+            .unionByName(r.select(F.lit(1).alias("side"), F.size("tv").alias("d"))))
+    rows = {row["side"]: row for row in both.groupBy("side").agg(
+        F.count(F.lit(1)).alias("n"), F.max("d").alias("d")).collect()}
+    n_q = int(rows[0]["n"]) if 0 in rows else 0
+    n_r = int(rows[1]["n"]) if 1 in rows else 0
+    dims = max([int(rows[s]["d"] or 0) for s in rows] or [1])
+    return n_q, n_r, dims
+
+
+def choose_grid(q: DataFrame, r: DataFrame, method: str = "block",
+                max_block_rows: int | None = None) -> BlockGrid:
+    """Block counts from the two row counts and the vector width (one small job)."""
+    parallelism = q.sparkSession.sparkContext.defaultParallelism
+    n_q, n_r, dims = _side_stats(q, r)
+    return plan_grid(n_q, n_r, dims, parallelism, max_block_rows, method)
 
 
-def choose_grid(test: DataFrame, train: DataFrame, vec: str = "vec",
-                max_block_rows: int | None = None) -> BlockGrid:
-    """Block counts from the two row counts and the vector width (three small jobs)."""
-    spark = test.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
-    return plan_grid(test.count(), train.count(), _dims(train, vec), parallelism, max_block_rows)
+def _parallelism(frame: DataFrame) -> int:
+    return frame.sparkSession.sparkContext.defaultParallelism
 
 
 def _block_cells(q, r, grid, k, metric, keep_ties, carry):
-    q2, r2 = lay_out(q, r, grid, "qid", "tid")
+    q2, r2 = lay_out(q, r, grid, "qid", "tid", grid.partitions(_parallelism(q)))
     schema = _output_schema(q, r, metric, carry)
     fn = _cell_function(k, metric, keep_ties, carry)
     return (q2.groupBy("qb", "rb").cogroup(r2.groupBy("qb", "rb"))
@@ -221,13 +232,16 @@ def _block_cells(q, r, grid, k, metric, keep_ties, carry):
 
 
 def _native_cells(q, r, grid, k, metric, keep_ties, carry):
+    parts = grid.partitions(_parallelism(q))
     blocks = (r.withColumn("rb", block_of(F.col("tid"), grid.ref_blocks))
               .groupBy("rb")
               .agg(F.collect_list(F.struct(F.col("tid").alias("id"), F.col("label").alias("label"),
                                            F.col("tv").alias("v"))).alias("blk"))
-              .withColumn("qb", replicate(grid.query_blocks)))
+              .withColumn("qb", replicate(grid.query_blocks))
+              .repartition(parts, "qb", "rb"))
     qx = (q.withColumn("qb", block_of(F.col("qid"), grid.query_blocks))
-          .withColumn("rb", replicate(grid.ref_blocks)))
+          .withColumn("rb", replicate(grid.ref_blocks))
+          .repartition(parts, "qb", "rb"))
     joined = qx.join(blocks, ["qb", "rb"])
     if metric == EUCLIDEAN:
         def scored(t):
@@ -239,7 +253,7 @@ def _native_cells(q, r, grid, k, metric, keep_ties, carry):
             # null similarity sorts after every real one (-1 <= -sim <= 1 < 2)
             return F.struct(F.coalesce(-sim, F.lit(2.0)).alias("key"), t["id"].alias("train_id"),
                             t["label"].alias("train_label"), sim.alias("similarity"))
-    ranked = F.array_sort(F.transform("blk", scored))
+    ranked = F.sort_array(F.transform("blk", scored))  # natural struct order: key, then train_id
     if keep_ties:
         kth = F.element_at(ranked, k)["key"]
         top = F.when(F.size(ranked) <= k, ranked).otherwise(F.filter(ranked, lambda x: x["key"] <= kth))
@@ -276,8 +290,7 @@ def neighbors(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN
     _check(metric, k)
     carry = list(carry)
     q, r = _inputs(test, train, test_id, train_id, vec, label, carry)
-    grid = grid or choose_grid(q.withColumnRenamed("qv", "v"), r.withColumnRenamed("tv", "v"), "v",
-                               max_block_rows)
+    grid = grid or choose_grid(q, r, method, max_block_rows)
     if method == "block":
         cells = _block_cells(q, r, grid, int(k), metric, keep_ties, carry)
     elif method == "native":
@@ -285,7 +298,9 @@ def neighbors(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN
     else:
         raise ValueError("method must be 'block' or 'native'")
     if grid.ref_blocks == 1:
-        return cells  # every query met every reference row in exactly one cell
+        # every query met every reference row in exactly one cell: already final. Hash it by
+        # test_id (n_test * k rows) so votes and sweeps downstream need no further shuffle.
+        return cells.repartition("test_id")
     if keep_ties:
         w = Window.partitionBy("test_id").orderBy(score_order(metric))
         ranked = cells.withColumn("rank", F.rank().over(w))
