@@ -60,11 +60,14 @@ def plan_grid(n_query: int, n_ref: int, dims: int, parallelism: int,
     return BlockGrid(bq, br)
 
 
-def block_of(id_col: Column, blocks: int) -> Column:
-    """Deterministic block id from a unique key (safe to recompute after executor loss)."""
+def block_of(id_col: Column, blocks: int, *spread: Column) -> Column:
+    """Deterministic block id from the row's key (safe to recompute after executor loss).
+
+    ``spread`` columns join the hash so that rows sharing a key value still scatter.
+    """
     if blocks == 1:
         return F.lit(0)
-    return F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int")
+    return F.pmod(F.xxhash64(id_col, *spread), F.lit(blocks)).cast("int")
 
 
 def replicate(blocks: int) -> Column:
@@ -75,7 +78,8 @@ def replicate(blocks: int) -> Column:
 
 
 def lay_out(query: DataFrame, ref: DataFrame, grid: BlockGrid,
-            query_id: str, ref_id: str, partitions: int) -> tuple[DataFrame, DataFrame]:
+            query_id: str, ref_id: str, partitions: int,
+            spread: tuple[Column, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Tag both sides with ``(qb, rb)`` grid coordinates and co-partition them by cell.
 
     The explicit partition count keeps adaptive execution from merging cells whose shuffle
@@ -84,6 +88,6 @@ def lay_out(query: DataFrame, ref: DataFrame, grid: BlockGrid,
     """
     q = (query.withColumn("qb", block_of(F.col(query_id), grid.query_blocks))
          .withColumn("rb", replicate(grid.ref_blocks)))
-    r = (ref.withColumn("rb", block_of(F.col(ref_id), grid.ref_blocks))
+    r = (ref.withColumn("rb", block_of(F.col(ref_id), grid.ref_blocks, *spread))
          .withColumn("qb", replicate(grid.query_blocks)))
     return q.repartition(partitions, "qb", "rb"), r.repartition(partitions, "qb", "rb")

@@ -200,15 +200,13 @@ def _output_schema(q: DataFrame, r: DataFrame, metric: str, carry: list[str]) ->
 
 
 def _side_stats(q: DataFrame, r: DataFrame) -> tuple[int, int, int]:
-    """Row counts of both sides and the vector width, in one job."""
-    both = (q.select(F.lit(0).alias("side"), F.size("qv").alias("d"))
-            .unionByName(r.select(F.lit(1).alias("side"), F.size("tv").alias("d"))))
-    rows = {row["side"]: row for row in both.groupBy("side").agg(
-        F.count(F.lit(1)).alias("n"), F.max("d").alias("d")).collect()}
-    n_q = int(rows[0]["n"]) if 0 in rows else 0
-    n_r = int(rows[1]["n"]) if 1 in rows else 0
-    dims = max([int(rows[s]["d"] or 0) for s in rows] or [1])
-    return n_q, n_r, dims
+    """Row counts of both sides and the vector width: one scan stage over both inputs and a
+    one-row global aggregate."""
+    both = (q.select(F.lit(True).alias("is_q"), F.size("qv").alias("d"))
+            .unionByName(r.select(F.lit(False).alias("is_q"), F.size("tv").alias("d"))))
+    row = both.agg(F.count_if(F.col("is_q")).alias("nq"), F.count_if(~F.col("is_q")).alias("nr"),
+                   F.max("d").alias("d")).first()
+    return int(row["nq"]), int(row["nr"]), max(1, int(row["d"] or 0))
 
 
 def choose_grid(q: DataFrame, r: DataFrame, method: str = "block",
@@ -224,7 +222,7 @@ def _parallelism(frame: DataFrame) -> int:
 
 
 def _block_cells(q, r, grid, k, metric, keep_ties, carry):
-    q2, r2 = lay_out(q, r, grid, "qid", "tid", grid.partitions(_parallelism(q)))
+    q2, r2 = lay_out(q, r, grid, "qid", "tid", grid.partitions(_parallelism(q)), (F.col("tv"),))
     schema = _output_schema(q, r, metric, carry)
     fn = _cell_function(k, metric, keep_ties, carry)
     return (q2.groupBy("qb", "rb").cogroup(r2.groupBy("qb", "rb"))
@@ -233,7 +231,7 @@ def _block_cells(q, r, grid, k, metric, keep_ties, carry):
 
 def _native_cells(q, r, grid, k, metric, keep_ties, carry):
     parts = grid.partitions(_parallelism(q))
-    blocks = (r.withColumn("rb", block_of(F.col("tid"), grid.ref_blocks))
+    blocks = (r.withColumn("rb", block_of(F.col("tid"), grid.ref_blocks, F.col("tv")))
               .groupBy("rb")
               .agg(F.collect_list(F.struct(F.col("tid").alias("id"), F.col("label").alias("label"),
                                            F.col("tv").alias("v"))).alias("blk"))
@@ -282,6 +280,7 @@ def neighbors(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN
     """The ``k`` nearest train rows of every test row.
 
     Output: ``test_id, *carry, train_id, train_label, distance|similarity, rank``.
+    Test ids must be unique (they key the per-query merge); train ids break score ties.
     ``keep_ties=False`` numbers neighbours 1..k with ``train_id`` breaking equal scores;
     ``keep_ties=True`` keeps every row whose ``rank()`` (by score only) is at most ``k``.
     ``k`` above the train size returns every train row. ``carry`` passes test columns

@@ -165,3 +165,16 @@ SELECT test_id, label, prediction FROM pred ORDER BY test_id LIMIT 10
 def first_rows(spark, sf_dir):
     """L4: the first 10 predictions by test id (a top-n report: the limit is the feature)."""
     return _knn_predictions(spark, sf_dir).orderBy("test_id").limit(10)
+
+
+@register("join_actual_prediction", f"""
+WITH {SQL_KNN_PRED}
+SELECT test_id, label, prediction FROM pred
+""")
+def join_actual_prediction(spark, sf_dir):
+    """Predictions (computed without the label) inner-joined to the actual test rows on
+    the test id, giving (label, prediction) pairs for the reports."""
+    train, test = train_test(spark, sf_dir)
+    pred = knn.classify(test, train, K_DEFAULT)
+    actual = test.select(F.col("id").alias("test_id"), "label")
+    return actual.join(pred, "test_id").select("test_id", "label", "prediction")

@@ -110,13 +110,16 @@ def majority_vote(spark, sf_dir):
     return voted.select("test_id", "prediction", "votes", r6("best_distance"))
 
 
-@register("knn_k_sweep", f"""
+SQL_K_SWEEP = f"""
 WITH {SQL_SPLIT_SCALED}, {sql_neighbors(max(SWEEP_KS), "cosine")},
 ks AS (SELECT range AS k FROM range(1, {max(SWEEP_KS) + 1})),
 nbk AS (SELECT nb.*, ks.k FROM nb JOIN ks ON nb.rnk <= ks.k),
 {sql_vote("cosine", source="nbk", keys="test_id, label, k")}
 SELECT k, round(avg(CAST(label = prediction AS DOUBLE)), {DIGITS}) AS accuracy FROM pred GROUP BY k
-""")
+"""
+
+
+@register("knn_k_sweep", SQL_K_SWEEP)
 def knn_k_sweep(spark, sf_dir):
     """Accuracy for k = 1..9 (cosine) from one neighbour search at k = 9."""
     train, test = train_test(spark, sf_dir)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecforge.operators import knn, metrics
+from vecforge.plans import knn_queries
 from vecforge.plans.common import DIGITS, K_DEFAULT, SQL_SPLIT, sql_neighbors, sql_vote, train_test, vectors
 from vecforge.plans.registry import register
 from vecforge.session import scratch_path
@@ -85,3 +86,11 @@ def report_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "class-report")
     csv.write_report(metrics.classification_report(pred, digits=3), path)
     return csv.read_report(spark, path, REPORT_SCHEMA)
+
+
+@register("score_series_roundtrip", knn_queries.SQL_K_SWEEP)
+def score_series_roundtrip(spark, sf_dir):
+    """The k-sweep accuracy series saved as parquet and read back."""
+    path = scratch_path(spark, "k-sweep-scores")
+    csv.write_scores(knn_queries.knn_k_sweep(spark, sf_dir), path)
+    return csv.read_scores(spark, path)

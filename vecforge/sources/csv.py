@@ -95,3 +95,12 @@ def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.option("header", "true").schema(schema).csv(path)
+
+
+def write_scores(scores: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A score series (e.g. accuracy per k of a sweep) as parquet."""
+    scores.write.mode(mode).parquet(path)
+
+
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
