@@ -161,21 +161,30 @@ def test_grid_planner_bounds():
 @given(st.integers(1, 30), st.integers(1, 40), st.integers(1, 6), st.integers(1, 8),
        st.sampled_from(["euclidean", "cosine"]), st.booleans(), st.integers(0, 10_000))
 def test_cell_kernel_is_exact(nq, nt, d, k, metric, ties, seed):
+    check_kernel(nq, nt, d, k, metric, ties, seed)
+
+
+def check_kernel(nq, nt, d, k, metric, ties, seed):
     rng = np.random.default_rng(seed)
     Q = rng.integers(-2, 3, size=(nq, d)).astype(float)      # small integers: many exact ties
     T = rng.integers(-2, 3, size=(nt, d)).astype(float)
     tids = rng.permutation(nt * 3)[:nt].astype(np.int64)
     r, c, score, rank = knn.cell_top_k(Q, T, tids, k, metric, ties)
     for i in range(nq):
-        # the kernel's exact formulas, so equal floats are ties exactly as the kernel sees them
+        # left-to-right folds, as Spark's aggregate: equal floats are ties exactly as the kernel sees them
         if metric == "euclidean":
-            diff = Q[i][None, :] - T
-            keys = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+            acc = np.zeros(nt)
+            for j in range(d):
+                diff = Q[i, j] - T[:, j]
+                acc = acc + diff * diff
+            keys = np.sqrt(acc)
         else:
-            qn = np.sqrt(np.einsum("ij,ij->i", Q[i:i + 1], Q[i:i + 1]))[0]
-            tn = np.sqrt(np.einsum("ij,ij->i", T, T))
-            dots = np.einsum("ij,ij->i", np.repeat(Q[i:i + 1], nt, 0), T)
-            den = qn * tn
+            qq, tt, dots = 0.0, np.zeros(nt), np.zeros(nt)
+            for j in range(d):
+                qq = qq + Q[i, j] * Q[i, j]
+                tt = tt + T[:, j] * T[:, j]
+                dots = dots + Q[i, j] * T[:, j]
+            den = np.sqrt(qq) * np.sqrt(tt)
             keys = np.where(den > 0, -(dots / np.where(den > 0, den, 1.0)), np.inf)
         order = np.lexsort((tids, keys))
         if ties:
@@ -185,3 +194,11 @@ def test_cell_kernel_is_exact(nq, nt, d, k, metric, ties, seed):
             expect = {int(tids[j]) for j in order[:k]}
         got = {int(tids[j]) for j in c[r == i]}
         assert got == expect
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.integers(1, 12), st.integers(300, 900), st.integers(1, 4), st.integers(1, 4),
+       st.sampled_from(["euclidean", "cosine"]), st.booleans(), st.integers(0, 10_000))
+def test_cell_kernel_block_bound_path(nq, nt, d, k, metric, ties, seed):
+    # wide reference blocks take the block-minimum bound; tiny integer grids force heavy ties
+    check_kernel(nq, nt, d, k, metric, ties, seed)

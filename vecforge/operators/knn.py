@@ -71,14 +71,92 @@ def _matrix(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return values.reshape(n, d)
 
 
+def _fold_sq_diff(Q: np.ndarray, Tm: np.ndarray, r: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """sum_j (q_j - t_j)^2 folded left to right, as the SQL ``aggregate`` does, so exact
+    scores are bit-identical across both formulations (ties included)."""
+    acc = np.zeros(len(r))
+    for j in range(Q.shape[1]):
+        diff = Q[r, j] - Tm[c, j]
+        acc = acc + diff * diff
+    return acc
+
+
+def _fold_dot(Q: np.ndarray, Tm: np.ndarray, r: np.ndarray, c: np.ndarray) -> np.ndarray:
+    acc = np.zeros(len(r))
+    for j in range(Q.shape[1]):
+        acc = acc + Q[r, j] * Tm[c, j]
+    return acc
+
+
+def _fold_sq(M: np.ndarray) -> np.ndarray:
+    acc = np.zeros(M.shape[0])
+    for j in range(M.shape[1]):
+        acc = acc + M[:, j] * M[:, j]
+    return acc
+
+
+_COL_BLOCK = 64  # reference columns per block of the candidate bound
+
+
+def _augment(Q: np.ndarray, Tm: np.ndarray, metric: str):
+    """Operands of one matrix product whose result orders each query's row like the metric.
+
+    Euclidean: ``[-q, 1] . [t, |t|^2/2] = (d^2 - |q|^2)/2`` (same order as the distance).
+    Cosine: ``[-q/|q|, 1] . [t/|t|, 4 if |t| = 0]`` = minus the similarity; zero vectors land
+    after every real value (similarity lies in [-1, 1]).
+    The reference side is padded to whole column blocks with rows scoring +inf.
+    """
+    nq, d = Q.shape
+    nt = Tm.shape[0]
+    pad = (-nt) % _COL_BLOCK
+    Ta = np.zeros((nt + pad, d + 1))
+    Qa = np.empty((nq, d + 1))
+    Qa[:, d] = 1.0
+    if metric == EUCLIDEAN:
+        Qa[:, :d] = -Q
+        Ta[:nt, :d] = Tm
+        Ta[:nt, d] = 0.5 * np.einsum("ij,ij->i", Tm, Tm)
+    else:
+        qn = np.sqrt(np.einsum("ij,ij->i", Q, Q))
+        tn = np.sqrt(np.einsum("ij,ij->i", Tm, Tm))
+        np.divide(-Q, qn[:, None], out=Qa[:, :d], where=qn[:, None] > 0)
+        Qa[qn == 0, :d] = 0.0
+        np.divide(Tm, tn[:, None], out=Ta[:nt, :d], where=tn[:, None] > 0)
+        Ta[:nt, d] = np.where(tn > 0, 0.0, 4.0)
+    Ta[nt:, d] = np.inf
+    return Qa, Ta
+
+
+def _candidates(A: np.ndarray, nt: int, k: int, tol: np.ndarray):
+    """``(row, col)`` of every entry within ``2 tol`` of an upper bound of the row's k-th key.
+
+    The bound is the k-th smallest of the per-block minima (k blocks each hold an entry at
+    most that large, so the row's k-th key is no larger). Only blocks whose minimum passes the
+    limit are scanned; a row's true top k are always among the candidates.
+    """
+    m, width = A.shape
+    nb = width // _COL_BLOCK
+    if nb <= k:
+        real = A[:, :nt]
+        lim = np.partition(real, k - 1, axis=1)[:, k - 1] + 2.0 * tol
+        return np.nonzero(real <= lim[:, None])
+    mins = A.reshape(m, nb, _COL_BLOCK).min(axis=2)
+    lim = np.partition(mins, k - 1, axis=1)[:, k - 1] + 2.0 * tol
+    rb, bb = np.nonzero(mins <= lim[:, None])
+    cols = bb[:, None] * _COL_BLOCK + np.arange(_COL_BLOCK)[None, :]
+    vals = A[rb[:, None], cols]
+    keep = (vals <= lim[rb][:, None]) & (cols < nt)
+    return np.broadcast_to(rb[:, None], cols.shape)[keep], cols[keep]
+
+
 def cell_top_k(Q: np.ndarray, Tm: np.ndarray, tids: np.ndarray, k: int, metric: str,
                keep_ties: bool):
     """Exact top-k of every query row against one reference block.
 
-    Returns ``(query_index, ref_index, score, rank)`` arrays. Candidates come from the
-    matrix-product form; every reference row whose approximate key is within twice the
-    rounding bound of the k-th key is kept, then scored exactly, so no true neighbour can be
-    lost at the cut (no cap on candidates).
+    Returns ``(query_index, ref_index, score, rank)`` arrays. Candidates come from one matrix
+    product (approximate keys); every reference row that could be within the top k given the
+    rounding bound is kept and then scored exactly with left-to-right folds, so no true
+    neighbour is lost at the cut and there is no cap on candidates.
     """
     nq, d = Q.shape
     nt = Tm.shape[0]
@@ -86,17 +164,16 @@ def cell_top_k(Q: np.ndarray, Tm: np.ndarray, tids: np.ndarray, k: int, metric:
     if nq == 0 or nt == 0:
         return empty
     euclid = metric == EUCLIDEAN
+    slack = (4.0 * d + 16.0) * _EPS
     if euclid:
         qn = np.einsum("ij,ij->i", Q, Q)
-        tn = np.einsum("ij,ij->i", Tm, Tm)
-        tn_max = float(tn.max())
+        row_tol = slack * (qn + float(np.einsum("ij,ij->i", Tm, Tm).max()))
     else:
-        qnorm = np.sqrt(np.einsum("ij,ij->i", Q, Q))
-        tnorm = np.sqrt(np.einsum("ij,ij->i", Tm, Tm))
-        Qh = np.divide(Q, qnorm[:, None], out=np.zeros_like(Q), where=qnorm[:, None] > 0)
-        Th = np.divide(Tm, tnorm[:, None], out=np.zeros_like(Tm), where=tnorm[:, None] > 0)
-        t_null = tnorm == 0
-    slack = (4.0 * d + 16.0) * _EPS
+        qsq, tsq = _fold_sq(Q), _fold_sq(Tm)
+        row_tol = np.full(nq, 4.0 * slack)
+        null_q = qsq == 0  # every similarity is null: all reference rows tie, train_id decides
+    if nt > k:
+        Qa, Ta = _augment(Q, Tm, metric)
     step = max(1, _CHUNK_CELLS // nt)
     parts = []
     for s in range(0, nq, step):
@@ -104,24 +181,17 @@ def cell_top_k(Q: np.ndarray, Tm: np.ndarray, tids: np.ndarray, k: int, metric:
         if nt <= k:
             r, c = np.divmod(np.arange((e - s) * nt), nt)
         else:
-            if euclid:
-                approx = qn[s:e, None] + tn[None, :] - 2.0 * (Q[s:e] @ Tm.T)
-                tol = slack * (qn[s:e] + tn_max)
-            else:
-                approx = -(Qh[s:e] @ Th.T)
-                approx[:, t_null] = np.inf
-                approx[qnorm[s:e] == 0, :] = np.inf
-                tol = np.full(e - s, 4.0 * slack)
-            kth = np.partition(approx, k - 1, axis=1)[:, k - 1]
-            r, c = np.nonzero(approx <= (kth + 2.0 * tol)[:, None])
+            A = Qa[s:e] @ Ta.T
+            if not euclid:
+                A[null_q[s:e], :nt] = 0.0
+            r, c = _candidates(A, nt, k, row_tol[s:e])
         r = r + s
         if euclid:
-            diff = Q[r] - Tm[c]
-            key = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+            key = np.sqrt(_fold_sq_diff(Q, Tm, r, c))
             score = key
         else:
-            dots = np.einsum("ij,ij->i", Q[r], Tm[c])
-            den = qnorm[r] * tnorm[c]
+            dots = _fold_dot(Q, Tm, r, c)
+            den = np.sqrt(qsq[r]) * np.sqrt(tsq[c])
             ok = den > 0
             score = np.where(ok, dots / np.where(ok, den, 1.0), np.nan)
             key = np.where(ok, -score, np.inf)
@@ -200,13 +270,12 @@ def _output_schema(q: DataFrame, r: DataFrame, metric: str, carry: list[str]) ->
 
 
 def _side_stats(q: DataFrame, r: DataFrame) -> tuple[int, int, int]:
-    """Row counts of both sides and the vector width: one scan stage over both inputs and a
-    one-row global aggregate."""
-    both = (q.select(F.lit(True).alias("is_q"), F.size("qv").alias("d"))
-            .unionByName(r.select(F.lit(False).alias("is_q"), F.size("tv").alias("d"))))
-    row = both.agg(F.count_if(F.col("is_q")).alias("nq"), F.count_if(~F.col("is_q")).alias("nr"),
-                   F.max("d").alias("d")).first()
-    return int(row["nq"]), int(row["nr"]), max(1, int(row["d"] or 0))
+    """Row counts of both sides (one scan stage that reads only the filter and key columns,
+    then a one-row aggregate) and the vector width (from one row)."""
+    both = q.select(F.lit(True).alias("is_q")).unionByName(r.select(F.lit(False).alias("is_q")))
+    row = both.agg(F.count_if(F.col("is_q")).alias("nq"), F.count_if(~F.col("is_q")).alias("nr")).first()
+    first = r.select(F.size("tv").alias("d")).first()
+    return int(row["nq"]), int(row["nr"]), max(1, int(first["d"]) if first else 1)
 
 
 def choose_grid(q: DataFrame, r: DataFrame, method: str = "block",
