@@ -82,7 +82,7 @@ def knn_single_query(spark, sf_dir):
     train, test = train_test(spark, sf_dir)
     first = test.orderBy("id").select("id", "vec").first()
     nb = knn.single_query_neighbors(train, list(first["vec"]), K_DEFAULT)
-    voted = knn.majority_vote(nb.withColumn("test_id", F.lit(int(first["id"]))))
+    voted = knn.majority_vote(nb.withColumn("test_id", F.lit(int(first["id"])).cast("long")))
     return voted.select("test_id", "prediction", "votes", r6("best_distance"))
 
 
@@ -112,7 +112,7 @@ def majority_vote(spark, sf_dir):
 
 SQL_K_SWEEP = f"""
 WITH {SQL_SPLIT_SCALED}, {sql_neighbors(max(SWEEP_KS), "cosine")},
-ks AS (SELECT range AS k FROM range(1, {max(SWEEP_KS) + 1})),
+ks AS (SELECT CAST(range AS INTEGER) AS k FROM range(1, {max(SWEEP_KS) + 1})),
 nbk AS (SELECT nb.*, ks.k FROM nb JOIN ks ON nb.rnk <= ks.k),
 {sql_vote("cosine", source="nbk", keys="test_id, label, k")}
 SELECT k, round(avg(CAST(label = prediction AS DOUBLE)), {DIGITS}) AS accuracy FROM pred GROUP BY k

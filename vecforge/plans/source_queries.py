@@ -35,7 +35,7 @@ def csv_label_first_scan(spark, sf_dir):
 
 
 @register("split_label_features", f"""
-SELECT label, len(embedding) AS n_features, round(CAST(embedding[1] AS DOUBLE), {DIGITS}) AS first_feature,
+SELECT label, CAST(len(embedding) AS INTEGER) AS n_features, round(CAST(embedding[1] AS DOUBLE), {DIGITS}) AS first_feature,
        round(CAST(embedding[{WIDTH}] AS DOUBLE), {DIGITS}) AS last_feature FROM embeddings
 """)
 def split_label_features(spark, sf_dir):

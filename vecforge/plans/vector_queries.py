@@ -103,7 +103,7 @@ def self_join_id(spark, sf_dir):
 
 @register("join_features_labels", f"""
 WITH {SQL_E}
-SELECT id, label, len(vec) AS n_features, round(list_sum(vec), {DIGITS}) AS feature_sum FROM e
+SELECT id, label, CAST(len(vec) AS INTEGER) AS n_features, round(list_sum(vec), {DIGITS}) AS feature_sum FROM e
 """)
 def join_features_labels(spark, sf_dir):
     """Features and labels as separate projections, re-joined on a stable key (the input id)."""
@@ -199,7 +199,7 @@ def vector_arith(spark, sf_dir):
 
 @register("truncate_components", f"""
 WITH {SQL_E}
-SELECT id, len(vec[1:8]) AS n_kept, round(list_sum(vec[1:8]), {DIGITS}) AS kept_sum FROM e
+SELECT id, CAST(len(vec[1:8]) AS INTEGER) AS n_kept, round(list_sum(vec[1:8]), {DIGITS}) AS kept_sum FROM e
 """)
 def truncate_components(spark, sf_dir):
     """Keep the first n (8) components."""
