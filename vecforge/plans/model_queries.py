@@ -81,3 +81,50 @@ def rf_predict(spark, sf_dir):
     train, test = train_test(spark, sf_dir)
     model = classify.fit_random_forest(train)
     return classify.predict(model, test, keep=["id", "label"])
+
+
+# Lineitem as a labelled vector table - the numeric columns are the features and
+# the return flag, in this order, gives the class index.
+LINEITEM_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+RETURN_FLAGS = ["A", "N", "R"]
+
+
+def lineitem_vectors(spark, sf_dir):
+    """``(l_orderkey, l_linenumber, vec, label)`` over the whole lineitem table."""
+    from vecforge.sources.tables import table
+    li = table(spark, sf_dir, "lineitem")
+    flags = F.array(*[F.lit(x) for x in RETURN_FLAGS])
+    return li.select("l_orderkey", "l_linenumber",
+                     F.array(*[F.col(c).cast("double") for c in LINEITEM_FEATURES]).alias("vec"),
+                     (F.array_position(flags, F.col("l_returnflag")) - 1).cast("int").alias("label"))
+
+
+def lineitem_split(spark, sf_dir):
+    data = lineitem_vectors(spark, sf_dir)
+    test = F.pmod(F.col("l_orderkey"), F.lit(5)) == 0
+    return data.filter(~test), data.filter(test)
+
+
+@register("pca_lineitem")
+def pca_lineitem(spark, sf_dir):
+    """R1 + R2 at table scale: PCA (2 axes) fitted on every lineitem row, every row projected."""
+    data = lineitem_vectors(spark, sf_dir)
+    out = pca.project(pca.fit(data, 2), data)
+    return out.select("l_orderkey", "l_linenumber",
+                      *[F.round(F.get("vec", i), DIGITS).alias(f"pc{i}") for i in range(2)])
+
+
+@register("logreg_lineitem")
+def logreg_lineitem(spark, sf_dir):
+    """C1 + C2 at table scale: return flag from the numeric columns (train: orderkey % 5 != 0)."""
+    train, test = lineitem_split(spark, sf_dir)
+    model = classify.fit_logistic_regression(train, max_iter=50)
+    return classify.predict(model, test, keep=["l_orderkey", "l_linenumber", "label"]).drop("probability")
+
+
+@register("rf_lineitem")
+def rf_lineitem(spark, sf_dir):
+    """C4 + C5 at table scale: the same split with a 10-tree forest."""
+    train, test = lineitem_split(spark, sf_dir)
+    model = classify.fit_random_forest(train)
+    return classify.predict(model, test, keep=["l_orderkey", "l_linenumber", "label"]).drop("probability")
