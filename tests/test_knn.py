@@ -41,9 +41,9 @@ def collect_nb(df):
     return out
 
 
-@pytest.mark.parametrize("method", ["block", "native"])
+@pytest.mark.parametrize("method,block_rows", [("block", None), ("block", 64), ("native", None),
+                                               ("native", 64), ("broadcast", None)])
 @pytest.mark.parametrize("metric", ["euclidean", "cosine"])
-@pytest.mark.parametrize("block_rows", [None, 64])
 def test_matches_brute_force(spark, method, metric, block_rows):
     train, test = train_test(spark, SF_MID)
     if metric == "cosine":
@@ -63,10 +63,20 @@ def test_block_equals_native_predictions(spark):
     assert a == b and len(a) == 100
 
 
+def test_broadcast_bound_falls_back_to_grid(spark):
+    train, test = train_test(spark, SF_MID)
+    small = {r["test_id"]: r["prediction"] for r in knn.classify(test, train, 5).collect()}
+    forced = {r["test_id"]: r["prediction"] for r in
+              knn.neighbors(test, train, 5, broadcast_bytes=1000).transform(knn.majority_vote).collect()}
+    assert small == forced
+    with pytest.raises(ValueError):
+        knn.neighbors(test, train, 5, method="broadcast", broadcast_bytes=1000)
+
+
 def test_k_larger_than_train(spark):
     train = frame(spark, [(1, [0.0, 0.0], 1), (2, [1.0, 0.0], 2), (3, [3.0, 0.0], 1)])
     test = frame(spark, [(10, [0.1, 0.0], 0)])
-    for method in ("block", "native"):
+    for method in ("block", "native", "broadcast"):
         nb = knn.neighbors(test, train, 10, method=method).orderBy("rank").collect()
         assert [r["train_id"] for r in nb] == [1, 2, 3]
         assert [r["rank"] for r in nb] == [1, 2, 3]
@@ -76,7 +86,7 @@ def test_equal_distances_broken_by_train_id(spark):
     # ids 5 and 2 are both at distance 1 from the query; 7 farther
     train = frame(spark, [(5, [1.0, 0.0], 1), (2, [0.0, 1.0], 2), (7, [2.0, 2.0], 3)])
     test = frame(spark, [(1, [0.0, 0.0], 0)])
-    for method in ("block", "native"):
+    for method in ("block", "native", "broadcast"):
         nb = knn.neighbors(test, train, 1, method=method).collect()
         assert [(r["train_id"], r["rank"]) for r in nb] == [(2, 1)]
 
@@ -88,6 +98,8 @@ def test_rank_keeps_ties(spark):
         for grid in (BlockGrid(1, 1), BlockGrid(1, 3)):
             nb = knn.neighbors(test, train, 2, method=method, keep_ties=True, grid=grid).collect()
             assert sorted((r["train_id"], r["rank"]) for r in nb) == [(2, 1), (3, 1), (5, 1)]
+    nb = knn.neighbors(test, train, 2, method="broadcast", keep_ties=True).collect()
+    assert sorted((r["train_id"], r["rank"]) for r in nb) == [(2, 1), (3, 1), (5, 1)]
 
 
 def test_vote_tie_smaller_best_distance_then_label(spark):
@@ -109,7 +121,7 @@ def test_all_labels_different_nearest_wins(spark):
 def test_zero_vector_cosine_null_last(spark):
     train = frame(spark, [(1, [0.0, 0.0], 1), (2, [1.0, 0.0], 2), (3, [0.0, 1.0], 3)])
     test = frame(spark, [(10, [1.0, 0.1], 0), (11, [0.0, 0.0], 0)])
-    for method in ("block", "native"):
+    for method in ("block", "native", "broadcast"):
         rows = knn.neighbors(test, train, 3, "cosine", method=method).orderBy("test_id", "rank").collect()
         first = [(r["train_id"], r["similarity"] is None) for r in rows if r["test_id"] == 10]
         assert first == [(2, False), (3, False), (1, True)]
@@ -120,7 +132,7 @@ def test_zero_vector_cosine_null_last(spark):
 def test_empty_test_set(spark):
     train = frame(spark, [(1, [0.0], 1)])
     test = frame(spark, [], with_label=True)
-    for method in ("block", "native"):
+    for method in ("block", "native", "broadcast"):
         out = knn.classify(test, train, 3, method=method, actual="label")
         assert out.collect() == []
         assert out.columns == ["test_id", "label", "prediction"]

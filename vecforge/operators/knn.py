@@ -1,9 +1,13 @@
 """Exact k-nearest-neighbour search and classification on DataFrames.
 
-Two formulations of the same operator, both exact and both built on the block grid of
-:mod:`vecforge.operators.blocks` (no cross join, no all-pairs table):
+Three plans for the same operator, all exact, none with a cross join or an all-pairs table:
 
-* ``method="block"`` (the scale path): a cogrouped Arrow function per grid cell scores the
+* ``method="broadcast"``: a train side of proven size is shipped to every executor once;
+  test partitions are scored where they were read (``mapInArrow``), so the test side is never
+  shuffled. Chosen by ``method="auto"`` whenever the size check passes.
+
+* ``method="block"`` (the scale path for any size, on the grid of :mod:`vecforge.operators.blocks`):
+  a cogrouped Arrow function per grid cell scores the
   block pair with one matrix product, keeps ``k`` plus the float-error slack per query, and
   recomputes the kept candidates' distances exactly. Only ``n_query * B_ref * k`` rows leave
   the cells.
@@ -20,6 +24,8 @@ with nulls (zero vectors) last; equal scores are broken by ``train_id``.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -27,13 +33,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecforge.functions.vectors import cosine_similarity, euclidean
-from vecforge.operators.blocks import BlockGrid, block_of, lay_out, plan_grid, replicate
+from vecforge.operators.blocks import (MIN_CELL_WORK, BlockGrid, block_of, lay_out, plan_grid,
+                                       replicate)
 
 EUCLIDEAN = "euclidean"
 COSINE = "cosine"
 METRICS = (EUCLIDEAN, COSINE)
 
 _EPS = float(np.finfo(np.float64).eps)
+# The train side is broadcast only below this many bytes of vectors (rows * width * 8
+# plus key and label); above it the block grid is used.
+BROADCAST_BYTES = 256 << 20
 _CHUNK_CELLS = 1 << 22  # query rows * reference rows scored at once inside a cell
 
 
@@ -298,6 +308,44 @@ def _block_cells(q, r, grid, k, metric, keep_ties, carry):
             .applyInArrow(fn, schema=schema))
 
 
+def _broadcast_rows(q, r, k, metric, keep_ties, carry):
+    """Train side (size already checked) shipped once to every executor as a broadcast
+    variable; each test partition is scored where it was read, Arrow batch by batch.
+    Every test row meets every train row in one call, so the result is final."""
+    spark = q.sparkSession
+    tbl = r.select("tid", "tv", "label").toArrow()
+    Tm = _matrix(tbl.column("tv")) if tbl.num_rows else np.zeros((0, 0))
+    shipped = spark.sparkContext.broadcast(
+        (Tm, tbl.column("tid").to_numpy(), tbl.column("label").combine_chunks()))
+    schema = _output_schema(q, r, metric, carry)
+    name = score_name(metric)
+
+    def run(batches):
+        T_all, tids, labels = shipped.value
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            col = batch.schema.get_field_index
+            if len(tids):
+                Q = _matrix(batch.column(col("qv")))
+                if Q.shape[1] != T_all.shape[1]:
+                    raise ValueError("query and reference vectors differ in length")
+                rr, cc, score, rank = cell_top_k(Q, T_all, tids, k, metric, keep_ties)
+            else:
+                rr = cc = np.zeros(0, np.int64)
+                score, rank = np.zeros(0), np.zeros(0, np.int32)
+            take_r = pa.array(rr, pa.int64())
+            take_c = pa.array(cc, pa.int64())
+            cols = [batch.column(col("qid")).take(take_r)]
+            cols += [batch.column(col(extra)).take(take_r) for extra in carry]
+            cols += [pa.array(tids[cc], pa.int64()), labels.take(take_c),
+                     pa.array(score, pa.float64(), mask=np.isnan(score)), pa.array(rank, pa.int32())]
+            names = ["test_id", *carry, "train_id", "train_label", name, "rank"]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return q.mapInArrow(run, schema)
+
+
 def _native_cells(q, r, grid, k, metric, keep_ties, carry):
     parts = grid.partitions(_parallelism(q))
     blocks = (r.withColumn("rb", block_of(F.col("tid"), grid.ref_blocks, F.col("tv")))
@@ -342,10 +390,10 @@ def _native_cells(q, r, grid, k, metric, keep_ties, carry):
 
 
 def neighbors(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN, *,
-              method: str = "block", keep_ties: bool = False, test_id: str = "id",
+              method: str = "auto", keep_ties: bool = False, test_id: str = "id",
               train_id: str = "id", vec: str = "vec", label: str = "label",
               carry: list[str] | tuple[str, ...] = (), grid: BlockGrid | None = None,
-              max_block_rows: int | None = None) -> DataFrame:
+              max_block_rows: int | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The ``k`` nearest train rows of every test row.
 
     Output: ``test_id, *carry, train_id, train_label, distance|similarity, rank``.
@@ -354,17 +402,35 @@ def neighbors(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN
     ``keep_ties=True`` keeps every row whose ``rank()`` (by score only) is at most ``k``.
     ``k`` above the train size returns every train row. ``carry`` passes test columns
     (e.g. the true label) through, which saves a join later.
+
+    ``method``: ``"broadcast"`` ships a train side of proven size (row count x width below
+    ``broadcast_bytes``) to every executor and scores test partitions in place - no test
+    shuffle; ``"block"`` is the grid of bounded blocks for any size; ``"native"`` the same grid
+    with built-in functions only; ``"auto"`` (default) picks broadcast when it fits, else block.
     """
     _check(metric, k)
     carry = list(carry)
     q, r = _inputs(test, train, test_id, train_id, vec, label, carry)
+    if method not in ("auto", "broadcast", "block", "native"):
+        raise ValueError("method must be 'auto', 'broadcast', 'block' or 'native'")
+    if method in ("auto", "broadcast") and grid is None:
+        n_q, n_r, dims = _side_stats(q, r)
+        fits = n_r * (8 * dims + 24) <= broadcast_bytes
+        if method == "broadcast" and not fits:
+            raise ValueError(f"train side ({n_r} x {dims}) exceeds the broadcast bound of {broadcast_bytes} bytes")
+        if fits:
+            # a small-in-bytes but compute-heavy test side (few splits) is spread over the task
+            # slots first; a large test side is already split finely and is not shuffled
+            want = max(1, min(2 * _parallelism(q), math.ceil(n_q * n_r * dims / MIN_CELL_WORK["block"])))
+            if q.rdd.getNumPartitions() < want:
+                q = q.repartition(want, "qid")
+            return _broadcast_rows(q, r, int(k), metric, keep_ties, carry).repartition("test_id")
+        grid = plan_grid(n_q, n_r, dims, _parallelism(q), max_block_rows, "block")
     grid = grid or choose_grid(q, r, method, max_block_rows)
-    if method == "block":
-        cells = _block_cells(q, r, grid, int(k), metric, keep_ties, carry)
-    elif method == "native":
+    if method == "native":
         cells = _native_cells(q, r, grid, int(k), metric, keep_ties, carry)
     else:
-        raise ValueError("method must be 'block' or 'native'")
+        cells = _block_cells(q, r, grid, int(k), metric, keep_ties, carry)
     if grid.ref_blocks == 1:
         # every query met every reference row in exactly one cell: already final. Hash it by
         # test_id (n_test * k rows) so votes and sweeps downstream need no further shuffle.
@@ -398,7 +464,7 @@ def majority_vote(nbrs: DataFrame, metric: str = EUCLIDEAN, by: list[str] | tupl
 
 
 def classify(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN, *,
-             method: str = "block", test_id: str = "id", train_id: str = "id", vec: str = "vec",
+             method: str = "auto", test_id: str = "id", train_id: str = "id", vec: str = "vec",
              label: str = "label", actual: str | None = None, grid: BlockGrid | None = None) -> DataFrame:
     """kNN classification: ``test_id, [label], prediction``.
 

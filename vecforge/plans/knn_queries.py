@@ -29,6 +29,14 @@ def knn_classify_block(spark, sf_dir):
     return knn.classify(test, train, K_DEFAULT, method="block", actual="label")
 
 
+@register("knn_classify_broadcast", SQL_CLASSIFY)
+def knn_classify_broadcast(spark, sf_dir):
+    """K1 as shipped-train form: the size-checked train side is broadcast once and every test
+    partition is scored in place, batch by batch (no test-side shuffle)."""
+    train, test = train_test(spark, sf_dir)
+    return knn.classify(test, train, K_DEFAULT, method="broadcast", actual="label")
+
+
 @register("knn_neighbors", f"""
 WITH {SQL_SPLIT}, {sql_neighbors(K_DEFAULT)}
 SELECT test_id, train_id, train_label, round(distance, {DIGITS}) AS distance, rnk AS rank FROM nb
