@@ -32,7 +32,7 @@ def test_inferred_schema_read(spark, tmp_dir):
 def test_split_layout_pairs_rows(spark, tmp_dir):
     src = vectors(spark, SF_SMALL)
     f, l = os.path.join(tmp_dir, "f"), os.path.join(tmp_dir, "l")
-    csv.write_split_layout(src, f, l, order_by="id")
+    csv.write_split_layout(src, f, l, order_by="id", partitions=5)
     assert len([x for x in os.listdir(f) if x.endswith(".csv")]) > 1   # several files
     both = csv.read_split_layout(spark, f, l, 64).collect()
     ref = {r["id"]: (r["label"], round(r["vec"][0], 9)) for r in src.collect()}

@@ -60,15 +60,18 @@ def write_label_first(frame: DataFrame, path: str, label: str = "label", vec: st
 
 def write_split_layout(frame: DataFrame, features_path: str, labels_path: str, order_by: str = "id",
                        label: str = "label", vec: str = "vec", n_features: int | None = None,
-                       mode: str = "overwrite") -> int:
+                       mode: str = "overwrite", partitions: int | None = None) -> int:
     """Features and labels to two files whose row positions correspond.
 
-    Both writes range-partition and sort by the same unique key, so part ``i`` of each holds
-    the same key range in the same order (file-name order = key order).
+    Both writes range-partition and sort by the same unique key, so file-name order is key
+    order in each output (the range count is ``partitions`` or ``spark.sql.shuffle.partitions``;
+    adaptive execution only merges neighbouring ranges). Row ``i`` of one output pairs with row ``i`` of
+    the other whatever the file boundaries.
     """
     d = n_features or vector_width(frame, vec)
-    parts = max(1, frame.sparkSession.sparkContext.defaultParallelism)
-    ordered = frame.repartitionByRange(parts, order_by).sortWithinPartitions(order_by)
+    ranged = (frame.repartitionByRange(partitions, order_by) if partitions
+              else frame.repartitionByRange(order_by))
+    ordered = ranged.sortWithinPartitions(order_by)
     ordered.select(*_wide(ordered, vec, d, 0)).write.mode(mode).option("header", "false").csv(features_path)
     ordered.select(F.col(label).alias("_c0")).write.mode(mode).option("header", "false").csv(labels_path)
     return d
