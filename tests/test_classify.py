@@ -39,3 +39,11 @@ def test_random_forest_repeats_with_seed(spark, planted):
     assert acc > 0.4
     imp = classify.feature_importances(classify.fit_random_forest(train)).collect()
     assert sum(r["importance"] for r in imp) == pytest.approx(1.0)
+
+
+def test_random_forest_probabilities(spark, planted):
+    train, test = planted
+    rows = classify.predict(classify.fit_random_forest(train), test, keep=["id"]).collect()
+    for r in rows:
+        p = np.array(r["probability"])
+        assert p.sum() == pytest.approx(1.0) and int(np.argmax(p)) == int(r["prediction"])

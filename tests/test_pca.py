@@ -51,3 +51,15 @@ def test_full_width_pca_keeps_euclidean_neighbours(spark, data):
     b = knn.neighbors(pca.project(model, test), pca.project(model, train), 5).select(
         "test_id", "train_id", "rank").collect()
     assert sorted(a) == sorted(b)
+
+
+def test_grid_full_width_equals_raw_space(spark, data):
+    import __spark_entry__ as contract
+    from pyspark.sql import functions as F
+    train, test, x = data
+    grid = {(r["d"], r["k"]): r["accuracy"] for r in contract.queries()["knn_grid"](spark, SF_MID).collect()}
+    for k in (5, 10):
+        pred = knn.classify(test, train, k, actual="label")
+        acc = pred.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+        assert grid[(64, k)] == pytest.approx(round(acc, 6))
+    assert {d for d, _ in grid} == {16, 32, 64}
