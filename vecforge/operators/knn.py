@@ -279,20 +279,29 @@ def _output_schema(q: DataFrame, r: DataFrame, metric: str, carry: list[str]) ->
     return T.StructType(fields)
 
 
-def _side_stats(q: DataFrame, r: DataFrame) -> tuple[int, int, int]:
-    """Row counts of both sides (one scan stage that reads only the filter and key columns,
-    then a one-row aggregate) and the vector width (from one row)."""
-    both = q.select(F.lit(True).alias("is_q")).unionByName(r.select(F.lit(False).alias("is_q")))
-    row = both.agg(F.count_if(F.col("is_q")).alias("nq"), F.count_if(~F.col("is_q")).alias("nr")).first()
+def _side_stats(q: DataFrame, r: DataFrame, test: DataFrame | None = None,
+                train: DataFrame | None = None) -> tuple[int, int, int]:
+    """Row counts of both sides and the vector width.
+
+    Counts come from the raw inputs when given (an upper bound - rows with null vectors are
+    dropped later - which is safe for block sizing and for the broadcast bound), so the scan
+    reads only key and filter columns: one stage over both inputs and a one-row aggregate.
+    The width comes from one row.
+    """
+    a = (test if test is not None else q).select(F.lit(True).alias("is_q"))
+    b = (train if train is not None else r).select(F.lit(False).alias("is_q"))
+    row = a.unionByName(b).agg(F.count_if(F.col("is_q")).alias("nq"),
+                               F.count_if(~F.col("is_q")).alias("nr")).first()
     first = r.select(F.size("tv").alias("d")).first()
     return int(row["nq"]), int(row["nr"]), max(1, int(first["d"]) if first else 1)
 
 
 def choose_grid(q: DataFrame, r: DataFrame, method: str = "block",
-                max_block_rows: int | None = None) -> BlockGrid:
-    """Block counts from the two row counts and the vector width (one small job)."""
+                max_block_rows: int | None = None, test: DataFrame | None = None,
+                train: DataFrame | None = None) -> BlockGrid:
+    """Block counts from the two row counts and the vector width (two small jobs)."""
     parallelism = q.sparkSession.sparkContext.defaultParallelism
-    n_q, n_r, dims = _side_stats(q, r)
+    n_q, n_r, dims = _side_stats(q, r, test, train)
     return plan_grid(n_q, n_r, dims, parallelism, max_block_rows, method)
 
 
@@ -414,7 +423,7 @@ def neighbors(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN
     if method not in ("auto", "broadcast", "block", "native"):
         raise ValueError("method must be 'auto', 'broadcast', 'block' or 'native'")
     if method in ("auto", "broadcast") and grid is None:
-        n_q, n_r, dims = _side_stats(q, r)
+        n_q, n_r, dims = _side_stats(q, r, test, train)
         fits = n_r * (8 * dims + 24) <= broadcast_bytes
         if method == "broadcast" and not fits:
             raise ValueError(f"train side ({n_r} x {dims}) exceeds the broadcast bound of {broadcast_bytes} bytes")
@@ -426,7 +435,7 @@ def neighbors(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN
                 q = q.repartition(want, "qid")
             return _broadcast_rows(q, r, int(k), metric, keep_ties, carry).repartition("test_id")
         grid = plan_grid(n_q, n_r, dims, _parallelism(q), max_block_rows, "block")
-    grid = grid or choose_grid(q, r, method, max_block_rows)
+    grid = grid or choose_grid(q, r, method, max_block_rows, test, train)
     if method == "native":
         cells = _native_cells(q, r, grid, int(k), metric, keep_ties, carry)
     else:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml.feature import PCA, PCAModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +39,7 @@ def components(model: PCAModel) -> DataFrame:
     schema = T.StructType([T.StructField("component", T.IntegerType()),
                            T.StructField("feature", T.IntegerType()),
                            T.StructField("loading", T.DoubleType())])
-    return _session(model).createDataFrame(rows, schema)
+    return SparkSession.getActiveSession().createDataFrame(rows, schema)
 
 
 def explained_variance(model: PCAModel) -> DataFrame:
@@ -50,7 +50,7 @@ def explained_variance(model: PCAModel) -> DataFrame:
     schema = T.StructType([T.StructField("component", T.IntegerType()),
                            T.StructField("ratio", T.DoubleType()),
                            T.StructField("cumulative", T.DoubleType())])
-    return _session(model).createDataFrame(rows, schema)
+    return SparkSession.getActiveSession().createDataFrame(rows, schema)
 
 
 def components_for_target(variance: DataFrame, targets: list[float]) -> DataFrame:
@@ -64,7 +64,3 @@ def components_for_target(variance: DataFrame, targets: list[float]) -> DataFram
     return (variance.agg(F.array(*found).alias("found")).select(F.explode("found").alias("f"))
             .select("f.target", "f.n_components").orderBy("target"))
 
-
-def _session(model: PCAModel):
-    from pyspark.sql import SparkSession
-    return SparkSession.getActiveSession()

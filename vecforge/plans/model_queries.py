@@ -8,8 +8,9 @@ from vecforge.operators import classify, pca
 from vecforge.plans.common import DIGITS, train_test
 from vecforge.plans.registry import register
 
-PCA_K = 16
+# Variance targets of the component-count search; PCA width of the R1/R2 queries.
 VARIANCE_TARGETS = [0.90, 0.95]
+PCA_K = 16
 
 
 @register("pca_fit")
