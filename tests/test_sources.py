@@ -63,3 +63,8 @@ def test_report_round_trip(spark, tmp_dir):
     assert len([x for x in os.listdir(path) if x.endswith(".csv")]) == 1
     back = csv.read_report(spark, path, rep.schema)
     assert sorted(back.collect()) == sorted(rep.collect())
+
+
+def test_report_lines(spark):
+    rep = spark.createDataFrame([(0, 0.5, 0.25, 0.333)], "class int, precision double, recall double, f_score double")
+    assert csv.report_lines(rep) == ["class\tprecision\trecall\tf_score", "0\t0.5\t0.25\t0.333"]

@@ -107,3 +107,14 @@ def write_scores(scores: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def report_lines(report: DataFrame, sep: str = "\t") -> list[str]:
+    """A report as text lines (header, then one line per row), for printing at the edge.
+
+    Reports hold one row per class (or one row overall), so collecting them is bounded.
+    """
+    rows = report.collect()
+    lines = [sep.join(report.columns)]
+    lines += [sep.join("" if v is None else str(v) for v in row) for row in rows]
+    return lines
