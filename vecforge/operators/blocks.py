@@ -46,14 +46,15 @@ def plan_grid(n_query: int, n_ref: int, dims: int, parallelism: int,
 
     Blocks hold at most ``max_block_rows`` rows (memory per task). If the whole product is
     cheap it stays in one cell (fewest tasks); if it is expensive but has fewer cells than
-    about two per task slot, the query side is split further - each extra query block costs
-    one more copy of a reference block, and no merge step.
+    about four per task slot (cells hash onto partitions, so a few per slot even out the
+    load), the query side is split further - each extra query block costs one more copy of a
+    reference block, and no merge step.
     """
     cap = max_block_rows or max(MIN_QUERY_BLOCK_ROWS, min(MAX_BLOCK_ROWS, MAX_BLOCK_CELLS // max(dims, 1)))
     bq = max(1, math.ceil(n_query / cap))
     br = max(1, math.ceil(n_ref / cap))
     work = n_query * n_ref * max(dims, 1)
-    wanted = max(1, min(2 * parallelism, math.ceil(work / MIN_CELL_WORK[method])))
+    wanted = max(1, min(MAX_PARTITIONS_PER_SLOT * parallelism, math.ceil(work / MIN_CELL_WORK[method])))
     if bq * br < wanted:
         most_q = max(1, math.ceil(n_query / MIN_QUERY_BLOCK_ROWS))
         bq = max(bq, min(most_q, math.ceil(wanted / br)))
