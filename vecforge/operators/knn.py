@@ -52,8 +52,9 @@ def score_name(metric: str) -> str:
 
 
 def score_order(metric: str, col: str | None = None) -> Column:
+    """Nearest first; a null score (zero vector under cosine, malformed vector) sorts last."""
     c = F.col(col or score_name(metric))
-    return c.asc() if metric == EUCLIDEAN else c.desc_nulls_last()
+    return c.asc_nulls_last() if metric == EUCLIDEAN else c.desc_nulls_last()
 
 
 def _check(metric: str, k: int) -> None:
@@ -369,8 +370,9 @@ def _native_cells(q, r, grid, k, metric, keep_ties, carry):
     joined = qx.join(blocks, ["qb", "rb"])
     if metric == EUCLIDEAN:
         def scored(t):
-            return F.struct(euclidean(F.col("qv"), t["v"]).alias("key"), t["id"].alias("train_id"),
-                            t["label"].alias("train_label"))
+            dist = euclidean(F.col("qv"), t["v"])
+            return F.struct(F.coalesce(dist, F.lit(float("inf"))).alias("key"), t["id"].alias("train_id"),
+                            t["label"].alias("train_label"), dist.alias("distance"))
     else:
         def scored(t):
             sim = cosine_similarity(F.col("qv"), t["v"])
@@ -392,7 +394,7 @@ def _native_cells(q, r, grid, k, metric, keep_ties, carry):
             "pos", F.size(F.filter(F.col("top_keys"), lambda y: y < F.col("n.key"))))
     else:
         exploded = joined.select("qid", *carry, F.posexplode(top).alias("pos", "n"))
-    score = F.col("n.key") if metric == EUCLIDEAN else F.col("n.similarity")
+    score = F.col("n.distance") if metric == EUCLIDEAN else F.col("n.similarity")
     return exploded.select(F.col("qid").alias("test_id"), *carry, F.col("n.train_id").alias("train_id"),
                            F.col("n.train_label").alias("train_label"),
                            score.alias(score_name(metric)), (F.col("pos") + 1).cast("int").alias("rank"))
