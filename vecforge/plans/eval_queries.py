@@ -66,7 +66,7 @@ def accuracy_by_filter(spark, sf_dir):
     return out.select("n_correct", "n_total", F.round("accuracy", DIGITS).alias("accuracy"))
 
 
-@register("overall_report", f"""
+SQL_OVERALL_REPORT = f"""
 WITH {SQL_KNN_PRED}, src AS (SELECT label, prediction FROM pred), {SQL_CLASS_COUNTS},
 act AS (SELECT * FROM prf WHERE support > 0),
 agg AS (SELECT sum(tp) / sum(support) AS accuracy, avg(precision) AS macro_precision, avg(recall) AS macro_recall,
@@ -79,7 +79,10 @@ SELECT round(accuracy, {DIGITS}) AS accuracy, round(accuracy, {DIGITS}) AS micro
        round(macro_f_score, {DIGITS}) AS macro_f_score, round(weighted_precision, {DIGITS}) AS weighted_precision,
        round(weighted_recall, {DIGITS}) AS weighted_recall, round(weighted_f_score, {DIGITS}) AS weighted_f_score
 FROM agg
-""")
+"""
+
+
+@register("overall_report", SQL_OVERALL_REPORT)
 def overall_report(spark, sf_dir):
     """Accuracy with micro, macro and weighted precision / recall / F of kNN predictions."""
     return metrics.overall_report(_knn_predictions(spark, sf_dir), digits=DIGITS)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecforge.operators import knn, metrics
-from vecforge.plans import knn_queries
+from vecforge.plans import eval_queries, knn_queries
 from vecforge.plans.common import DIGITS, K_DEFAULT, SQL_SPLIT, sql_neighbors, sql_vote, train_test, vectors
 from vecforge.plans.registry import register
 from vecforge.session import scratch_path
@@ -94,3 +94,21 @@ def score_series_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "k-sweep-scores")
     csv.write_scores(knn_queries.knn_k_sweep(spark, sf_dir), path)
     return csv.read_scores(spark, path)
+
+
+@register("csv_pca_knn_report", eval_queries.SQL_OVERALL_REPORT)
+def csv_pca_knn_report(spark, sf_dir):
+    """The whole classification flow from files: train and test as headerless label-first CSV,
+    scanned back (S1), label split off (P2/P3), increasing ids (P4), PCA fitted on train and
+    applied to both (R1/R2, full width so the SQL oracle stays exact), kNN (k = 5) and the
+    overall report (E3)."""
+    from vecforge.operators import pca, rowid
+    train, test = train_test(spark, sf_dir)
+    base = scratch_path(spark, "labelled-csv")
+    csv.write_label_first(train, f"{base}/train", n_features=WIDTH)
+    csv.write_label_first(test, f"{base}/test", n_features=WIDTH)
+    tr = rowid.with_row_id(csv.split_label_features(csv.read_label_first(spark, f"{base}/train", WIDTH)), "id")
+    te = rowid.with_row_id(csv.split_label_features(csv.read_label_first(spark, f"{base}/test", WIDTH)), "id")
+    model = pca.fit(tr, WIDTH)
+    pred = knn.classify(pca.project(model, te), pca.project(model, tr), K_DEFAULT, actual="label")
+    return metrics.overall_report(pred, digits=DIGITS)
