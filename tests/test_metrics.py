@@ -58,3 +58,10 @@ def test_accuracy_and_error(spark):
 
 def test_distinct_classes_sorted(spark):
     assert [r["class"] for r in metrics.distinct_classes(pairs_df(spark)).collect()] == [0, 1, 2]
+
+
+def test_evaluate_matches_separate_reports(spark):
+    df = pairs_df(spark)
+    overall, per_class = metrics.evaluate(df, digits=6)
+    assert overall.collect() == metrics.overall_report(df, digits=6).collect()
+    assert per_class.collect() == metrics.classification_report(df, digits=6).collect()

@@ -77,7 +77,11 @@ def _prf(counts: DataFrame) -> DataFrame:
 
 def per_class(frame: DataFrame, label: str = "label", prediction: str = "prediction",
               include_predicted_only: bool = False) -> DataFrame:
-    counts = class_counts(confusion(frame, label, prediction))
+    return _per_class_from(confusion(frame, label, prediction), include_predicted_only)
+
+
+def _per_class_from(conf: DataFrame, include_predicted_only: bool = False) -> DataFrame:
+    counts = class_counts(conf)
     if not include_predicted_only:
         counts = counts.filter(F.col("support") > 0)
     return _prf(counts)
@@ -86,7 +90,11 @@ def per_class(frame: DataFrame, label: str = "label", prediction: str = "predict
 def classification_report(frame: DataFrame, label: str = "label", prediction: str = "prediction",
                           digits: int = 3) -> DataFrame:
     """``class, precision, recall, f_score`` per actual class, sorted by class."""
-    pc = per_class(frame, label, prediction)
+    return _class_report_from(confusion(frame, label, prediction), digits)
+
+
+def _class_report_from(conf: DataFrame, digits: int) -> DataFrame:
+    pc = _per_class_from(conf)
     return pc.select("class", *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f_score")]
                      ).orderBy("class")
 
@@ -94,7 +102,25 @@ def classification_report(frame: DataFrame, label: str = "label", prediction: st
 def overall_report(frame: DataFrame, label: str = "label", prediction: str = "prediction",
                    digits: int | None = None) -> DataFrame:
     """One row: accuracy and micro / macro / weighted precision, recall, F."""
-    pc = per_class(frame, label, prediction)
+    return _overall_from(confusion(frame, label, prediction), digits)
+
+
+def evaluate(frame: DataFrame, label: str = "label", prediction: str = "prediction",
+             digits: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Overall and per-class reports from one pass over the predictions.
+
+    The confusion counts (at most classes^2 rows) are checkpointed into the session's shared
+    checkpoint folder: the upstream work (e.g. a kNN search) runs once, and both reports
+    read the small table, not the lineage.
+    """
+    from vecforge.session import checkpoint_dir
+    checkpoint_dir(frame.sparkSession)
+    conf = confusion(frame, label, prediction).checkpoint(eager=True)
+    return _overall_from(conf, digits), _class_report_from(conf, digits)
+
+
+def _overall_from(conf: DataFrame, digits: int | None) -> DataFrame:
+    pc = _per_class_from(conf)
     total = F.sum("support")
     out = pc.agg(
         (F.sum("tp") / total).alias("accuracy"),
