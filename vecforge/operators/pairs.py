@@ -43,20 +43,20 @@ def class_centroids(frame: DataFrame, vec: str = "vec", label: str = "label") ->
 
 
 def with_centroid(frame: DataFrame, vec: str = "vec", label: str = "label") -> DataFrame:
-    """Attach each row's class centroid (equi-join on the label; broadcast when provably small)."""
-    cents = class_centroids(frame, vec, label)
-    n_classes = cents.count()
-    width = max(1, _width(frame, vec))
-    if n_classes * width * 8 <= CENTROID_BROADCAST_BYTES:
+    """Attach each row's class centroid (equi-join on the label; broadcast when provably small).
+
+    The centroid table (classes x width) is computed once and checkpointed into the shared
+    checkpoint folder; its exact size then decides broadcast or shuffle join.
+    """
+    from vecforge.session import checkpoint_dir
+    checkpoint_dir(frame.sparkSession)
+    cents = class_centroids(frame, vec, label).checkpoint(eager=True)
+    stats = cents.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("centroid")).alias("d")).first()
+    if int(stats["n"]) * max(1, int(stats["d"] or 0)) * 8 <= CENTROID_BROADCAST_BYTES:
         cents = F.broadcast(cents)
     return frame.join(cents.withColumnRenamed("label", label), label)
 
 
-def _width(frame: DataFrame, vec: str) -> int:
-    row = frame.agg(F.max(F.size(vec)).alias("d")).first()
-    return int(row["d"] or 0)
-
-
 def partner_dot_sums(frame: DataFrame, id_col: str = "id", vec: str = "vec") -> DataFrame:
     """``(id, dot_sum)``: each vector's dot products with every *other* row, summed.
 
