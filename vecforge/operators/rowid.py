@@ -5,7 +5,8 @@
 * :func:`with_file_order_index` - contiguous ``0 .. n-1`` in file order, for layouts where
   rows of two files are paired by position. It needs no global sort and no single-task
   window over the data: rows are counted per file split, the (small) split table gets
-  running offsets, and each row adds its position inside its split.
+  running offsets and is checkpointed, and each row adds its position inside its split.
+  Two passes over the input in all.
 """
 
 from __future__ import annotations
@@ -35,8 +36,13 @@ def with_file_order_index(scan: DataFrame, name: str = "row_index") -> DataFrame
     splits = tagged.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_first"))
     # one row per split: a running sum over this small table is cheap even in one task
     running = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    # materialised once in the shared checkpoint folder: sizing the join and the join itself
+    # read this small table instead of re-aggregating the input
+    from vecforge.session import checkpoint_dir
+    checkpoint_dir(scan.sparkSession)
     offsets = splits.select("_file", "_start", "_first",
-                            F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset"))
+                            F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset")
+                            ).checkpoint(eager=True)
     n_splits = offsets.count()
     side = F.broadcast(offsets) if n_splits <= SPLIT_TABLE_BROADCAST_ROWS else offsets
     joined = tagged.join(side, ["_file", "_start"])
