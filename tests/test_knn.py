@@ -214,3 +214,32 @@ def check_kernel(nq, nt, d, k, metric, ties, seed):
 def test_cell_kernel_block_bound_path(nq, nt, d, k, metric, ties, seed):
     # wide reference blocks take the block-minimum bound; tiny integer grids force heavy ties
     check_kernel(nq, nt, d, k, metric, ties, seed)
+
+
+def test_in_task_vote_matches_dataframe_vote(spark):
+    train, test = train_test(spark, SF_MID)
+    for metric, tr, te in (("euclidean", train, test), ("cosine", scaled(train), scaled(test))):
+        fused = {r["test_id"]: (r["label"], r["prediction"]) for r in
+                 knn.classify(te, tr, 6, metric, method="broadcast", actual="label").collect()}
+        plain = {r["test_id"]: (r["label"], r["prediction"]) for r in
+                 knn.majority_vote(knn.neighbors(te, tr, 6, metric, method="block", carry=["label"]),
+                                   metric, by=["label"]).withColumnRenamed("label", "label").collect()}
+        assert fused == plain and len(fused) == 100
+
+
+def test_in_task_vote_tie_rules(spark):
+    # votes 2-2: label 3 has the nearer best distance
+    train = frame(spark, [(1, [0.5], 3), (2, [0.6], 4), (3, [0.9], 3), (4, [0.95], 4)])
+    test = frame(spark, [(10, [0.0], 0)])
+    assert knn.classify(test, train, 4, method="broadcast").first()["prediction"] == 3
+    # votes 1-1 and equal best distance: the smaller label
+    train = frame(spark, [(1, [-0.5], 6), (2, [0.5], 5)])
+    assert knn.classify(test, train, 2, method="broadcast").first()["prediction"] == 5
+
+
+def test_vote_rows_kernel():
+    rows = np.array([0, 0, 0, 1, 1])
+    key = np.array([0.1, 0.2, 0.3, 0.5, 0.5])
+    lab = np.array([7, 8, 8, 2, 1])
+    gr, gl, votes, best = knn.vote_rows(rows, key, lab)
+    assert list(gr) == [0, 1] and list(gl) == [8, 1] and list(votes) == [2, 1]

@@ -318,20 +318,64 @@ def _block_cells(q, r, grid, k, metric, keep_ties, carry):
             .applyInArrow(fn, schema=schema))
 
 
-def _broadcast_rows(q, r, k, metric, keep_ties, carry):
+def vote_rows(rows: np.ndarray, key: np.ndarray, lab: np.ndarray):
+    """The majority vote over kept neighbours, inside a task.
+
+    ``rows`` is the query index of each neighbour, ``key`` its score key (smaller is nearer,
+    null similarity as +inf) and ``lab`` its numeric label. Same rule as :func:`majority_vote`:
+    most votes, then the smallest best key, then the smallest label. Returns
+    ``(row, prediction, votes, best_key)``, one entry per query row.
+    """
+    if len(rows) == 0:
+        return rows, lab[:0], np.zeros(0, np.int64), key[:0]
+    order = np.lexsort((lab, rows))
+    r2, l2, k2 = rows[order], lab[order], key[order]
+    new = np.ones(len(r2), bool)
+    new[1:] = (r2[1:] != r2[:-1]) | (l2[1:] != l2[:-1])
+    starts = np.flatnonzero(new)
+    votes = np.diff(np.append(starts, len(r2)))
+    best = np.minimum.reduceat(k2, starts)
+    gr, gl = r2[starts], l2[starts]
+    pick = np.lexsort((gl, best, -votes, gr))
+    gr, gl, votes, best = gr[pick], gl[pick], votes[pick], best[pick]
+    first = np.ones(len(gr), bool)
+    first[1:] = gr[1:] != gr[:-1]
+    return gr[first], gl[first], votes[first], best[first]
+
+
+_VOTABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+
+
+def _broadcast_rows(q, r, k, metric, keep_ties, carry, vote: bool = False):
     """Train side (size already checked) shipped once to every executor as a broadcast
     variable; each test partition is scored where it was read, Arrow batch by batch.
-    Every test row meets every train row in one call, so the result is final."""
+    Every test row meets every train row in one call, so the result is final.
+
+    With ``vote`` (numeric, non-null labels only) the vote is taken in the same call and the
+    output is ``test_id, *carry, prediction, votes, best_<score>``: classification then needs
+    no shuffle at all. Returns ``(frame, voted)``.
+    """
     spark = q.sparkSession
     tbl = r.select("tid", "tv", "label").toArrow()
     Tm = _matrix(tbl.column("tv")) if tbl.num_rows else np.zeros((0, 0))
-    shipped = spark.sparkContext.broadcast(
-        (Tm, tbl.column("tid").to_numpy(), tbl.column("label").combine_chunks()))
-    schema = _output_schema(q, r, metric, carry)
+    labels = tbl.column("label").combine_chunks()
+    vote = vote and not keep_ties and labels.null_count == 0 and isinstance(
+        r.schema["label"].dataType, _VOTABLE)
+    shipped = spark.sparkContext.broadcast((Tm, tbl.column("tid").to_numpy(), labels))
     name = score_name(metric)
+    euclid = metric == EUCLIDEAN
+    if vote:
+        schema = T.StructType([T.StructField("test_id", T.LongType())] +
+                              [T.StructField(c, q.schema[c].dataType) for c in carry] +
+                              [T.StructField("prediction", r.schema["label"].dataType),
+                               T.StructField("votes", T.LongType()),
+                               T.StructField(f"best_{name}", T.DoubleType())])
+    else:
+        schema = _output_schema(q, r, metric, carry)
 
     def run(batches):
-        T_all, tids, labels = shipped.value
+        T_all, tids, labs = shipped.value
+        lab_np = labs.to_numpy(zero_copy_only=False) if vote else None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -344,16 +388,26 @@ def _broadcast_rows(q, r, k, metric, keep_ties, carry):
             else:
                 rr = cc = np.zeros(0, np.int64)
                 score, rank = np.zeros(0), np.zeros(0, np.int32)
-            take_r = pa.array(rr, pa.int64())
-            take_c = pa.array(cc, pa.int64())
-            cols = [batch.column(col("qid")).take(take_r)]
-            cols += [batch.column(col(extra)).take(take_r) for extra in carry]
-            cols += [pa.array(tids[cc], pa.int64()), labels.take(take_c),
-                     pa.array(score, pa.float64(), mask=np.isnan(score)), pa.array(rank, pa.int32())]
-            names = ["test_id", *carry, "train_id", "train_label", name, "rank"]
+            if vote:
+                key = score if euclid else np.where(np.isnan(score), np.inf, -score)
+                gr, gl, votes, best = vote_rows(rr, key, lab_np[cc])
+                best_score = best if euclid else np.where(np.isinf(best), np.nan, -best)
+                take_r = pa.array(gr, pa.int64())
+                cols = [batch.column(col("qid")).take(take_r)]
+                cols += [batch.column(col(extra)).take(take_r) for extra in carry]
+                cols += [pa.array(gl, labs.type), pa.array(votes, pa.int64()),
+                         pa.array(best_score, pa.float64(), mask=np.isnan(best_score))]
+                names = ["test_id", *carry, "prediction", "votes", f"best_{name}"]
+            else:
+                take_r = pa.array(rr, pa.int64())
+                cols = [batch.column(col("qid")).take(take_r)]
+                cols += [batch.column(col(extra)).take(take_r) for extra in carry]
+                cols += [pa.array(tids[cc], pa.int64()), labs.take(pa.array(cc, pa.int64())),
+                         pa.array(score, pa.float64(), mask=np.isnan(score)), pa.array(rank, pa.int32())]
+                names = ["test_id", *carry, "train_id", "train_label", name, "rank"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return q.mapInArrow(run, schema)
+    return q.mapInArrow(run, schema), vote
 
 
 def _native_cells(q, r, grid, k, metric, keep_ties, carry):
@@ -400,6 +454,30 @@ def _native_cells(q, r, grid, k, metric, keep_ties, carry):
                            score.alias(score_name(metric)), (F.col("pos") + 1).cast("int").alias("rank"))
 
 
+def _resolve(test, train, k, metric, method, test_id, train_id, vec, label, carry, grid,
+             max_block_rows, broadcast_bytes):
+    """Validate and pick the plan: ``("broadcast", q, r, None)`` or ``("grid", q, r, grid)``."""
+    _check(metric, k)
+    if method not in ("auto", "broadcast", "block", "native"):
+        raise ValueError("method must be 'auto', 'broadcast', 'block' or 'native'")
+    q, r = _inputs(test, train, test_id, train_id, vec, label, carry)
+    if method in ("auto", "broadcast") and grid is None:
+        n_q, n_r, dims = _side_stats(q, r, test, train)
+        fits = n_r * (8 * dims + 24) <= broadcast_bytes
+        if method == "broadcast" and not fits:
+            raise ValueError(f"train side ({n_r} x {dims}) exceeds the broadcast bound of {broadcast_bytes} bytes")
+        if fits:
+            # a small-in-bytes but compute-heavy test side (few splits) is spread over the task
+            # slots first; a large test side is already split finely and is not shuffled
+            want = max(1, min(2 * _parallelism(q), math.ceil(n_q * n_r * dims / MIN_CELL_WORK["block"])))
+            if q.rdd.getNumPartitions() < want:
+                q = q.repartition(want, "qid")
+            return "broadcast", q, r, None
+        grid = plan_grid(n_q, n_r, dims, _parallelism(q), max_block_rows, "block")
+    grid = grid or choose_grid(q, r, method, max_block_rows, test, train)
+    return "grid", q, r, grid
+
+
 def neighbors(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN, *,
               method: str = "auto", keep_ties: bool = False, test_id: str = "id",
               train_id: str = "id", vec: str = "vec", label: str = "label",
@@ -419,25 +497,12 @@ def neighbors(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN
     shuffle; ``"block"`` is the grid of bounded blocks for any size; ``"native"`` the same grid
     with built-in functions only; ``"auto"`` (default) picks broadcast when it fits, else block.
     """
-    _check(metric, k)
     carry = list(carry)
-    q, r = _inputs(test, train, test_id, train_id, vec, label, carry)
-    if method not in ("auto", "broadcast", "block", "native"):
-        raise ValueError("method must be 'auto', 'broadcast', 'block' or 'native'")
-    if method in ("auto", "broadcast") and grid is None:
-        n_q, n_r, dims = _side_stats(q, r, test, train)
-        fits = n_r * (8 * dims + 24) <= broadcast_bytes
-        if method == "broadcast" and not fits:
-            raise ValueError(f"train side ({n_r} x {dims}) exceeds the broadcast bound of {broadcast_bytes} bytes")
-        if fits:
-            # a small-in-bytes but compute-heavy test side (few splits) is spread over the task
-            # slots first; a large test side is already split finely and is not shuffled
-            want = max(1, min(2 * _parallelism(q), math.ceil(n_q * n_r * dims / MIN_CELL_WORK["block"])))
-            if q.rdd.getNumPartitions() < want:
-                q = q.repartition(want, "qid")
-            return _broadcast_rows(q, r, int(k), metric, keep_ties, carry).repartition("test_id")
-        grid = plan_grid(n_q, n_r, dims, _parallelism(q), max_block_rows, "block")
-    grid = grid or choose_grid(q, r, method, max_block_rows, test, train)
+    plan, q, r, grid = _resolve(test, train, k, metric, method, test_id, train_id, vec, label, carry,
+                                grid, max_block_rows, broadcast_bytes)
+    if plan == "broadcast":
+        frame, _ = _broadcast_rows(q, r, int(k), metric, keep_ties, carry)
+        return frame.repartition("test_id")
     if method == "native":
         cells = _native_cells(q, r, grid, int(k), metric, keep_ties, carry)
     else:
@@ -476,16 +541,26 @@ def majority_vote(nbrs: DataFrame, metric: str = EUCLIDEAN, by: list[str] | tupl
 
 def classify(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN, *,
              method: str = "auto", test_id: str = "id", train_id: str = "id", vec: str = "vec",
-             label: str = "label", actual: str | None = None, grid: BlockGrid | None = None) -> DataFrame:
+             label: str = "label", actual: str | None = None, grid: BlockGrid | None = None,
+             broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """kNN classification: ``test_id, [label], prediction``.
 
     With ``actual`` (a test column, normally the true label) that column is carried through
     the search and returned as ``label`` so evaluation needs no join back to the test set.
+    On the broadcast plan the vote is taken inside the scoring task (no shuffle at all);
+    otherwise it follows the neighbour merge, reusing its partitioning.
     """
     carry = [actual] if actual else []
-    nbrs = neighbors(test, train, k, metric, method=method, test_id=test_id, train_id=train_id,
-                     vec=vec, label=label, carry=carry, grid=grid)
-    voted = majority_vote(nbrs, metric, by=carry)
+    plan, q, r, grid = _resolve(test, train, k, metric, method, test_id, train_id, vec, label, carry,
+                                grid, None, broadcast_bytes)
+    voted = None
+    if plan == "broadcast":
+        frame, did_vote = _broadcast_rows(q, r, int(k), metric, False, carry, vote=True)
+        voted = frame if did_vote else majority_vote(frame.repartition("test_id"), metric, by=carry)
+    else:
+        nbrs = neighbors(test, train, k, metric, method=method, test_id=test_id, train_id=train_id,
+                         vec=vec, label=label, carry=carry, grid=grid)
+        voted = majority_vote(nbrs, metric, by=carry)
     cols = [F.col("test_id")]
     if actual:
         cols.append(F.col(actual).alias("label"))
