@@ -243,3 +243,12 @@ def test_vote_rows_kernel():
     lab = np.array([7, 8, 8, 2, 1])
     gr, gl, votes, best = knn.vote_rows(rows, key, lab)
     assert list(gr) == [0, 1] and list(gl) == [8, 1] and list(votes) == [2, 1]
+
+
+@pytest.mark.parametrize("method", ["broadcast", "block"])
+def test_classify_sweep_matches_single_k(spark, method):
+    train, test = train_test(spark, SF_MID)
+    sweep = knn.classify_sweep(test, train, [1, 4, 9], method=method, actual="label").collect()
+    for k in (1, 4, 9):
+        single = {r["test_id"]: r["prediction"] for r in knn.classify(test, train, k, method="block").collect()}
+        assert single == {r["test_id"]: r["prediction"] for r in sweep if r["k"] == k}

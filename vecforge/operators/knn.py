@@ -346,14 +346,17 @@ def vote_rows(rows: np.ndarray, key: np.ndarray, lab: np.ndarray):
 _VOTABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
 
-def _broadcast_rows(q, r, k, metric, keep_ties, carry, vote: bool = False):
+def _broadcast_rows(q, r, k, metric, keep_ties, carry, vote: bool = False,
+                    sweep: list[int] | None = None):
     """Train side (size already checked) shipped once to every executor as a broadcast
     variable; each test partition is scored where it was read, Arrow batch by batch.
     Every test row meets every train row in one call, so the result is final.
 
     With ``vote`` (numeric, non-null labels only) the vote is taken in the same call and the
     output is ``test_id, *carry, prediction, votes, best_<score>``: classification then needs
-    no shuffle at all. Returns ``(frame, voted)``.
+    no shuffle at all. With ``sweep`` as well (``k`` is then its maximum), one vote per listed
+    ``k`` over the neighbours ranked at most ``k``, with a leading ``k`` column.
+    Returns ``(frame, voted)``.
     """
     spark = q.sparkSession
     tbl = r.select("tid", "tv", "label").toArrow()
@@ -365,7 +368,8 @@ def _broadcast_rows(q, r, k, metric, keep_ties, carry, vote: bool = False):
     name = score_name(metric)
     euclid = metric == EUCLIDEAN
     if vote:
-        schema = T.StructType([T.StructField("test_id", T.LongType())] +
+        schema = T.StructType(([T.StructField("k", T.IntegerType())] if sweep else []) +
+                              [T.StructField("test_id", T.LongType())] +
                               [T.StructField(c, q.schema[c].dataType) for c in carry] +
                               [T.StructField("prediction", r.schema["label"].dataType),
                                T.StructField("votes", T.LongType()),
@@ -390,14 +394,20 @@ def _broadcast_rows(q, r, k, metric, keep_ties, carry, vote: bool = False):
                 score, rank = np.zeros(0), np.zeros(0, np.int32)
             if vote:
                 key = score if euclid else np.where(np.isnan(score), np.inf, -score)
-                gr, gl, votes, best = vote_rows(rr, key, lab_np[cc])
-                best_score = best if euclid else np.where(np.isinf(best), np.nan, -best)
-                take_r = pa.array(gr, pa.int64())
-                cols = [batch.column(col("qid")).take(take_r)]
-                cols += [batch.column(col(extra)).take(take_r) for extra in carry]
-                cols += [pa.array(gl, labs.type), pa.array(votes, pa.int64()),
-                         pa.array(best_score, pa.float64(), mask=np.isnan(best_score))]
-                names = ["test_id", *carry, "prediction", "votes", f"best_{name}"]
+                lab = lab_np[cc]
+                for kk in (sweep or [None]):
+                    keep = slice(None) if kk is None else rank <= kk
+                    gr, gl, votes, best = vote_rows(rr[keep], key[keep], lab[keep])
+                    best_score = best if euclid else np.where(np.isinf(best), np.nan, -best)
+                    take_r = pa.array(gr, pa.int64())
+                    cols = [pa.array(np.full(len(gr), kk, np.int32))] if sweep else []
+                    cols += [batch.column(col("qid")).take(take_r)]
+                    cols += [batch.column(col(extra)).take(take_r) for extra in carry]
+                    cols += [pa.array(gl, labs.type), pa.array(votes, pa.int64()),
+                             pa.array(best_score, pa.float64(), mask=np.isnan(best_score))]
+                    names = (["k"] if sweep else []) + ["test_id", *carry, "prediction", "votes", f"best_{name}"]
+                    yield pa.RecordBatch.from_arrays(cols, names=names)
+                continue
             else:
                 take_r = pa.array(rr, pa.int64())
                 cols = [batch.column(col("qid")).take(take_r)]
@@ -567,6 +577,33 @@ def classify(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN,
     return voted.select(*cols, "prediction")
 
 
+def classify_sweep(test: DataFrame, train: DataFrame, k_values: list[int], metric: str = EUCLIDEAN, *,
+                   method: str = "auto", test_id: str = "id", train_id: str = "id", vec: str = "vec",
+                   label: str = "label", actual: str | None = None,
+                   broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Predictions for several ``k`` from one search at ``max(k_values)``:
+    ``k, test_id, [label], prediction``. On the broadcast plan every vote is taken inside
+    the scoring task (no shuffle); otherwise :func:`k_sweep_votes` runs on the neighbours."""
+    ks = sorted({int(x) for x in k_values})
+    carry = [actual] if actual else []
+    plan, q, r, grid = _resolve(test, train, max(ks), metric, method, test_id, train_id, vec, label,
+                                carry, None, None, broadcast_bytes)
+    frame, voted = (None, False)
+    if plan == "broadcast":
+        frame, voted = _broadcast_rows(q, r, max(ks), metric, False, carry, vote=True, sweep=ks)
+    if voted:
+        out = frame
+    else:
+        nbrs = (frame.repartition("test_id") if frame is not None else
+                neighbors(test, train, max(ks), metric, method=method, test_id=test_id, train_id=train_id,
+                          vec=vec, label=label, carry=carry, grid=grid))
+        out = k_sweep_votes(nbrs, ks, metric, by=carry)
+    cols = [F.col("k"), F.col("test_id")]
+    if actual:
+        cols.append(F.col(actual).alias("label"))
+    return out.select(*cols, "prediction")
+
+
 def k_sweep_votes(nbrs: DataFrame, k_values: list[int], metric: str = EUCLIDEAN,
                   by: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Votes for many ``k`` from one neighbour table computed at ``max(k_values)``.

@@ -131,8 +131,7 @@ SELECT k, round(avg(CAST(label = prediction AS DOUBLE)), {DIGITS}) AS accuracy F
 def knn_k_sweep(spark, sf_dir):
     """Accuracy for k = 1..9 (cosine) from one neighbour search at k = 9."""
     train, test = train_test(spark, sf_dir)
-    nb = knn.neighbors(scaled(test), scaled(train), max(SWEEP_KS), "cosine", carry=["label"])
-    votes = knn.k_sweep_votes(nb, SWEEP_KS, "cosine", by=["label"])
+    votes = knn.classify_sweep(scaled(test), scaled(train), SWEEP_KS, "cosine", actual="label")
     return (votes.groupBy("k").agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))
                                    .alias("accuracy")).select("k", r6("accuracy")))
 
@@ -160,8 +159,8 @@ def knn_grid(spark, sf_dir):
     out = None
     for d in GRID_DIMS:
         model = pca.fit(train, d)
-        nb = knn.neighbors(pca.project(model, test), pca.project(model, train), max(GRID_KS), carry=["label"])
-        votes = knn.k_sweep_votes(nb, list(GRID_KS), by=["label"])
+        votes = knn.classify_sweep(pca.project(model, test), pca.project(model, train), list(GRID_KS),
+                                   actual="label")
         acc = (votes.groupBy("k").agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))
                                       .alias("accuracy"))
                .select(F.lit(d).alias("d"), "k", r6("accuracy")))
