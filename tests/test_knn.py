@@ -252,3 +252,11 @@ def test_classify_sweep_matches_single_k(spark, method):
     for k in (1, 4, 9):
         single = {r["test_id"]: r["prediction"] for r in knn.classify(test, train, k, method="block").collect()}
         assert single == {r["test_id"]: r["prediction"] for r in sweep if r["k"] == k}
+
+
+def test_null_vectors_are_skipped(spark):
+    train = frame(spark, [(1, [0.0, 0.0], 1), (2, None, 2), (3, [3.0, 0.0], 3)])
+    test = frame(spark, [(10, [0.1, 0.0], 0), (11, None, 0)])
+    for method in ("block", "native", "broadcast"):
+        nb = knn.neighbors(test, train, 5, method=method).orderBy("rank").collect()
+        assert [(r["test_id"], r["train_id"]) for r in nb] == [(10, 1), (10, 3)], method

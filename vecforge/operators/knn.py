@@ -82,6 +82,15 @@ def _matrix(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return values.reshape(n, d)
 
 
+def _valid_matrix(col: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Rows with a non-null vector as a matrix, and their positions in the input."""
+    arr = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+    if arr.null_count == 0:
+        return _matrix(arr), np.arange(len(arr))
+    keep = np.flatnonzero(arr.is_valid().to_numpy(zero_copy_only=False))
+    return _matrix(arr.take(pa.array(keep, pa.int64()))), keep
+
+
 def _fold_sq_diff(Q: np.ndarray, Tm: np.ndarray, r: np.ndarray, c: np.ndarray) -> np.ndarray:
     """sum_j (q_j - t_j)^2 folded left to right, as the SQL ``aggregate`` does, so exact
     scores are bit-identical across both formulations (ties included)."""
@@ -234,12 +243,13 @@ def _cell_function(k: int, metric: str, keep_ties: bool, carry: list[str]):
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows and right.num_rows:
-            Q = _matrix(left.column("qv"))
-            Tm = _matrix(right.column("tv"))
-            if Q.shape[1] != Tm.shape[1]:
+            Q, qrows = _valid_matrix(left.column("qv"))
+            Tm, trows = _valid_matrix(right.column("tv"))
+            if len(qrows) and len(trows) and Q.shape[1] != Tm.shape[1]:
                 raise ValueError("query and reference vectors differ in length")
-            tids = right.column("tid").to_numpy()
+            tids = right.column("tid").to_numpy()[trows]
             r, c, score, rank = cell_top_k(Q, Tm, tids, k, metric, keep_ties)
+            r, c = qrows[r], trows[c]
         else:
             r = c = np.zeros(0, np.int64)
             score = np.zeros(0)
@@ -262,11 +272,12 @@ def _cell_function(k: int, metric: str, keep_ties: bool, carry: list[str]):
 
 def _inputs(test: DataFrame, train: DataFrame, test_id: str, train_id: str, vec: str,
             label: str, carry: list[str]):
-    q = test.filter(F.col(vec).isNotNull()).select(
-        F.col(test_id).cast("long").alias("qid"), F.col(vec).alias("qv"), *carry)
-    r = train.filter(F.col(vec).isNotNull()).select(
-        F.col(train_id).cast("long").alias("tid"), F.col(vec).alias("tv"),
-        F.col(label).alias("label"))
+    """Standard column names. Rows with a null vector are skipped inside the Arrow kernels
+    (a filter here would be pushed below a derived vector - a PCA projection, a scaling - and
+    evaluate it twice per row)."""
+    q = test.select(F.col(test_id).cast("long").alias("qid"), F.col(vec).alias("qv"), *carry)
+    r = train.select(F.col(train_id).cast("long").alias("tid"), F.col(vec).alias("tv"),
+                     F.col(label).alias("label"))
     return q, r
 
 
@@ -293,7 +304,7 @@ def _side_stats(q: DataFrame, r: DataFrame, test: DataFrame | None = None,
     b = (train if train is not None else r).select(F.lit(False).alias("is_q"))
     row = a.unionByName(b).agg(F.count_if(F.col("is_q")).alias("nq"),
                                F.count_if(~F.col("is_q")).alias("nr")).first()
-    first = r.select(F.size("tv").alias("d")).first()
+    first = r.filter(F.col("tv").isNotNull()).select(F.size("tv").alias("d")).first()
     return int(row["nq"]), int(row["nr"]), max(1, int(first["d"]) if first else 1)
 
 
@@ -360,7 +371,8 @@ def _broadcast_rows(q, r, k, metric, keep_ties, carry, vote: bool = False,
     """
     spark = q.sparkSession
     tbl = r.select("tid", "tv", "label").toArrow()
-    Tm = _matrix(tbl.column("tv")) if tbl.num_rows else np.zeros((0, 0))
+    Tm, trows = _valid_matrix(tbl.column("tv")) if tbl.num_rows else (np.zeros((0, 0)), np.zeros(0, np.int64))
+    tbl = tbl.take(pa.array(trows, pa.int64()))
     labels = tbl.column("label").combine_chunks()
     vote = vote and not keep_ties and labels.null_count == 0 and isinstance(
         r.schema["label"].dataType, _VOTABLE)
@@ -385,10 +397,11 @@ def _broadcast_rows(q, r, k, metric, keep_ties, carry, vote: bool = False,
                 continue
             col = batch.schema.get_field_index
             if len(tids):
-                Q = _matrix(batch.column(col("qv")))
-                if Q.shape[1] != T_all.shape[1]:
+                Q, qrows = _valid_matrix(batch.column(col("qv")))
+                if len(qrows) and Q.shape[1] != T_all.shape[1]:
                     raise ValueError("query and reference vectors differ in length")
                 rr, cc, score, rank = cell_top_k(Q, T_all, tids, k, metric, keep_ties)
+                rr = qrows[rr]
             else:
                 rr = cc = np.zeros(0, np.int64)
                 score, rank = np.zeros(0), np.zeros(0, np.int32)
@@ -421,6 +434,8 @@ def _broadcast_rows(q, r, k, metric, keep_ties, carry, vote: bool = False,
 
 
 def _native_cells(q, r, grid, k, metric, keep_ties, carry):
+    q = q.filter(F.col("qv").isNotNull())
+    r = r.filter(F.col("tv").isNotNull())
     parts = grid.partitions(_parallelism(q))
     blocks = (r.withColumn("rb", block_of(F.col("tid"), grid.ref_blocks, F.col("tv")))
               .groupBy("rb")
