@@ -118,3 +118,14 @@ def report_lines(report: DataFrame, sep: str = "\t") -> list[str]:
     lines = [sep.join(report.columns)]
     lines += [sep.join("" if v is None else str(v) for v in row) for row in rows]
     return lines
+
+
+def read_four_file_layout(spark: SparkSession, train_features: str, train_labels: str,
+                          test_features: str, test_labels: str, n_features: int,
+                          label_type: T.DataType = T.IntegerType()) -> tuple[DataFrame, DataFrame]:
+    """Train and test sets each stored as a features file and a labels file (four headerless
+    files): ``(train, test)`` as ``(id, label, vec)`` with ``id`` the contiguous row position."""
+    def one(features: str, labels: str) -> DataFrame:
+        both = read_split_layout(spark, features, labels, n_features, label_type)
+        return both.select(F.col("row_index").alias("id"), "label", "vec")
+    return one(train_features, train_labels), one(test_features, test_labels)
