@@ -260,3 +260,26 @@ def test_null_vectors_are_skipped(spark):
     for method in ("block", "native", "broadcast"):
         nb = knn.neighbors(test, train, 5, method=method).orderBy("rank").collect()
         assert [(r["test_id"], r["train_id"]) for r in nb] == [(10, 1), (10, 3)], method
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.integers(1, 6), st.integers(1, 25), st.integers(1, 3), st.integers(1, 5),
+       st.sampled_from(["euclidean", "cosine"]), st.booleans(), st.integers(0, 10_000))
+def test_all_plans_agree_under_ties(spark, nq, nt, d, k, metric, ties, seed):
+    rng = np.random.default_rng(seed)
+    te_rows = [(int(i), [float(x) for x in rng.integers(-2, 3, d)], 0) for i in range(nq)]
+    tr_rows = [(int(100 + j), [float(x) for x in rng.integers(-2, 3, d)], int(rng.integers(0, 3)))
+               for j in range(nt)]
+    test, train = frame(spark, te_rows), frame(spark, tr_rows)
+    results = []
+    for method, grid in (("broadcast", None), ("block", None), ("block", BlockGrid(2, 3)),
+                         ("native", BlockGrid(2, 2))):
+        nb = knn.neighbors(test, train, k, metric, method=method, keep_ties=ties, grid=grid)
+        results.append(sorted((r["test_id"], r["train_id"], r["rank"]) for r in nb.collect()))
+    assert all(r == results[0] for r in results[1:])
+    if not ties:
+        expect = brute(te_rows, tr_rows, k, metric)
+        got = {}
+        for t, tid, _ in sorted(results[0], key=lambda x: (x[0], x[2])):   # by rank
+            got.setdefault(t, []).append(tid)
+        assert {q: [x[0] for x in v] for q, v in expect.items()} == got
