@@ -1,4 +1,4 @@
 """All queries of this package; importing it fills the registry."""
 
-from vecforge.llm import shard_queries  # noqa: F401
+from vecforge.llm import quality_queries, shard_queries, warc_queries  # noqa: F401
 from vecforge.llm.registry import ORACLES, QUERIES  # noqa: F401
