@@ -1,4 +1,5 @@
 """All queries of this package; importing it fills the registry."""
 
-from vecforge.llm import minhash_queries, quality_queries, shard_queries, warc_queries  # noqa: F401
+from vecforge.llm import (minhash_queries, quality_queries, shard_queries, suffix_queries,  # noqa: F401
+                          warc_queries)
 from vecforge.llm.registry import ORACLES, QUERIES  # noqa: F401
