@@ -1,5 +1,5 @@
 """All queries of this package; importing it fills the registry."""
 
-from vecforge.llm import (minhash_queries, packing_queries, quality_queries, shard_queries,  # noqa: F401
-                          suffix_queries, warc_queries)
+from vecforge.llm import (minhash_queries, packing_queries, pivot_queries, quality_queries,  # noqa: F401
+                          shard_queries, suffix_queries, warc_queries)
 from vecforge.llm.registry import ORACLES, QUERIES  # noqa: F401
