@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import re
-from itertools import chain
 
 import numpy as np
 
-from vecforge.llm.words import SPACE, hash_spans, split_words
+from vecforge.llm.pool import ChunkPool, flat_ids
+from vecforge.llm.words import hash_spans, split_words
 
 # White space beyond the six ASCII characters; texts that hold any are encoded whole.
 RARE_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 SUSPECT = np.zeros(256, bool)  # bytes that one of them begins with
 SUSPECT[[*range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = True
-POOL_IDS = 6 << 20  # ids remembered before it starts afresh
+AT_ONCE = 1 << 14  # chunks in one call: the library's results are much larger than the ids
 
 
 class ByteBpe:
@@ -29,27 +29,7 @@ class ByteBpe:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._clear()
-
-    def _clear(self):
-        self.known: dict[int, int] = {}
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.begin, self.size, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
-
-    def _add(self, texts: list[str]) -> None:
-        ids = [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-        while self.used + len(flat) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        while self.count + len(ids) > len(self.begin):
-            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
-        self.pool[self.used:self.used + len(flat)] = flat
-        new = slice(self.count, self.count + len(ids))
-        self.size[new] = sizes
-        self.begin[new] = self.used + np.cumsum(sizes) - sizes
-        self.used += len(flat)
-        self.count += len(ids)
+        self.pool = ChunkPool()
 
     def spans(self, buf: np.ndarray, offs: np.ndarray):
         """Starts and ends of all chunks, in order."""
@@ -75,23 +55,15 @@ class ByteBpe:
         raw = buf.tobytes()
         if SUSPECT[buf].any() and RARE_SPACE.search(raw):
             return self._whole(raw, offs)
-        if self.used > POOL_IDS:
-            self._clear()
         s, e = self.spans(buf, offs)
-        found, first, which = np.unique(hash_spans(buf, s, e), return_index=True, return_inverse=True)
-        keys = found.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.known]
-        if new:
-            at = first[new]
-            base = self.count
-            self._add([raw[a:b].decode() for a, b in zip(s[at].tolist(), e[at].tolist())])
-            self.known.update((keys[i], base + j) for j, i in enumerate(new))
-        number = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[which]
-        sizes = self.size[number]
-        upto = np.cumsum(sizes)
-        ids = self.pool[np.repeat(self.begin[number] - (upto - sizes), sizes) + np.arange(upto[-1] if len(upto) else 0)]
-        per_row = np.searchsorted(s, offs)  # chunks before each row
-        return ids, np.append([0], upto)[per_row]
+
+        def encode(at):
+            texts = [raw[a:b].decode() for a, b in zip(s[at].tolist(), e[at].tolist())]
+            return flat_ids([x.ids for i in range(0, len(texts), AT_ONCE) for x in
+                             self.model.encode_batch_fast(texts[i:i + AT_ONCE], add_special_tokens=False)])
+
+        ids, upto = self.pool.ids_of(hash_spans(buf, s, e), encode)
+        return ids, upto[np.searchsorted(s, offs)]
 
     def _whole(self, raw: bytes, offs: np.ndarray):
         out, bounds = [], [0]
