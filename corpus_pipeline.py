@@ -1,12 +1,69 @@
-"""The corpus pipeline: quality rules, near-duplicates, repeated passages, packing."""
+"""The corpus pipeline: quality rules, near-duplicates, repeated passages, packing.
 
-STAGES = []
-ORACLE_SQL = None
+Every stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before it kept. All but
+the last return the columns of ``docs``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from vecforge.llm.minhash import near_duplicates
+from vecforge.llm.packing import pack
+from vecforge.llm.quality import judge
+from vecforge.llm.suffix_dedup import remove_repeats
+from vecforge.session import scratch_path
+
+REPEAT_BYTES = 400  # least length of a repeated passage that goes
+
+
+def quality_rules(spark, docs, sf_dir):
+    """Documents that no rule rejects. A document without text has no words and goes."""
+    return judge(docs).filter("kept").select(*docs.columns)
+
+
+def near_dedup(spark, docs, sf_dir):
+    """One document of each group of near-duplicates, the one of least id.
+
+    Rows that share an id are one document, of which one row stays. Rows without an id are in no
+    group and all stay.
+    """
+    path = scratch_path(spark, "pipeline-groups")
+    near_duplicates(docs).write.parquet(path)
+    groups = spark.read.parquet(path).filter("doc_id IS NOT NULL")
+    gone = groups.filter("NOT kept").select("doc_id").distinct()
+    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1").select("doc_id")
+    stay = docs.join(gone, "doc_id", "left_anti")
+    if not repeated.head(1):
+        return stay.select(*docs.columns)
+    single = stay.join(repeated, "doc_id", "left_anti")
+    return single.unionByName(stay.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+
+
+def suffix_dedup(spark, docs, sf_dir):
+    """Texts without the passages of 400 bytes or more that also stand elsewhere, and ``n_chars`` of what is left."""
+    cut = remove_repeats(docs, length=REPEAT_BYTES)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
+
+
+def packing(spark, docs, sf_dir):
+    """Pieces of all documents in sequences of 1024 ids; a document left without text is its end id."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("suffix_dedup", suffix_dedup),
+          ("packing", packing)]
+ORACLE_SQL = None  # components, suffix sorting and tokenizing are not SQL; tests hold run() against brute force
 
 
 def run(spark, sf_dir):
-    """Apply the stages in order to ``documents``."""
+    """Apply the stages in order to ``documents``; what a stage keeps is written and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,5 +1,6 @@
 """All queries of this package; importing it fills the registry."""
 
-from vecforge.llm import (language_model_queries, minhash_queries, packing_queries, pivot_queries,  # noqa: F401
-                          quality_queries, sentence_piece_queries, shard_queries, suffix_queries, warc_queries)
+from vecforge.llm import (language_model_queries, license_queries, minhash_queries, packing_queries,  # noqa: F401
+                          pivot_queries, quality_queries, sentence_piece_queries, shard_queries, suffix_queries,
+                          warc_queries)
 from vecforge.llm.registry import ORACLES, QUERIES  # noqa: F401
