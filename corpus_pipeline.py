@@ -20,7 +20,8 @@ REPEAT_BYTES = 400  # least length of a repeated passage that goes
 
 def quality_rules(spark, docs, sf_dir):
     """Documents that no rule rejects. A document without text has no words and goes."""
-    return judge(docs).filter("kept").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "text")  # whole rows go through, whatever their columns are called
+    return judge(rows, carry=["row"]).filter("kept").select("row.*")
 
 
 def near_dedup(spark, docs, sf_dir):

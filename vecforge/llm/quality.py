@@ -142,9 +142,10 @@ def order_rules(docs: DataFrame, rules=RULES, text_col: str = "text", sample_row
 
     found = (part.mapInArrow(run, "rule string, spent double, hits long, seen long")
              .groupBy("rule").sum("spent", "hits", "seen").collect())  # one row a rule
-    rate = {r["rule"]: (r["sum(hits)"] + 0.5) / (r["sum(seen)"] + 1) * r["sum(seen)"] / max(r["sum(spent)"], 1e-9)
-            for r in found}
-    return sorted((r.name for r in rules), key=lambda name: (-rate.get(name, 0.0), name))
+    spent = {r["rule"]: max(r["sum(spent)"], 1e-9) for r in found}
+    rate = {r["rule"]: r["sum(hits)"] / spent[r["rule"]] for r in found}
+    # of rules that rejected nothing the cheapest is first
+    return sorted((r.name for r in rules), key=lambda name: (-rate.get(name, 0.0), spent.get(name, 0.0)))
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
