@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -69,8 +69,9 @@ def test_broadcast_bound_falls_back_to_grid(spark):
     forced = {r["test_id"]: r["prediction"] for r in
               knn.neighbors(test, train, 5, broadcast_bytes=1000).transform(knn.majority_vote).collect()}
     assert small == forced
-    with pytest.raises(ValueError):
-        knn.neighbors(test, train, 5, method="broadcast", broadcast_bytes=1000)
+    # beyond the bound "broadcast" completes, on the grid
+    beyond = knn.classify(test, train, 5, method="broadcast", broadcast_bytes=1000)
+    assert small == {r["test_id"]: r["prediction"] for r in beyond.collect()}
 
 
 def test_k_larger_than_train(spark):
@@ -181,7 +182,7 @@ def check_kernel(nq, nt, d, k, metric, ties, seed):
     Q = rng.integers(-2, 3, size=(nq, d)).astype(float)      # small integers: many exact ties
     T = rng.integers(-2, 3, size=(nt, d)).astype(float)
     tids = rng.permutation(nt * 3)[:nt].astype(np.int64)
-    r, c, score, rank = knn.cell_top_k(Q, T, tids, k, metric, ties)
+    r, c, score, rank = knn.cell_top_k(Q, knn.Reference(T, tids, metric), k, ties)
     for i in range(nq):
         # left-to-right folds, as Spark's aggregate: equal floats are ties exactly as the kernel sees them
         if metric == "euclidean":
@@ -283,3 +284,132 @@ def test_all_plans_agree_under_ties(spark, nq, nt, d, k, metric, ties, seed):
         for t, tid, _ in sorted(results[0], key=lambda x: (x[0], x[2])):   # by rank
             got.setdefault(t, []).append(tid)
         assert {q: [x[0] for x in v] for q, v in expect.items()} == got
+
+
+ODD = [None, float("nan"), float("inf"), float("-inf"), 1e200, 0.0, 1.0, -2.0]
+
+
+def plain_scores(te, tr, metric):
+    """(test_id, train_id) to score; None where either vector is malformed."""
+    def fine(v):
+        if any(x is None or x != x or abs(x) == float("inf") for x in v):
+            return False
+        n = sum(x * x for x in v)
+        return n < 1e300 and (metric == "euclidean" or n > 0)
+
+    out = {}
+    for i, q, _ in te:
+        for j, t, _ in tr:
+            ok = q is not None and t is not None
+            if not ok:
+                continue
+            if not (fine(q) and fine(t)):
+                out[i, j] = None
+            elif metric == "euclidean":
+                out[i, j] = sum((a - b) ** 2 for a, b in zip(q, t)) ** 0.5
+            else:
+                dots = sum(a * b for a, b in zip(q, t))
+                out[i, j] = dots / (sum(a * a for a in q) ** 0.5 * sum(b * b for b in t) ** 0.5)
+    return out
+
+
+@settings(max_examples=8, deadline=None, phases=[Phase.generate])  # shrinking Spark runs takes too long
+@given(st.lists(st.lists(st.sampled_from(ODD), min_size=2, max_size=2), min_size=1, max_size=4),
+       st.lists(st.lists(st.sampled_from(ODD), min_size=2, max_size=2), min_size=1, max_size=14),
+       st.integers(1, 6), st.sampled_from(["euclidean", "cosine"]), st.booleans())
+def test_malformed_vectors_on_every_plan(spark, qs, ts, k, metric, ties):
+    """Null, NaN, infinite and huge elements on either side: null scores, last, and no other row is touched."""
+    te = [(i, q, 0) for i, q in enumerate(qs)] + [(50, None, 0)]
+    tr = [(100 + j, t, j % 3) for j, t in enumerate(ts)] + [(300, None, 0)]
+    scores = plain_scores(te, tr, metric)
+    want = set()
+    for i, _, _ in te:
+        mine = sorted(((s is None, 0 if s is None else (s if metric == "euclidean" else -s), j)
+                       for (q, j), s in scores.items() if q == i))
+        for n, (null, key, j) in enumerate(mine):
+            rank = 1 + sum((a, round(b, 9)) < (null, round(key, 9)) for a, b, _ in mine) if ties else n + 1
+            if rank <= k:
+                want.add((i, j, null) if not ties else (i, j, null, rank))
+    test, train = frame(spark, te), frame(spark, tr)
+    for method, grid in (("broadcast", None), ("block", None), ("block", BlockGrid(2, 3)), ("native", BlockGrid(1, 2))):
+        rows = knn.neighbors(test, train, k, metric, method=method, keep_ties=ties, grid=grid).collect()
+        score = knn.score_name(metric)
+        got = {(r["test_id"], r["train_id"], r[score] is None, *([r["rank"]] if ties else [])) for r in rows}
+        if ties or metric == "euclidean":
+            assert got == want, (method, grid)
+        else:  # cosines of parallel vectors may differ in the last digit: ties at the cut are free
+            assert {(a, c) for a, _, c in got} == {(a, c) for a, _, c in want} and len(got) == len(want)
+
+
+def test_one_bad_element_keeps_all_predictions(spark):
+    train, test = train_test(spark, SF_MID)
+    bad = train.withColumn("vec", F.when(F.col("id") == 1, F.transform("vec", lambda x, i: F.when(i != 3, x)))
+                           .otherwise(F.col("vec")))
+    rest = train.filter("id <> 1")
+    want = {r["test_id"]: r["prediction"] for r in knn.classify(test, rest, 5).collect()}
+    for method in ("auto", "block", "native"):
+        assert {r["test_id"]: r["prediction"] for r in knn.classify(test, bad, 5, method=method).collect()} == want
+
+
+@pytest.mark.parametrize("bytes_", [1000, 1 << 30])
+def test_size_switch_gives_the_same_rows(spark, bytes_):
+    """Repeated ids and repeated rows come back as often as they came in, whatever the plan."""
+    train, test = train_test(spark, SF_MID)
+    some = test.filter("id < 60")
+    test = test.unionByName(some).unionByName(some.withColumn("vec", F.reverse("vec"))).withColumn("name", F.lit("x"))
+    words = train.withColumn("label", F.concat(F.lit("class "), F.col("label").cast("string")))
+    def run(tr, method):
+        nb = knn.neighbors(test, tr, 3, carry=["name"], method=method, broadcast_bytes=bytes_).collect()
+        cl = knn.classify(test, tr, 3, actual="label", method=method, broadcast_bytes=bytes_).collect()
+        sw = knn.classify_sweep(test, tr, [1, 3], method=method, broadcast_bytes=bytes_).collect()
+        return [sorted(map(repr, x)) for x in (nb, cl, sw)]
+
+    n = test.count()
+    for tr in (train, words):
+        auto, block = run(tr, "auto"), run(tr, "block")
+        assert auto == block
+        assert [len(x) for x in auto] == [3 * n, n, 2 * n]
+
+
+def test_ml_vectors_are_taken(spark):
+    from pyspark.ml.functions import array_to_vector
+    train, test = train_test(spark, SF_MID)
+    ml = [side.withColumn("vec", array_to_vector("vec")) for side in (test, train)]
+    for method in ("auto", "block", "native"):
+        assert collect_nb(knn.neighbors(*ml, 3, method=method)) == collect_nb(knn.neighbors(test, train, 3))
+    q = list(test.orderBy("id").first()["vec"])
+    assert ([r["train_id"] for r in knn.single_query_neighbors(ml[1], q, 4).orderBy("rank").collect()]
+            == [r["train_id"] for r in knn.single_query_neighbors(train, q, 4).orderBy("rank").collect()])
+
+
+@pytest.mark.parametrize("case", ["plain", "outlier", "equal"])
+def test_kernel_memory_is_bounded(case):
+    """One outlier row or equal rows keep the candidates of a chunk from piling up over chunks."""
+    import tracemalloc
+    rng = np.random.default_rng(0)
+    Q, T = rng.normal(size=(1000, 8)), rng.normal(size=(8192, 8))
+    if case == "outlier":
+        T[17] *= 1e9
+    if case == "equal":
+        T[:] = T[0]
+    tracemalloc.start()
+    r, c, score, rank = knn.cell_top_k(Q, knn.Reference(T, np.arange(8192), "euclidean"), 5, False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(r) == 5000 and peak < 350 << 20
+    exact = np.sqrt(((Q[:20, None, :] - T[None, :, :]) ** 2).sum(axis=2))
+    assert np.allclose(np.sort(exact, axis=1)[:, :5].ravel(), score[:100])
+
+
+def test_planning_runs_no_upstream_shuffle(spark):
+    """Choosing a plan runs the counting jobs only, and none at all when the sizes are given."""
+    train, test = train_test(spark, SF_MID)
+    group = "knn-planning"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        heavy = test.groupBy("id").agg(F.first("vec").alias("vec"))
+        knn._resolve(heavy, train, 3, "euclidean", "block", "id", "id", "vec", "label", [], None, None, 1 << 20,
+                     (100, 400, 64))
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

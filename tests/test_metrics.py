@@ -65,3 +65,9 @@ def test_evaluate_matches_separate_reports(spark):
     overall, per_class = metrics.evaluate(df, digits=6)
     assert overall.collect() == metrics.overall_report(df, digits=6).collect()
     assert per_class.collect() == metrics.classification_report(df, digits=6).collect()
+
+
+def test_null_prediction_counts_as_wrong(spark):
+    pred = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, None)], "label int, prediction double")
+    assert abs(metrics.accuracy(pred).first()["accuracy"] - 2 / 3) < 1e-12
+    assert abs(metrics.correct_count(pred).first()["accuracy"] - 2 / 3) < 1e-12

@@ -62,4 +62,4 @@ def test_grid_full_width_equals_raw_space(spark, data):
         pred = knn.classify(test, train, k, actual="label")
         acc = pred.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
         assert grid[(64, k)] == pytest.approx(round(acc, 6))
-    assert {d for d, _ in grid} == {16, 32, 64}
+    assert {d for d, _ in grid} == {16, 32, 50, 64}

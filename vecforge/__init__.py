@@ -7,7 +7,7 @@ work is spread over the cluster:
 * ``vecforge.functions``  array<double> column expressions (dot, norms, distances, ...)
 * ``vecforge.operators``  row ids, pair scores, block kNN, votes, PCA, classifiers, metrics
 * ``vecforge.plans``      the named queries (and their DuckDB oracles) built from the above
-* ``vecforge.streaming``  intentionally empty (no streaming work in scope)
+* ``vecforge.llm``        operators for training corpora (a removable subpackage)
 """
 
 from vecforge.session import build_session, scratch_path

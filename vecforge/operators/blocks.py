@@ -11,33 +11,39 @@ uniform whatever the data looks like (no hot key).
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Block sizing bounds.
-MAX_BLOCK_CELLS = 1 << 21      # rows * dims of one block (16 MiB of doubles)
-MAX_BLOCK_ROWS = 8192
+# A block's bytes, not its rows, are bounded: the cells' shuffle is n_q * B_ref + n_ref * B_q rows, and
+# for two blocks that share one memory bound equal sizes make it least.
+MAX_BLOCK_BYTES = 32 << 20     # of doubles in one block
+MAX_NATIVE_ROWS = 2048         # of a block that one row value holds as an array
+PARTITION_BYTES = 256 << 20    # of cell input that one task reads, if it has several cells
 MIN_QUERY_BLOCK_ROWS = 16
 # Multiply-adds one grid cell should at least carry before the grid is split further for
 # parallelism: BLAS scores ~1e9/s per core, interpreted higher-order functions ~1e7/s.
 MIN_CELL_WORK = {"block": 1 << 27, "native": 1 << 20}
-MAX_PARTITIONS_PER_SLOT = 4
+MIN_PARTITIONS_PER_SLOT = 4
 
 
 @dataclass(frozen=True)
 class BlockGrid:
     query_blocks: int
     ref_blocks: int
+    shuffle_bytes: int = field(default=0, compare=False)  # estimated, of both sides' copies
 
     @property
     def cells(self) -> int:
         return self.query_blocks * self.ref_blocks
 
     def partitions(self, parallelism: int) -> int:
-        """Shuffle partitions for the cell exchange: one per cell, at most a few per task slot."""
-        return max(1, min(self.cells, MAX_PARTITIONS_PER_SLOT * max(1, parallelism)))
+        """Shuffle partitions for the cell exchange: a few per task slot and no more bytes each
+        than ``PARTITION_BYTES`` (whatever the parallelism is now), at most one per cell."""
+        by_bytes = math.ceil(self.shuffle_bytes / PARTITION_BYTES)
+        return max(1, min(self.cells, max(by_bytes, MIN_PARTITIONS_PER_SLOT * max(1, parallelism))))
 
 
 def plan_grid(n_query: int, n_ref: int, dims: int, parallelism: int,
@@ -50,15 +56,17 @@ def plan_grid(n_query: int, n_ref: int, dims: int, parallelism: int,
     load), the query side is split further - each extra query block costs one more copy of a
     reference block, and no merge step.
     """
-    cap = max_block_rows or max(MIN_QUERY_BLOCK_ROWS, min(MAX_BLOCK_ROWS, MAX_BLOCK_CELLS // max(dims, 1)))
+    cap = max_block_rows or max(MIN_QUERY_BLOCK_ROWS, MAX_BLOCK_BYTES // (8 * max(dims, 1)))
+    if method == "native":
+        cap = min(cap, MAX_NATIVE_ROWS)
     bq = max(1, math.ceil(n_query / cap))
     br = max(1, math.ceil(n_ref / cap))
     work = n_query * n_ref * max(dims, 1)
-    wanted = max(1, min(MAX_PARTITIONS_PER_SLOT * parallelism, math.ceil(work / MIN_CELL_WORK[method])))
+    wanted = max(1, min(MIN_PARTITIONS_PER_SLOT * parallelism, math.ceil(work / MIN_CELL_WORK[method])))
     if bq * br < wanted:
         most_q = max(1, math.ceil(n_query / MIN_QUERY_BLOCK_ROWS))
         bq = max(bq, min(most_q, math.ceil(wanted / br)))
-    return BlockGrid(bq, br)
+    return BlockGrid(bq, br, (8 * dims + 24) * (n_query * br + n_ref * bq))
 
 
 def block_of(id_col: Column, blocks: int, *spread: Column) -> Column:

@@ -4,13 +4,14 @@ Three plans for the same operator, all exact, none with a cross join or an all-p
 
 * ``method="broadcast"``: a train side of proven size is shipped to every executor once;
   test partitions are scored where they were read (``mapInArrow``), so the test side is never
-  shuffled. Chosen by ``method="auto"`` whenever the size check passes.
+  shuffled. Chosen by ``method="auto"`` whenever the size check passes; beyond the bound
+  ``method="broadcast"`` takes the grid, so it completes at any size.
 
 * ``method="block"`` (the scale path for any size, on the grid of :mod:`vecforge.operators.blocks`):
-  a cogrouped Arrow function per grid cell scores the
-  block pair with one matrix product, keeps ``k`` plus the float-error slack per query, and
-  recomputes the kept candidates' distances exactly. Only ``n_query * B_ref * k`` rows leave
-  the cells.
+  a cogrouped Arrow function per grid cell scores the block pair with matrix products, chunk by
+  chunk, keeps the candidates within the float-error slack of each pair, recomputes their
+  distances exactly and cuts to ``k`` before the next chunk.
+  Only ``n_query * B_ref * k`` rows leave the cells.
 * ``method="native"``: reference blocks are folded into bounded ``array<struct>`` values and
   each query row scores its block with built-in higher-order functions (JVM only).
 
@@ -18,8 +19,14 @@ A global ``row_number`` (or ``rank`` when ties are kept) over ``(score, train_id
 per-block candidates; with a single reference block the cell result is already final and that
 shuffle is skipped.
 
-Orderings (fixed semantics): Euclidean ascending distance; cosine descending similarity
-with nulls (zero vectors) last; equal scores are broken by ``train_id``.
+Orderings (fixed semantics): Euclidean ascending distance; cosine descending similarity;
+null scores last; equal scores are broken by ``train_id``. A row without a vector (null) takes no
+part. A vector is malformed if its sum of squares is null, NaN or not below ``NORM_LIMIT`` (a null,
+NaN or infinite element, or one too large to square), and for cosine if it is zero: its score
+with any other is null. The rules hold on every plan, and one such row changes no other score.
+
+Test rows are told apart by id, vector and carried columns; rows equal in all of them are
+searched once on the grid and given back as often as they came, as on the broadcast plan.
 """
 
 from __future__ import annotations
@@ -32,7 +39,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecforge.functions.vectors import cosine_similarity, euclidean
+from pyspark.ml.linalg import VectorUDT
+
+from vecforge.functions.vectors import cosine_similarity, euclidean, norm2, to_array
 from vecforge.operators.blocks import (MIN_CELL_WORK, BlockGrid, block_of, lay_out, plan_grid,
                                        replicate)
 
@@ -44,7 +53,9 @@ _EPS = float(np.finfo(np.float64).eps)
 # The train side is broadcast only below this many bytes of vectors (rows * width * 8
 # plus key and label); above it the block grid is used.
 BROADCAST_BYTES = 256 << 20
-_CHUNK_CELLS = 1 << 22  # query rows * reference rows scored at once inside a cell
+SMALL_TEST_BYTES = 64 << 20  # a test side below this is spread over the task slots before scoring
+NORM_LIMIT = 1e300  # sums of squares from here on could overflow in a distance
+_CHUNK_CELLS = 1 << 21  # query rows * reference rows scored at once inside a cell
 
 
 def score_name(metric: str) -> str:
@@ -57,6 +68,13 @@ def score_order(metric: str, col: str | None = None) -> Column:
     return c.asc_nulls_last() if metric == EUCLIDEAN else c.desc_nulls_last()
 
 
+def usable(vec: Column, metric: str) -> Column:
+    """Whether a vector has scores at all (see the module's orderings)."""
+    squares = norm2(vec)
+    ok = squares < NORM_LIMIT
+    return F.coalesce(ok if metric == EUCLIDEAN else ok & (squares > 0), F.lit(False))
+
+
 def _check(metric: str, k: int) -> None:
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}, got {metric!r}")
@@ -118,82 +136,113 @@ def _fold_sq(M: np.ndarray) -> np.ndarray:
 _COL_BLOCK = 64  # reference columns per block of the candidate bound
 
 
-def _augment(Q: np.ndarray, Tm: np.ndarray, metric: str):
-    """Operands of one matrix product whose result orders each query's row like the metric.
+class Reference:
+    """The train rows of one block, prepared once: usable rows first class, malformed ones by id."""
+
+    def __init__(self, Tm: np.ndarray, tids: np.ndarray, metric: str):
+        self.metric, self.tids = metric, tids
+        ok = self.usable(Tm)
+        self.good = np.flatnonzero(ok)
+        self.by_id = np.argsort(tids, kind="stable")
+        self.bad_by_id = self.by_id[~ok[self.by_id]]
+        self.M = Tm if ok.all() else Tm[self.good]
+        self._product = None
+
+    def usable(self, M: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore", invalid="ignore"):
+            squares = _fold_sq(M)
+            ok = squares < NORM_LIMIT
+            return ok if self.metric == EUCLIDEAN else ok & (squares > 0)
+
+    @property
+    def product(self):
+        """``(operand, slack by row, largest slack by column block)`` of the matrix product.
+
+        Its result orders each query's row like the metric. Euclidean: ``[-q, 1] . [t, |t|^2 / 2]``
+        is ``(d^2 - |q|^2) / 2``; cosine: ``[-q / |q|, 1] . [t / |t|, 0]`` is minus the similarity.
+        Padded to whole column blocks with rows scoring +inf. The slack bounds the rounding error
+        that a reference row adds, so a row of large norm widens no other row's bound.
+        """
+        if self._product is None:
+            nt, d = self.M.shape
+            pad = (-nt) % _COL_BLOCK
+            Ta = np.zeros((nt + pad, d + 1))
+            slack = np.zeros(nt + pad)
+            squares = np.einsum("ij,ij->i", self.M, self.M)
+            if self.metric == EUCLIDEAN:
+                Ta[:nt, :d] = self.M
+                Ta[:nt, d] = 0.5 * squares
+                slack[:nt] = _slack(d) * squares
+            else:
+                Ta[:nt, :d] = self.M / np.sqrt(squares)[:, None]
+                slack[:nt] = 4.0 * _slack(d)
+            Ta[nt:, d] = np.inf
+            self._product = Ta, slack, slack.reshape(-1, _COL_BLOCK).max(axis=1)
+        return self._product
 
-    Euclidean: ``[-q, 1] . [t, |t|^2/2] = (d^2 - |q|^2)/2`` (same order as the distance).
-    Cosine: ``[-q/|q|, 1] . [t/|t|, 4 if |t| = 0]`` = minus the similarity; zero vectors land
-    after every real value (similarity lies in [-1, 1]).
-    The reference side is padded to whole column blocks with rows scoring +inf.
-    """
-    nq, d = Q.shape
-    nt = Tm.shape[0]
-    pad = (-nt) % _COL_BLOCK
-    Ta = np.zeros((nt + pad, d + 1))
-    Qa = np.empty((nq, d + 1))
-    Qa[:, d] = 1.0
-    if metric == EUCLIDEAN:
-        Qa[:, :d] = -Q
-        Ta[:nt, :d] = Tm
-        Ta[:nt, d] = 0.5 * np.einsum("ij,ij->i", Tm, Tm)
-    else:
-        qn = np.sqrt(np.einsum("ij,ij->i", Q, Q))
-        tn = np.sqrt(np.einsum("ij,ij->i", Tm, Tm))
-        np.divide(-Q, qn[:, None], out=Qa[:, :d], where=qn[:, None] > 0)
-        Qa[qn == 0, :d] = 0.0
-        np.divide(Tm, tn[:, None], out=Ta[:nt, :d], where=tn[:, None] > 0)
-        Ta[:nt, d] = np.where(tn > 0, 0.0, 4.0)
-    Ta[nt:, d] = np.inf
-    return Qa, Ta
-
-
-def _candidates(A: np.ndarray, nt: int, k: int, tol: np.ndarray):
-    """``(row, col)`` of every entry within ``2 tol`` of an upper bound of the row's k-th key.
-
-    The bound is the k-th smallest of the per-block minima (k blocks each hold an entry at
-    most that large, so the row's k-th key is no larger). Only blocks whose minimum passes the
-    limit are scanned; a row's true top k are always among the candidates.
+    def operand(self, Q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The query side of the product, and its part of the slack by query row."""
+        squares = np.einsum("ij,ij->i", Q, Q)
+        one = np.ones((len(Q), 1))
+        if self.metric == EUCLIDEAN:
+            return np.hstack([-Q, one]), _slack(Q.shape[1]) * squares
+        return np.hstack([-Q / np.sqrt(squares)[:, None], one]), np.zeros(len(Q))
+
+
+def _slack(d: int) -> float:
+    return (4.0 * d + 16.0) * _EPS
+
+
+_COL_BLOCK = 64  # reference columns per block of the candidate bound
+
+
+def _candidates(A: np.ndarray, nt: int, k: int, row_slack: np.ndarray, col_slack: np.ndarray,
+                block_slack: np.ndarray):
+    """``(row, col)`` of every entry whose lower bound is within an upper bound of the row's k-th key.
+
+    The upper bound is the k-th smallest over column blocks of (minimum + largest slack of the
+    block): k blocks each hold an entry at most that large. Only blocks whose minimum, less their
+    slack, passes are scanned; a row's true top k are always among the candidates.
     """
     m, width = A.shape
     nb = width // _COL_BLOCK
     if nb <= k:
         real = A[:, :nt]
-        lim = np.partition(real, k - 1, axis=1)[:, k - 1] + 2.0 * tol
-        return np.nonzero(real <= lim[:, None])
+        lim = np.partition(real + col_slack[:nt], k - 1, axis=1)[:, k - 1] + 2.0 * row_slack
+        return np.nonzero(real - col_slack[:nt] <= lim[:, None])
     mins = A.reshape(m, nb, _COL_BLOCK).min(axis=2)
-    lim = np.partition(mins, k - 1, axis=1)[:, k - 1] + 2.0 * tol
-    rb, bb = np.nonzero(mins <= lim[:, None])
+    lim = np.partition(mins + block_slack, k - 1, axis=1)[:, k - 1] + 2.0 * row_slack
+    rb, bb = np.nonzero(mins - block_slack <= lim[:, None])
     cols = bb[:, None] * _COL_BLOCK + np.arange(_COL_BLOCK)[None, :]
-    vals = A[rb[:, None], cols]
-    keep = (vals <= lim[rb][:, None]) & (cols < nt)
+    keep = (A[rb[:, None], cols] - col_slack[cols] <= lim[rb][:, None]) & (cols < nt)
     return np.broadcast_to(rb[:, None], cols.shape)[keep], cols[keep]
 
 
-def cell_top_k(Q: np.ndarray, Tm: np.ndarray, tids: np.ndarray, k: int, metric: str,
-               keep_ties: bool):
-    """Exact top-k of every query row against one reference block.
-
-    Returns ``(query_index, ref_index, score, rank)`` arrays. Candidates come from one matrix
-    product (approximate keys); every reference row that could be within the top k given the
-    rounding bound is kept and then scored exactly with left-to-right folds, so no true
-    neighbour is lost at the cut and there is no cap on candidates.
-    """
-    nq, d = Q.shape
-    nt = Tm.shape[0]
-    empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int32))
-    if nq == 0 or nt == 0:
-        return empty
-    euclid = metric == EUCLIDEAN
-    slack = (4.0 * d + 16.0) * _EPS
-    if euclid:
-        qn = np.einsum("ij,ij->i", Q, Q)
-        row_tol = slack * (qn + float(np.einsum("ij,ij->i", Tm, Tm).max()))
+def _ranked(r, key, tids, k: int, keep_ties: bool):
+    """``(order, rank)`` of the entries that rank at most ``k`` within their query row ``r``."""
+    order = np.lexsort((tids, key, r))
+    r, key = r[order], key[order]
+    idx = np.arange(len(r))
+    new_row = np.ones(len(r), bool)
+    new_row[1:] = r[1:] != r[:-1]
+    row_start = np.maximum.accumulate(np.where(new_row, idx, 0)) if len(r) else idx
+    if keep_ties:
+        new_key = new_row.copy()
+        new_key[1:] |= key[1:] != key[:-1]
+        rank = (np.maximum.accumulate(np.where(new_key, idx, 0)) if len(r) else idx) - row_start + 1
     else:
-        qsq, tsq = _fold_sq(Q), _fold_sq(Tm)
-        row_tol = np.full(nq, 4.0 * slack)
-        null_q = qsq == 0  # every similarity is null: all reference rows tie, train_id decides
-    if nt > k:
-        Qa, Ta = _augment(Q, Tm, metric)
+        rank = idx - row_start + 1
+    keep = rank <= k
+    return order[keep], rank[keep]
+
+
+def _scored_top_k(Q: np.ndarray, ref: Reference, k: int, keep_ties: bool):
+    """Top k among usable rows, chunk by chunk; only ``k`` a row (and ties) outlive a chunk."""
+    M, tids = ref.M, ref.tids[ref.good]
+    nq, nt = len(Q), len(M)
+    euclid = ref.metric == EUCLIDEAN
+    if not euclid:
+        q_norm, t_norm = np.sqrt(_fold_sq(Q)), np.sqrt(_fold_sq(M))
     step = max(1, _CHUNK_CELLS // nt)
     parts = []
     for s in range(0, nq, step):
@@ -201,41 +250,52 @@ def cell_top_k(Q: np.ndarray, Tm: np.ndarray, tids: np.ndarray, k: int, metric:
         if nt <= k:
             r, c = np.divmod(np.arange((e - s) * nt), nt)
         else:
-            A = Qa[s:e] @ Ta.T
-            if not euclid:
-                A[null_q[s:e], :nt] = 0.0
-            r, c = _candidates(A, nt, k, row_tol[s:e])
+            Ta, col_slack, block_slack = ref.product
+            Qa, row_slack = ref.operand(Q[s:e])
+            r, c = _candidates(Qa @ Ta.T, nt, k, row_slack, col_slack, block_slack)
         r = r + s
         if euclid:
-            key = np.sqrt(_fold_sq_diff(Q, Tm, r, c))
-            score = key
+            score = key = np.sqrt(_fold_sq_diff(Q, M, r, c))
         else:
-            dots = _fold_dot(Q, Tm, r, c)
-            den = np.sqrt(qsq[r]) * np.sqrt(tsq[c])
-            ok = den > 0
-            score = np.where(ok, dots / np.where(ok, den, 1.0), np.nan)
-            key = np.where(ok, -score, np.inf)
-        parts.append((r, c, key, score))
-    r = np.concatenate([p[0] for p in parts])
-    c = np.concatenate([p[1] for p in parts])
-    key = np.concatenate([p[2] for p in parts])
-    score = np.concatenate([p[3] for p in parts])
-    order = np.lexsort((tids[c], key, r))
-    r, c, key, score = r[order], c[order], key[order], score[order]
-    idx = np.arange(len(r))
-    new_row = np.ones(len(r), bool)
-    new_row[1:] = r[1:] != r[:-1]
-    row_start = np.maximum.accumulate(np.where(new_row, idx, 0))
-    pos = idx - row_start
-    if keep_ties:
-        new_key = new_row.copy()
-        new_key[1:] |= key[1:] != key[:-1]
-        rank = np.maximum.accumulate(np.where(new_key, idx, 0)) - row_start + 1
-        keep = rank <= k
-    else:
-        rank = pos + 1
-        keep = pos < k
-    return r[keep], c[keep], score[keep], rank[keep].astype(np.int32)
+            score = _fold_dot(Q, M, r, c) / (q_norm[r] * t_norm[c])
+            key = -score
+        order, rank = _ranked(r, key, tids[c], k, keep_ties)
+        parts.append((r[order], ref.good[c[order]], score[order], rank))
+    return [np.concatenate(x) for x in zip(*parts)]
+
+
+def cell_top_k(Q: np.ndarray, ref: Reference, k: int, keep_ties: bool):
+    """Exact top-k of every query row against one reference block.
+
+    Returns ``(query_index, ref_index, score, rank)`` arrays, a null score as NaN. Candidates come
+    from matrix products (approximate keys); every reference row that could be within the top k
+    given the rounding bound of the pair is scored exactly with left-to-right folds, so no true
+    neighbour is lost at the cut and there is no cap on candidates. Null scores rank after all
+    others, by train id; when ties are kept they are one tie.
+    """
+    out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]]
+
+    def add(*columns):
+        for held, column in zip(out, columns):
+            held.append(column)
+
+    if len(Q) and len(ref.tids):
+        ok = ref.usable(Q)
+        good, bad = np.flatnonzero(ok), np.flatnonzero(~ok)
+        n_good = len(ref.good)
+        if len(good) and n_good:
+            r, c, score, rank = _scored_top_k(Q if len(good) == len(Q) else Q[good], ref, k, keep_ties)
+            add(good[r], c, score, rank)
+        for rows, pool, before in ((good, ref.bad_by_id, n_good), (bad, ref.by_id, 0)):
+            if before >= k or not len(rows) or not len(pool):
+                continue
+            fill = pool if keep_ties else pool[:k - before]
+            rank = np.full(len(fill), before + 1) if keep_ties else before + 1 + np.arange(len(fill))
+            add(np.repeat(rows, len(fill)), np.tile(fill, len(rows)), np.full(len(rows) * len(fill), np.nan),
+                np.tile(rank, len(rows)))
+    r, c, score, rank = (np.concatenate(x) for x in out)
+    order = np.lexsort((ref.tids[c] if len(c) else c, rank, r))
+    return r[order], c[order], score[order], rank[order].astype(np.int32)
 
 
 def _cell_function(k: int, metric: str, keep_ties: bool, carry: list[str]):
@@ -247,8 +307,8 @@ def _cell_function(k: int, metric: str, keep_ties: bool, carry: list[str]):
             Tm, trows = _valid_matrix(right.column("tv"))
             if len(qrows) and len(trows) and Q.shape[1] != Tm.shape[1]:
                 raise ValueError("query and reference vectors differ in length")
-            tids = right.column("tid").to_numpy()[trows]
-            r, c, score, rank = cell_top_k(Q, Tm, tids, k, metric, keep_ties)
+            ref = Reference(Tm, right.column("tid").to_numpy()[trows], metric)
+            r, c, score, rank = cell_top_k(Q, ref, k, keep_ties)
             r, c = qrows[r], trows[c]
         else:
             r = c = np.zeros(0, np.int64)
@@ -270,17 +330,38 @@ def _cell_function(k: int, metric: str, keep_ties: bool, carry: list[str]):
 # DataFrame operators
 # --------------------------------------------------------------------------------------
 
+def _vector(frame: DataFrame, vec: str) -> Column:
+    """The vector column as ``array<double>``; ML vectors (dense or sparse) are converted here."""
+    col = F.col(vec)
+    return to_array(col) if isinstance(frame.schema[vec].dataType, VectorUDT) else col.cast("array<double>")
+
+
 def _inputs(test: DataFrame, train: DataFrame, test_id: str, train_id: str, vec: str,
             label: str, carry: list[str]):
     """Standard column names. Rows with a null vector are skipped inside the Arrow kernels
     (a filter here would be pushed below a derived vector - a PCA projection, a scaling - and
     evaluate it twice per row)."""
-    q = test.select(F.col(test_id).cast("long").alias("qid"), F.col(vec).alias("qv"), *carry)
-    r = train.select(F.col(train_id).cast("long").alias("tid"), F.col(vec).alias("tv"),
+    q = test.select(F.col(test_id).cast("long").alias("qid"), _vector(test, vec).alias("qv"), *carry)
+    r = train.select(F.col(train_id).cast("long").alias("tid"), _vector(train, vec).alias("tv"),
                      F.col(label).alias("label"))
     return q, r
 
 
+HIDDEN = ["_query", "_copies"]
+
+
+def _distinct_queries(q: DataFrame, carry: list[str]) -> DataFrame:
+    """Equal test rows as one, with their number and a key that tells rows of one id apart."""
+    return (q.groupBy("qid", "qv", *carry).agg(F.count(F.lit(1)).alias("_copies"))
+            .withColumn("_query", F.xxhash64("qid", "qv", *carry)))
+
+
+def _given_back(frame: DataFrame) -> DataFrame:
+    """As many rows as equal test rows came in, without the hidden columns."""
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
+    return frame.withColumn("_copy", copies).drop("_copy", *HIDDEN)
+
+
 def _output_schema(q: DataFrame, r: DataFrame, metric: str, carry: list[str]) -> T.StructType:
     fields = [T.StructField("test_id", T.LongType())]
     fields += [T.StructField(c, q.schema[c].dataType) for c in carry]
@@ -292,29 +373,31 @@ def _output_schema(q: DataFrame, r: DataFrame, metric: str, carry: list[str]) ->
 
 
 def _side_stats(q: DataFrame, r: DataFrame, test: DataFrame | None = None,
-                train: DataFrame | None = None) -> tuple[int, int, int]:
-    """Row counts of both sides and the vector width.
+                train: DataFrame | None = None) -> tuple[int, int, int, int]:
+    """Row counts of both sides, the vector width, and the bytes of the train labels.
 
     Counts come from the raw inputs when given (an upper bound - rows with null vectors are
     dropped later - which is safe for block sizing and for the broadcast bound), so the scan
     reads only key and filter columns: one stage over both inputs and a one-row aggregate.
-    The width comes from one row.
+    The width comes from one row. Callers that know these numbers pass ``sizes`` instead, which
+    saves running an input that is not a plain scan.
     """
-    a = (test if test is not None else q).select(F.lit(True).alias("is_q"))
-    b = (train if train is not None else r).select(F.lit(False).alias("is_q"))
-    row = a.unionByName(b).agg(F.count_if(F.col("is_q")).alias("nq"),
-                               F.count_if(~F.col("is_q")).alias("nr")).first()
+    fixed = isinstance(r.schema["label"].dataType, _FIXED_WIDTH)
+    label = F.lit(8) if fixed else F.coalesce(F.octet_length(F.col("label").cast("string")), F.lit(0)) + 16
+    a = (test if test is not None else q).select(F.lit(True).alias("is_q"), F.lit(0).alias("bytes"))
+    b = (train if train is not None and fixed else r).select(F.lit(False).alias("is_q"), label.alias("bytes"))
+    row = a.unionByName(b).agg(F.count_if(F.col("is_q")).alias("nq"), F.count_if(~F.col("is_q")).alias("nr"),
+                               F.sum(F.col("bytes").cast("long")).alias("bytes")).first()
     first = r.filter(F.col("tv").isNotNull()).select(F.size("tv").alias("d")).first()
-    return int(row["nq"]), int(row["nr"]), max(1, int(first["d"]) if first else 1)
+    return int(row["nq"]), int(row["nr"]), max(1, int(first["d"]) if first else 1), int(row["bytes"] or 0)
 
 
 def choose_grid(q: DataFrame, r: DataFrame, method: str = "block",
                 max_block_rows: int | None = None, test: DataFrame | None = None,
                 train: DataFrame | None = None) -> BlockGrid:
     """Block counts from the two row counts and the vector width (two small jobs)."""
-    parallelism = q.sparkSession.sparkContext.defaultParallelism
-    n_q, n_r, dims = _side_stats(q, r, test, train)
-    return plan_grid(n_q, n_r, dims, parallelism, max_block_rows, method)
+    n_q, n_r, dims, _ = _side_stats(q, r, test, train)
+    return plan_grid(n_q, n_r, dims, _parallelism(q), max_block_rows, method)
 
 
 def _parallelism(frame: DataFrame) -> int:
@@ -354,6 +437,8 @@ def vote_rows(rows: np.ndarray, key: np.ndarray, lab: np.ndarray):
     return gr[first], gl[first], votes[first], best[first]
 
 
+_FIXED_WIDTH = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.BooleanType,
+                T.DateType, T.TimestampType)
 _VOTABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
 
@@ -391,6 +476,7 @@ def _broadcast_rows(q, r, k, metric, keep_ties, carry, vote: bool = False,
 
     def run(batches):
         T_all, tids, labs = shipped.value
+        ref = Reference(T_all, tids, metric)  # once a task, not once a batch
         lab_np = labs.to_numpy(zero_copy_only=False) if vote else None
         for batch in batches:
             if batch.num_rows == 0:
@@ -400,18 +486,18 @@ def _broadcast_rows(q, r, k, metric, keep_ties, carry, vote: bool = False,
                 Q, qrows = _valid_matrix(batch.column(col("qv")))
                 if len(qrows) and Q.shape[1] != T_all.shape[1]:
                     raise ValueError("query and reference vectors differ in length")
-                rr, cc, score, rank = cell_top_k(Q, T_all, tids, k, metric, keep_ties)
+                rr, cc, score, rank = cell_top_k(Q, ref, k, keep_ties)
                 rr = qrows[rr]
             else:
                 rr = cc = np.zeros(0, np.int64)
                 score, rank = np.zeros(0), np.zeros(0, np.int32)
             if vote:
-                key = score if euclid else np.where(np.isnan(score), np.inf, -score)
+                key = np.where(np.isnan(score), np.inf, score if euclid else -score)
                 lab = lab_np[cc]
                 for kk in (sweep or [None]):
                     keep = slice(None) if kk is None else rank <= kk
                     gr, gl, votes, best = vote_rows(rr[keep], key[keep], lab[keep])
-                    best_score = best if euclid else np.where(np.isinf(best), np.nan, -best)
+                    best_score = np.where(np.isinf(best), np.nan, best if euclid else -best)
                     take_r = pa.array(gr, pa.int64())
                     cols = [pa.array(np.full(len(gr), kk, np.int32))] if sweep else []
                     cols += [batch.column(col("qid")).take(take_r)]
@@ -440,27 +526,31 @@ def _native_cells(q, r, grid, k, metric, keep_ties, carry):
     blocks = (r.withColumn("rb", block_of(F.col("tid"), grid.ref_blocks, F.col("tv")))
               .groupBy("rb")
               .agg(F.collect_list(F.struct(F.col("tid").alias("id"), F.col("label").alias("label"),
-                                           F.col("tv").alias("v"))).alias("blk"))
+                                           F.col("tv").alias("v"), usable(F.col("tv"), metric).alias("ok")))
+                   .alias("blk"))
               .withColumn("qb", replicate(grid.query_blocks))
               .repartition(parts, "qb", "rb"))
     qx = (q.withColumn("qb", block_of(F.col("qid"), grid.query_blocks))
           .withColumn("rb", replicate(grid.ref_blocks))
           .repartition(parts, "qb", "rb"))
-    joined = qx.join(blocks, ["qb", "rb"])
+    joined = qx.withColumn("q_ok", usable(F.col("qv"), metric)).join(blocks, ["qb", "rb"])
     if metric == EUCLIDEAN:
         def scored(t):
-            dist = euclidean(F.col("qv"), t["v"])
+            dist = F.when(F.col("q_ok") & t["ok"], euclidean(F.col("qv"), t["v"]))
             return F.struct(F.coalesce(dist, F.lit(float("inf"))).alias("key"), t["id"].alias("train_id"),
                             t["label"].alias("train_label"), dist.alias("distance"))
     else:
         def scored(t):
-            sim = cosine_similarity(F.col("qv"), t["v"])
+            sim = F.when(F.col("q_ok") & t["ok"], cosine_similarity(F.col("qv"), t["v"]))
             # null similarity sorts after every real one (-1 <= -sim <= 1 < 2)
             return F.struct(F.coalesce(-sim, F.lit(2.0)).alias("key"), t["id"].alias("train_id"),
                             t["label"].alias("train_label"), sim.alias("similarity"))
-    ranked = F.sort_array(F.transform("blk", scored))  # natural struct order: key, then train_id
+    # natural struct order: key, then train_id; a column of its own, so that it is sorted once a row
+    joined = joined.withColumn("ranked", F.sort_array(F.transform("blk", scored)))
+    ranked = F.col("ranked")
     if keep_ties:
-        kth = F.element_at(ranked, k)["key"]
+        joined = joined.withColumn("kth", F.get("ranked", k - 1)["key"])
+        kth = F.col("kth")
         top = F.when(F.size(ranked) <= k, ranked).otherwise(F.filter(ranked, lambda x: x["key"] <= kth))
     else:
         top = F.slice(ranked, 1, k)
@@ -480,69 +570,68 @@ def _native_cells(q, r, grid, k, metric, keep_ties, carry):
 
 
 def _resolve(test, train, k, metric, method, test_id, train_id, vec, label, carry, grid,
-             max_block_rows, broadcast_bytes):
+             max_block_rows, broadcast_bytes, sizes=None):
     """Validate and pick the plan: ``("broadcast", q, r, None)`` or ``("grid", q, r, grid)``."""
     _check(metric, k)
     if method not in ("auto", "broadcast", "block", "native"):
         raise ValueError("method must be 'auto', 'broadcast', 'block' or 'native'")
     q, r = _inputs(test, train, test_id, train_id, vec, label, carry)
-    if method in ("auto", "broadcast") and grid is None:
-        n_q, n_r, dims = _side_stats(q, r, test, train)
-        fits = n_r * (8 * dims + 24) <= broadcast_bytes
-        if method == "broadcast" and not fits:
-            raise ValueError(f"train side ({n_r} x {dims}) exceeds the broadcast bound of {broadcast_bytes} bytes")
-        if fits:
-            # a small-in-bytes but compute-heavy test side (few splits) is spread over the task
-            # slots first; a large test side is already split finely and is not shuffled
-            want = max(1, min(2 * _parallelism(q), math.ceil(n_q * n_r * dims / MIN_CELL_WORK["block"])))
-            if q.rdd.getNumPartitions() < want:
+    if grid is None:
+        n_q, n_r, dims, label_bytes = (*sizes, 8 * sizes[1]) if sizes else _side_stats(q, r, test, train)
+        if method in ("auto", "broadcast") and n_r * (8 * dims + 16) + label_bytes <= broadcast_bytes:
+            # a test side of few bytes but much work is spread over the task slots first; a large
+            # one is split finely by its own scan and is not shuffled
+            want = min(2 * _parallelism(q), math.ceil(n_q * n_r * dims / MIN_CELL_WORK["block"]))
+            if want > 1 and 8 * n_q * dims <= SMALL_TEST_BYTES:
                 q = q.repartition(want, "qid")
             return "broadcast", q, r, None
-        grid = plan_grid(n_q, n_r, dims, _parallelism(q), max_block_rows, "block")
-    grid = grid or choose_grid(q, r, method, max_block_rows, test, train)
+        grid = plan_grid(n_q, n_r, dims, _parallelism(q), max_block_rows, "native" if method == "native" else "block")
     return "grid", q, r, grid
 
 
+def _grid_neighbors(q, r, grid, k, metric, method, keep_ties, carry):
+    """Neighbours on the grid, with the hidden columns that tell equal ids apart."""
+    q, carry = _distinct_queries(q, carry), [*carry, *HIDDEN]
+    cells = (_native_cells if method == "native" else _block_cells)(q, r, grid, k, metric, keep_ties, carry)
+    if grid.ref_blocks == 1:
+        return cells  # every query met every reference row in exactly one cell: already final
+    w = Window.partitionBy("test_id", "_query").orderBy(score_order(metric))
+    if keep_ties:
+        ranked = cells.withColumn("rank", F.rank().over(w))
+    else:
+        w = Window.partitionBy("test_id", "_query").orderBy(score_order(metric), F.col("train_id").asc())
+        ranked = cells.withColumn("rank", F.row_number().over(w))
+    return ranked.filter(F.col("rank") <= k)
+
+
 def neighbors(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN, *,
               method: str = "auto", keep_ties: bool = False, test_id: str = "id",
               train_id: str = "id", vec: str = "vec", label: str = "label",
               carry: list[str] | tuple[str, ...] = (), grid: BlockGrid | None = None,
-              max_block_rows: int | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+              max_block_rows: int | None = None, broadcast_bytes: int = BROADCAST_BYTES,
+              sizes: tuple[int, int, int] | None = None) -> DataFrame:
     """The ``k`` nearest train rows of every test row.
 
     Output: ``test_id, *carry, train_id, train_label, distance|similarity, rank``.
-    Test ids must be unique (they key the per-query merge); train ids break score ties.
-    ``keep_ties=False`` numbers neighbours 1..k with ``train_id`` breaking equal scores;
-    ``keep_ties=True`` keeps every row whose ``rank()`` (by score only) is at most ``k``.
-    ``k`` above the train size returns every train row. ``carry`` passes test columns
-    (e.g. the true label) through, which saves a join later.
+    Train ids break score ties. ``keep_ties=False`` numbers neighbours 1..k with ``train_id``
+    breaking equal scores; ``keep_ties=True`` keeps every row whose ``rank()`` (by score only) is
+    at most ``k``. ``k`` above the train size returns every train row. ``carry`` passes test
+    columns (e.g. the true label) through, which saves a join later. Vectors are arrays or ML
+    vectors; malformed ones and repeated test rows are defined in the module's docstring.
 
-    ``method``: ``"broadcast"`` ships a train side of proven size (row count x width below
+    ``method``: ``"broadcast"`` ships a train side of proven size (vectors, keys and labels below
     ``broadcast_bytes``) to every executor and scores test partitions in place - no test
     shuffle; ``"block"`` is the grid of bounded blocks for any size; ``"native"`` the same grid
-    with built-in functions only; ``"auto"`` (default) picks broadcast when it fits, else block.
+    with built-in functions only; ``"auto"`` (default) and ``"broadcast"`` take the grid beyond the
+    bound. All give the same rows. ``sizes`` (test rows, train rows, width), if known, saves the
+    counting job.
     """
     carry = list(carry)
     plan, q, r, grid = _resolve(test, train, k, metric, method, test_id, train_id, vec, label, carry,
-                                grid, max_block_rows, broadcast_bytes)
+                                grid, max_block_rows, broadcast_bytes, sizes)
     if plan == "broadcast":
-        frame, _ = _broadcast_rows(q, r, int(k), metric, keep_ties, carry)
-        return frame.repartition("test_id")
-    if method == "native":
-        cells = _native_cells(q, r, grid, int(k), metric, keep_ties, carry)
-    else:
-        cells = _block_cells(q, r, grid, int(k), metric, keep_ties, carry)
-    if grid.ref_blocks == 1:
-        # every query met every reference row in exactly one cell: already final. Hash it by
-        # test_id (n_test * k rows) so votes and sweeps downstream need no further shuffle.
-        return cells.repartition("test_id")
-    if keep_ties:
-        w = Window.partitionBy("test_id").orderBy(score_order(metric))
-        ranked = cells.withColumn("rank", F.rank().over(w))
-    else:
-        w = Window.partitionBy("test_id").orderBy(score_order(metric), F.col("train_id").asc())
-        ranked = cells.withColumn("rank", F.row_number().over(w))
-    return ranked.filter(F.col("rank") <= k)
+        return _broadcast_rows(q, r, int(k), metric, keep_ties, carry)[0]
+    return _given_back(_grid_neighbors(q, r, grid, int(k), metric, method, keep_ties, carry))
 
 
 def majority_vote(nbrs: DataFrame, metric: str = EUCLIDEAN, by: list[str] | tuple[str, ...] = ()) -> DataFrame:
@@ -567,7 +656,8 @@ def majority_vote(nbrs: DataFrame, metric: str = EUCLIDEAN, by: list[str] | tupl
 def classify(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN, *,
              method: str = "auto", test_id: str = "id", train_id: str = "id", vec: str = "vec",
              label: str = "label", actual: str | None = None, grid: BlockGrid | None = None,
-             broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+             broadcast_bytes: int = BROADCAST_BYTES,
+             sizes: tuple[int, int, int] | None = None) -> DataFrame:
     """kNN classification: ``test_id, [label], prediction``.
 
     With ``actual`` (a test column, normally the true label) that column is carried through
@@ -577,15 +667,16 @@ def classify(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN,
     """
     carry = [actual] if actual else []
     plan, q, r, grid = _resolve(test, train, k, metric, method, test_id, train_id, vec, label, carry,
-                                grid, None, broadcast_bytes)
-    voted = None
-    if plan == "broadcast":
-        frame, did_vote = _broadcast_rows(q, r, int(k), metric, False, carry, vote=True)
-        voted = frame if did_vote else majority_vote(frame.repartition("test_id"), metric, by=carry)
+                                grid, None, broadcast_bytes, sizes)
+    hidden = [*carry, *HIDDEN]
+    if plan == "grid":
+        voted = _given_back(majority_vote(_grid_neighbors(q, r, grid, int(k), metric, method, False, carry),
+                                          metric, by=hidden))
     else:
-        nbrs = neighbors(test, train, k, metric, method=method, test_id=test_id, train_id=train_id,
-                         vec=vec, label=label, carry=carry, grid=grid)
-        voted = majority_vote(nbrs, metric, by=carry)
+        voted, did_vote = _broadcast_rows(q, r, int(k), metric, False, carry, vote=True)
+        if not did_vote:
+            frame, _ = _broadcast_rows(_distinct_queries(q, carry), r, int(k), metric, False, hidden)
+            voted = _given_back(majority_vote(frame, metric, by=hidden))
     cols = [F.col("test_id")]
     if actual:
         cols.append(F.col(actual).alias("label"))
@@ -595,24 +686,24 @@ def classify(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN,
 def classify_sweep(test: DataFrame, train: DataFrame, k_values: list[int], metric: str = EUCLIDEAN, *,
                    method: str = "auto", test_id: str = "id", train_id: str = "id", vec: str = "vec",
                    label: str = "label", actual: str | None = None,
-                   broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                   broadcast_bytes: int = BROADCAST_BYTES,
+                   sizes: tuple[int, int, int] | None = None) -> DataFrame:
     """Predictions for several ``k`` from one search at ``max(k_values)``:
     ``k, test_id, [label], prediction``. On the broadcast plan every vote is taken inside
     the scoring task (no shuffle); otherwise :func:`k_sweep_votes` runs on the neighbours."""
     ks = sorted({int(x) for x in k_values})
     carry = [actual] if actual else []
     plan, q, r, grid = _resolve(test, train, max(ks), metric, method, test_id, train_id, vec, label,
-                                carry, None, None, broadcast_bytes)
-    frame, voted = (None, False)
-    if plan == "broadcast":
-        frame, voted = _broadcast_rows(q, r, max(ks), metric, False, carry, vote=True, sweep=ks)
-    if voted:
-        out = frame
+                                carry, None, None, broadcast_bytes, sizes)
+    hidden = [*carry, *HIDDEN]
+    if plan == "grid":
+        nbrs = _grid_neighbors(q, r, grid, max(ks), metric, method, False, carry)
+        out = _given_back(k_sweep_votes(nbrs, ks, metric, by=hidden))
     else:
-        nbrs = (frame.repartition("test_id") if frame is not None else
-                neighbors(test, train, max(ks), metric, method=method, test_id=test_id, train_id=train_id,
-                          vec=vec, label=label, carry=carry, grid=grid))
-        out = k_sweep_votes(nbrs, ks, metric, by=carry)
+        out, voted = _broadcast_rows(q, r, max(ks), metric, False, carry, vote=True, sweep=ks)
+        if not voted:
+            frame, _ = _broadcast_rows(_distinct_queries(q, carry), r, max(ks), metric, False, hidden)
+            out = _given_back(k_sweep_votes(frame, ks, metric, by=hidden))
     cols = [F.col("k"), F.col("test_id")]
     if actual:
         cols.append(F.col(actual).alias("label"))
@@ -641,8 +732,9 @@ def single_query_neighbors(train: DataFrame, query: list[float], k: int, metric:
     ``k`` and only those meet on the driver.
     """
     _check(metric, k)
-    qv = F.array(*[F.lit(float(x)) for x in query])
-    score = euclidean(qv, F.col(vec)) if metric == EUCLIDEAN else cosine_similarity(qv, F.col(vec))
+    qv, tv = F.array(*[F.lit(float(x)) for x in query]), _vector(train, vec)
+    score = euclidean(qv, tv) if metric == EUCLIDEAN else cosine_similarity(qv, tv)
+    score = F.when(usable(qv, metric) & usable(tv, metric), score)
     name = score_name(metric)
     scored = train.filter(F.col(vec).isNotNull()).select(
         F.col(train_id).cast("long").alias("train_id"), F.col(label).alias("train_label"),

@@ -34,8 +34,10 @@ def confusion(frame: DataFrame, label: str = "label", prediction: str = "predict
 
 
 def accuracy(frame: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Share of rows predicted right; a row without a prediction (or label) counts as wrong."""
     p = pairs(frame, label, prediction)
-    return p.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"))
+    right = F.coalesce(F.col("label") == F.col("prediction"), F.lit(False))
+    return p.agg(F.avg(right.cast("double")).alias("accuracy"))
 
 
 def test_error(frame: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

@@ -15,7 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecforge.functions.vectors import dot, norm2
+from pyspark.ml.stat import Summarizer
+
+from vecforge.functions.vectors import dot, norm2, to_array, to_vector
 
 # Broadcast the centroid table when it is below this size (bytes, estimated
 # from its exact row count and the vector width); otherwise a shuffle join.
@@ -23,23 +25,19 @@ CENTROID_BROADCAST_BYTES = 64 << 20
 
 
 def column_sums(frame: DataFrame, vec: str = "vec") -> list[float]:
-    """Element-wise sum of all vectors (``d`` numbers; a partial-aggregated group by position)."""
-    rows = (frame.select(F.posexplode(vec).alias("pos", "x")).groupBy("pos")
-            .agg(F.sum("x").alias("s")).collect())
-    out = [0.0] * (max((r["pos"] for r in rows), default=-1) + 1)
-    for r in rows:
-        out[r["pos"]] = float(r["s"])
-    return out
+    """Element-wise sum of all vectors: ``d`` numbers from one aggregate with a vector buffer."""
+    given = frame.filter(F.col(vec).isNotNull()).select(to_vector(vec).alias("v"))
+    if not given.head(1):
+        return []
+    return [float(x) for x in given.select(Summarizer.sum(F.col("v")).alias("s")).first()["s"].toArray()]
 
 
 def class_centroids(frame: DataFrame, vec: str = "vec", label: str = "label") -> DataFrame:
-    """``(label, centroid)``: mean vector per class. Partial aggregation per (class, position)
-    means a dominant class is reduced on the map side before any shuffle."""
-    means = (frame.select(F.col(label).alias("label"), F.posexplode(vec).alias("pos", "x"))
-             .groupBy("label", "pos").agg(F.avg("x").alias("m")))
-    return (means.groupBy("label")
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("_pm"))
-            .select("label", F.transform("_pm", lambda s: s["m"]).alias("centroid")))
+    """``(label, centroid)``: mean vector per class. One vector buffer a class and task, so a
+    dominant class is reduced on the map side before any shuffle."""
+    given = frame.filter(F.col(vec).isNotNull()).select(F.col(label).alias("label"), to_vector(vec).alias("v"))
+    return (given.groupBy("label").agg(Summarizer.mean(F.col("v")).alias("m"))
+            .select("label", to_array("m").alias("centroid")))
 
 
 def with_centroid(frame: DataFrame, vec: str = "vec", label: str = "label") -> DataFrame:

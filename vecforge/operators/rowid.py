@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The split table is broadcast when it has at most this many rows
@@ -23,8 +23,19 @@ def with_row_id(frame: DataFrame, name: str = "id") -> DataFrame:
     return frame.withColumn(name, F.monotonically_increasing_id())
 
 
+def file_order(path: Column) -> list[Column]:
+    """Sort keys that put a writer's files in the order it numbered them.
+
+    Part numbers have five digits at least and more once there are 100,000 files, so the number
+    counts before the name; files of other names go by name.
+    """
+    name = F.element_at(F.split(path, "/"), -1)
+    folder = F.substring(path, F.lit(1), F.length(path) - F.length(name))
+    return [folder, F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long"), name]
+
+
 def with_file_order_index(scan: DataFrame, name: str = "row_index") -> DataFrame:
-    """Contiguous index in (file path, position in file) order.
+    """Contiguous index in (file, position in file) order; files go by their part number.
 
     ``scan`` must be a file-source DataFrame (``spark.read...``) so its hidden ``_metadata``
     column is available; apply before other transformations. Deterministic across task retries:
@@ -35,7 +46,7 @@ def with_file_order_index(scan: DataFrame, name: str = "row_index") -> DataFrame
                          F.monotonically_increasing_id().alias("_mono"))
     splits = tagged.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_first"))
     # one row per split: a running sum over this small table is cheap even in one task
-    running = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    running = Window.orderBy(*file_order(F.col("_file")), "_start").rowsBetween(Window.unboundedPreceding, -1)
     # materialised once in the shared checkpoint folder: sizing the join and the join itself
     # read this small table instead of re-aggregating the input
     from vecforge.session import checkpoint_dir

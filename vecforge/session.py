@@ -32,8 +32,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def is_local_master(master: str) -> bool:
+    """One JVM on this machine: ``local`` or ``local[...]`` (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a private one only when none is set."""
+    """The shared checkpoint folder the cluster names; a private one only for local masters.
+
+    On a cluster a folder of one machine would be read by others and miss their files, so
+    without a shared folder this raises there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -42,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not is_local_master(sc.master):
+        raise RuntimeError(f"master {sc.master!r} needs a shared folder: set spark.checkpoint.dir")
     # Unset (tests, local runs): fall back to a private folder.
     local = tempfile.mkdtemp(prefix="vecforge-ckpt-")
     sc.setCheckpointDir(local)
