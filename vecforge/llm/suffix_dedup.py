@@ -1,6 +1,6 @@
 """Exact removal of repeated byte strings: anchored pieces, suffix arrays, interval expansion.
 
-Every ``length``-byte string contains the least of its 32-byte grams (by a mixed hash; ties to
+Every ``length``-byte string contains the least of its 64-byte grams (by a mixed hash; ties to
 the left): its anchor. Equal strings have equal anchors at equal places, so each maximal run of
 starts with one anchor, a *piece* (its starts, and ``length - 1`` bytes more), needs to be compared
 only with pieces of the same anchor. Pieces with an anchor that is met twice are dealt out by
@@ -22,7 +22,7 @@ from vecforge.llm.suffixes import repeated_starts
 from vecforge.llm.words import U64, mix, slices
 from vecforge.session import scratch_path
 
-GRAM = 32
+GRAM = 64
 CHUNK = 1 << 20              # starts worked on at once
 PLACE_BITS = U64(22)         # of a packed gram: its place in a chunk; the rest is its hash
 BATCH_BYTES = 1 << 20        # piece bytes in one suffix array, unless one anchor has more
@@ -156,13 +156,14 @@ def _expand(cut: DataFrame, length: int) -> DataFrame:
     dealt = cut.repartition("anchor").sortWithinPartitions("anchor", "key")
 
     def flush(rows):
-        texts, owner = [], []
-        for i, (_, _, n, text) in enumerate(rows):  # a piece met n times is in the batch twice
-            texts += [text] * min(n, 2)
-            owner += [i] * min(n, 2)
-        starts = repeated_starts(texts, length)
-        out = {i: s for i, s in zip(owner, starts)}
-        rows_out = [(rows[i][1], rows[i][0], _spans_of(s, length)) for i, s in out.items() if len(s)]
+        """A piece met n times is in the batch once: all its starts repeat then, by its copies."""
+        starts = repeated_starts([text for _, _, _, text in rows], length)
+        rows_out = []
+        for (anchor, key, n, text), found in zip(rows, starts):
+            if n > 1:
+                found = np.arange(len(text) - length + 1)
+            if len(found):
+                rows_out.append((key, anchor, _spans_of(found, length)))
         if rows_out:
             key, anchor, spans = zip(*rows_out)
             yield pa.RecordBatch.from_arrays(
