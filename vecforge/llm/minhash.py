@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,7 +19,7 @@ SEED = 20240229
 # A pair below this share of equal minima is not compared in full. At similarity 0.85 the share has
 # mean 0.85 and deviation 0.03, so 0.64 is seven deviations down.
 SCREEN = 0.64
-BLOCK = 512          # members of a bucket that are compared in one go
+BLOCK = 1024         # members of a bucket that meet as many others in one cell
 
 
 def _multipliers(n: int):
@@ -84,92 +86,124 @@ def _alike(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+def _sets(column):
+    """The shingle set of each text, sorted."""
+    for _, buf, offs in slices(column, 1 << 20):
+        found, bounds = word_shingles(buf, offs, WIDTH)
+        for i in range(len(offs) - 1):
+            yield np.unique(found[bounds[i]:bounds[i + 1]])
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    least, most = sorted((len(x), len(y)))
+    if 100 * least < percent * most:
+        return False
+    joined = np.sort(np.concatenate([x, y]))
+    common = int(np.count_nonzero(joined[1:] == joined[:-1]))
+    return common > 0 and 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full shingle sets have ``100 * intersection >= percent * union``."""
     both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
 
-    def sets(column):
-        for _, buf, offs in slices(column, 1 << 20):
-            found, bounds = word_shingles(buf, offs, WIDTH)
-            for i in range(len(offs) - 1):
-                yield np.unique(found[bounds[i]:bounds[i + 1]])
-
     def run(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(sets(batch.column(2)), sets(batch.column(3))):
-                least, most = sorted((len(x), len(y)))
-                if 100 * least < percent * most:
-                    keep.append(False)
-                    continue
-                joined = np.sort(np.concatenate([x, y]))
-                common = int(np.count_nonzero(joined[1:] == joined[:-1]))
-                keep.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
+            for x, y in zip(_sets(batch.column(2)), _sets(batch.column(3))):
+                keep.append(_linked(x, y, percent))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
     return both.mapInArrow(run, "a long, b long")
 
 
-def _unsettled(buckets: DataFrame, parts: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Screened pairs of bucket members that are still in different components.
+def _unsettled(shared: DataFrame, parts: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links between members of a bucket that are still in different components.
 
-    ``parts`` has ``(id, component)``. In each bucket the largest component stays where it is, in
-    blocks of ``BLOCK`` members; the members of all others visit every block. So a bucket
-    costs its size times the members outside its largest component, and a bucket that one
-    component fills costs nothing.
+    ``parts`` has ``(id, component)``. In each bucket the members outside its largest component are
+    guests; in cells of at most about ``BLOCK`` guests and ``BLOCK`` members, each guest meets every
+    member of another component. So a bucket costs its size times its guests, and one that a
+    component fills costs nothing. Pairs are screened by their minima, then compared in full, in the
+    cell; only links leave it. A pair is looked at in the first band that it shares, and not if one
+    is the bucket's least id, which has met all members before.
     """
-    known = buckets.join(parts, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("part"))
+    known = shared.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
     by_part = known.groupBy("bucket", "part").agg(F.count("*").alias("n"))
     mixed = (by_part.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("members"),
-                                           F.max_by("part", F.struct("n", "part")).alias("main"))
+                                           F.max_by(F.struct("part", "n"), F.struct("n", "part")).alias("main"))
              .filter("parts > 1 AND members > 2")  # of two members, both have met: one is the least
-             .select("bucket", "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
-    placed = (known.join(mixed, "bucket").join(sigs.select("id", "sig"), "id")
-              .withColumn("home", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+             .select("bucket", F.col("main.part").alias("main"),
+                     F.ceil(F.col("members") / BLOCK).cast("int").alias("homes"),
+                     F.ceil((F.col("members") - F.col("main.n")) / BLOCK).cast("int").alias("stays")))
+    placed = (known.join(mixed, "bucket").join(sigs.select("id", "sig"), "id").join(texts, "id")
               .withColumn("guest", F.col("part") != F.col("main")))
-    rows = placed.withColumn("block", F.explode(F.when(
-        F.col("guest"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("home"))))
-    cells = (rows.select("bucket", "block", "id", "part", "guest", (F.col("block") == F.col("home")).alias("at_home"), "sig")
-             .repartition("bucket", "block").sortWithinPartitions("bucket", "block"))
+    home = F.pmod(F.xxhash64("id"), F.col("homes")).cast("int")
+    stay = F.pmod(F.xxhash64("id", F.lit(1)), F.col("stays")).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), F.col("stays") - 1), lambda s: F.struct(
+        s.alias("stay"), home.alias("home"), F.lit(False).alias("visits")))
+    visits = F.transform(F.sequence(F.lit(0), F.col("homes") - 1), lambda h: F.struct(
+        stay.alias("stay"), h.alias("home"), F.lit(True).alias("visits")))
+    rows = (placed.withColumn("cell", F.explode(F.when(F.col("guest"), F.concat(cells, visits)).otherwise(cells)))
+            .select("bucket", "cell.stay", "cell.home", "cell.visits", "band", "pivot", "id", "part", "sig", "text")
+            .repartition("bucket", "stay", "home").sortWithinPartitions("bucket", "stay", "home"))
+
+    def compare(cell: pa.Table):
+        ids, part = cell.column("id").to_numpy(), cell.column("part").to_numpy()
+        visits = cell.column("visits").to_numpy(zero_copy_only=False)
+        sig, text = _sigs(cell.column("sig")), cell.column("text")
+        band, pivot = cell.column("band")[0].as_py(), cell.column("pivot")[0].as_py()
+        left, right = np.flatnonzero(visits), np.flatnonzero(~visits)
+        sets: dict[int, np.ndarray] = {}
+
+        def set_of(i):
+            if i not in sets:
+                sets[i] = next(_sets(text.slice(i, 1)))
+            return sets[i]
+
+        linked: dict[int, int] = {}  # of components, by links found in this cell
+
+        def root(x):
+            while linked.get(x, x) != x:
+                x = linked[x]
+            return x
 
-    def compare(ids, part, guest, home, sig):
-        left, right = np.flatnonzero(guest), np.flatnonzero(home)
         for s in range(0, len(left), 64):
             one = left[s:s + 64]
-            share = (sig[one][:, None, :] == sig[right][None, :, :]).mean(axis=2)
-            i, j = np.nonzero((share >= SCREEN) & (part[one][:, None] != part[right][None, :]))
-            yield ids[one[i]], ids[right[j]]
+            same = sig[one][:, None, :] == sig[right][None, :, :]
+            hit = (same.mean(axis=2) >= SCREEN) & (part[one][:, None] != part[right][None, :])
+            for i, j in zip(*np.nonzero(hit)):
+                shares = same[i, j].reshape(BANDS, ROWS).all(axis=1)
+                a, b = int(one[i]), int(right[j])
+                if shares[:band].any() or pivot in (ids[a], ids[b]) or root(part[a]) == root(part[b]):
+                    continue
+                if _linked(set_of(a), set_of(b), percent):
+                    linked[root(part[a])] = root(part[b])
+                    yield ids[a], ids[b]
 
     def run(batches):
         rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            rest = table if rest is None else pa.concat_tables([rest, table])
-            key = [rest.column(c).to_numpy() for c in ("bucket", "block")]
-            cuts = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])) + 1
-            if len(cuts):  # the last cell may go on in the next batch
-                yield from cells_of(rest.slice(0, cuts[-1]), cuts)
-                rest = rest.slice(cuts[-1])
-        if rest is not None and rest.num_rows:
-            key = [rest.column(c).to_numpy() for c in ("bucket", "block")]
-            cuts = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])) + 1
-            yield from cells_of(rest, np.append(cuts, rest.num_rows))
-
-    def cells_of(table, cuts):
-        ids, part = table.column("id").to_numpy(), table.column("part").to_numpy()
-        guest = table.column("guest").to_numpy(zero_copy_only=False)
-        home = table.column("at_home").to_numpy(zero_copy_only=False)
-        sig, start = _sigs(table.column("sig")), 0
-        for end in cuts:
-            cut = slice(start, int(end))
-            for x, y in compare(ids[cut], part[cut], guest[cut], home[cut], sig[cut]):
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
-            start = int(end)
-
-    return cells.mapInArrow(run, "a long, b long").distinct()
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                table = pa.Table.from_batches([batch])
+                rest = table if rest is None else pa.concat_tables([rest, table])
+            if rest is None or not rest.num_rows:
+                continue
+            key = [rest.column(c).to_numpy() for c in ("bucket", "stay", "home")]
+            cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+            if batch is None:  # else the last cell may go on in the next batch
+                cuts = np.append(cuts, rest.num_rows)
+            start, found = 0, []
+            for end in cuts.tolist():
+                found += compare(rest.slice(start, end - start))
+                start = end
+            if found:
+                x, y = np.array(found, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
+            rest = rest.slice(start)
+
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
@@ -182,8 +216,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        and go on as one.
     2. Each bucket (band of equal minima) links its members to its least id only: as many pairs as
        members. Pairs that pass the screen are compared in full.
-    3. Components are found; bucket members that are then still apart are screened against each
-       other (:func:`_unsettled`) and compared in full. So every two members of a bucket end in one
+    3. Components are found; bucket members that are then still apart are compared with each
+       other (:func:`_unsettled`). So every two members of a bucket end in one
        component or have been compared, and no bucket writes out all its pairs.
 
     Hot groups: copies are aggregated before any shuffle of theirs, the joins are ones that Spark
@@ -209,11 +243,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    .dropDuplicates(["id", "sig"]), "sigs")
 
     width = 2 * ROWS
-    buckets = sigs.select("id", F.explode(F.array(*[
-        F.xxhash64(F.substring("sig", 1 + width * k, width), F.lit(k)) for k in range(BANDS)])).alias("bucket"))
+    buckets = sigs.select("id", F.posexplode(F.array(*[
+        F.xxhash64(F.substring("sig", 1 + width * k, width), F.lit(k)) for k in range(BANDS)])).alias("band", "bucket"))
     pivots = (buckets.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last"))
               .filter("last > pivot").select("bucket", "pivot"))
-    shared = written(buckets.join(pivots, "bucket").select("bucket", "id", "pivot"), "shared")
+    shared = written(buckets.join(pivots, "bucket").select("bucket", "band", "id", "pivot"), "shared")
     star = (shared.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct())
     tried = written(_alike(star, sigs), "tried")
     wanted = shared.select("id").distinct()
@@ -223,8 +257,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     parts = written(connected_components(edges), "parts")
-    apart = _unsettled(shared.select("bucket", "id").distinct(), parts, sigs)
-    more = written(_verified(apart.join(tried, ["a", "b"], "left_anti"), texts, percent), "more")
+    more = written(_unsettled(shared, parts, sigs, texts, percent), "more")
     if more.head(1):
         least_of = parts.select(F.col("id").alias("u"), F.col("component").alias("v"))
         parts = connected_components(least_of.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
