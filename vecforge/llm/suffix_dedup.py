@@ -205,7 +205,8 @@ def repeated_spans(texts: DataFrame, length: int, seed: int = 0) -> DataFrame:
         return spark.read.parquet(path)
 
     runs = written(_runs(texts, length, seed), "runs")
-    often = runs.groupBy("anchor").agg(F.sum("n").alias("met")).filter("met > 1").select("anchor")
+    # written first: both sides of the join are then plain shuffles, of which Spark can split a hot anchor's
+    often = written(runs.groupBy("anchor").agg(F.sum("n").alias("met")).filter("met > 1").select("anchor"), "often")
     shared = written(runs.join(often, "anchor", "left_semi"), "shared")
     distinct = (shared.groupBy("anchor", "content")
                 .agg(F.sum("n").alias("n"), F.min(F.struct("key", "lo", "hi")).alias("at"))
