@@ -74,7 +74,7 @@ _POWERS: dict[str, np.ndarray] = {}
 def _powers(n: int):
     """``base ** i`` and its inverse for ``i < n``, modulo 2 ** 64."""
     if "up" not in _POWERS or len(_POWERS["up"]) < n:
-        m = max(n, SLICE_BYTES + 1)
+        m = 1 << n.bit_length()
         inverse = U64(pow(int(BYTE_BASE), -1, 1 << 64))
         for name, base in (("up", BYTE_BASE), ("down", inverse)):
             p = np.full(m, base, U64)
