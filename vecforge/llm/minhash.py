@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecforge.llm.components import connected_components
+from vecforge.llm.process import give_back
 from vecforge.llm.words import U64, mix, slices, word_shingles
 from vecforge.session import scratch_path
 
@@ -61,6 +62,7 @@ def _features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * n_hash), rows, [None, pa.py_buffer(sig.tobytes())])
                      .cast(pa.binary())],
                     ["id", "n_shingles", "s1", "s2", "sig"])
+        give_back()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, "id long, n_shingles long, s1 long, s2 long, sig binary")

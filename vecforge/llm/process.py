@@ -18,3 +18,15 @@ def process_wide(name: str, make):
     if name not in held:
         held[name] = make()
     return held[name]
+
+
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: its worker stays, idle or for another stage."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it, other C libraries may not
+    if trim is not None:
+        trim(0)

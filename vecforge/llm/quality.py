@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from vecforge.llm.process import give_back
+
 # The symbols that are counted, and the base rule's limits.
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 20
@@ -184,6 +186,7 @@ def judge(docs: DataFrame, rules=RULES, text_col: str = "text", carry: list[str]
             columns += [pa.array(found[c], pa.int64()) for c in COUNTS]
             columns += [pa.array(found[c], pa.bool_()) for c in ("base_failed", "kept")]
             yield pa.RecordBatch.from_arrays(columns, [*kept_cols, *added])
+        give_back()
 
     return source.mapInArrow(run, schema)
 

@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vecforge.llm.process import give_back
 from vecforge.llm.suffixes import repeated_starts
 from vecforge.llm.words import U64, mix, slices
 from vecforge.session import scratch_path
@@ -92,6 +93,7 @@ def _runs(texts: DataFrame, length: int, seed: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(out[0])), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())]
                         + [pa.array(np.concatenate(x)) for x in out[3:]], names)
+        give_back()
 
     return texts.select("key", "n", "text").mapInArrow(run, RUN)
 
@@ -131,6 +133,7 @@ def _cut(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                         rows, held = [], 0
             if rows:
                 yield _piece_batch(rows)
+        give_back()
 
     return found.mapInArrow(run, "anchor long, key binary, n long, text binary")
 
@@ -182,6 +185,7 @@ def _expand(cut: DataFrame, length: int) -> DataFrame:
                 held += len(text)
         if rows:
             yield from flush(rows)
+        give_back()
 
     return dealt.mapInArrow(run, SPANS)
 
