@@ -15,6 +15,7 @@ from vecforge.llm.quality import judge
 from vecforge.llm.suffix_dedup import remove_repeats
 from vecforge.session import scratch_path
 
+NEAR_PERCENT = 80   # least similarity of near-duplicates: the general rule, not op7's contract value
 REPEAT_BYTES = 400  # least length of a repeated passage that goes
 
 
@@ -31,7 +32,7 @@ def near_dedup(spark, docs, sf_dir):
     group and all stay.
     """
     path = scratch_path(spark, "pipeline-groups")
-    near_duplicates(docs).write.parquet(path)
+    near_duplicates(docs, percent=NEAR_PERCENT).write.parquet(path)
     groups = spark.read.parquet(path).filter("doc_id IS NOT NULL")
     gone = groups.filter("NOT kept").select("doc_id").distinct()
     repeated = groups.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1").select("doc_id")

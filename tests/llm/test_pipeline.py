@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -5,7 +6,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from brute import awkward, components, covered, frame
+from brute import awkward, components, covered, frame, prose, shingle_set
 from vecforge.llm.quality import RULES, Text
 
 
@@ -67,3 +68,21 @@ def test_run(spark):
     for p in pieces:
         got[p.doc_id] = got.get(p.doc_id, 0) + p.length
     assert got == want
+
+
+def test_near_copies_of_four_fifths(spark):
+    """A pair of similarity about 0.82 is one group in the stage; one of about 0.78 is not."""
+    rng = random.Random(21)
+    rows = []
+    for i, changed in ((1, (20, 60, 100)), (11, (20, 50, 80, 110))):
+        base = prose(rng, 150).split()
+        copy = [f"new{j}" if j in changed else w for j, w in enumerate(base)]
+        rows += [(i, " ".join(base)), (i + 1, " ".join(copy))]
+    share = []
+    for (_, t), (_, u) in zip(rows[::2], rows[1::2]):
+        a, b = shingle_set(t), shingle_set(u)
+        share.append(len(a & b) / len(a | b))
+    assert 0.8 <= share[0] < 0.85 and share[1] < 0.8
+    part = components(rows, 80)
+    out = corpus_pipeline.near_dedup(spark, frame(spark, rows), None).collect()
+    assert sorted(r.doc_id for r in out) == sorted(i for i, _ in rows if part[i] == i) == [1, 11, 12]
