@@ -16,7 +16,8 @@ from vecforge.llm.suffix_dedup import remove_repeats
 from vecforge.session import scratch_path
 
 NEAR_PERCENT = 80   # least similarity of near-duplicates: the general rule, not op7's contract value
-REPEAT_BYTES = 400  # least length of a repeated passage that goes
+REPEAT_WORDS = 51   # words of the least repeated passage that goes: over 50
+REPEAT_BYTES = 400  # a repeated string of as many bytes goes whatever its words are (a script may put no space between them)
 
 
 def quality_rules(spark, docs, sf_dir):
@@ -44,8 +45,8 @@ def near_dedup(spark, docs, sf_dir):
 
 
 def suffix_dedup(spark, docs, sf_dir):
-    """Texts without the passages of 400 bytes or more that also stand elsewhere, and ``n_chars`` of what is left."""
-    cut = remove_repeats(docs, length=REPEAT_BYTES)
+    """Texts without the passages of over 50 words, or of 400 bytes or more, that also stand elsewhere, and ``n_chars`` of what is left."""
+    cut = remove_repeats(docs, length=REPEAT_BYTES, words=REPEAT_WORDS)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return cut.select(*docs.columns)

@@ -1,5 +1,7 @@
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -23,6 +25,19 @@ def plain(rows):
     return [(i, bytes(b for b, m in zip(x, mask) if not m).decode()) for (i, _), x, mask in zip(kept, raw, masks)]
 
 
+def without_repeats(texts, words=51, length=400):
+    """Texts without strings of 400 bytes, or passages of 51 words, that start anywhere else too."""
+    raw, masks = covered(texts, length)
+    spans = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", x)] for x in raw]
+    met = Counter(tuple(x[a:b] for a, b in own[i:i + words]) for x, own in zip(raw, spans) for i in range(len(own) - words + 1))
+    for x, own, mask in zip(raw, spans, masks):
+        for i in range(len(own) - words + 1):
+            if met[tuple(x[a:b] for a, b in own[i:i + words])] > 1:
+                lo, hi = own[i][0], own[i + words - 1][1]
+                mask[lo:hi] = b"\x01" * (hi - lo)
+    return [bytes(b for b, gone in zip(x, mask) if not gone).decode() for x, mask in zip(raw, masks)]
+
+
 def test_stages_against_brute_force(spark):
     rows = awkward()
     docs = frame(spark, rows)
@@ -86,3 +101,18 @@ def test_near_copies_of_four_fifths(spark):
     part = components(rows, 80)
     out = corpus_pipeline.near_dedup(spark, frame(spark, rows), None).collect()
     assert sorted(r.doc_id for r in out) == sorted(i for i, _ in rows if part[i] == i) == [1, 11, 12]
+
+
+def test_passages_of_over_fifty_words(spark):
+    """51 words of under 400 bytes go, under any space between them, in one text as in two; 50 words stay."""
+    rng = random.Random(22)
+    long, short, twice = (prose(rng, n, 10 ** 4) for n in (51, 50, 55))
+    unspaced = "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(140))
+    rows = [(1, prose(rng, 30) + " " + long + " " + prose(rng, 9)), (2, long.replace(" ", "\n", 7) + "\n" + prose(rng, 40)),
+            (3, prose(rng, 20) + " " + short + " " + prose(rng, 20)), (4, prose(rng, 20) + " " + short + "!"),
+            (5, twice + " é " + twice), (6, "a " + unspaced), (7, unspaced + " b"), (8, ""), (9, None), (10, prose(rng, 60))]
+    assert len(long) < 400 < len(unspaced.encode())
+    out = {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup(spark, frame(spark, rows), None).collect()}
+    want = without_repeats([t for _, t in rows])
+    assert out[9] is None and {i: t or "" for i, t in out.items()} == {i: w for (i, _), w in zip(rows, want)}
+    assert long not in out[1] and out[3] == rows[2][1] and out[4] == rows[3][1] and out[5] == " é " and out[6] == "a "

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from vecforge.llm.process import give_back
 from vecforge.llm.suffixes import repeated_starts
-from vecforge.llm.words import U64, mix, slices
+from vecforge.llm.words import U64, hash_spans, mix, slices, split_words
 from vecforge.session import scratch_path
 
 GRAM = 64
@@ -29,6 +29,7 @@ PLACE_BITS = U64(22)         # of a packed gram: its place in a chunk; the rest
 BATCH_BYTES = 1 << 20        # piece bytes in one suffix array, unless one anchor has more
 HEAVY_BYTES = 16 << 20       # an anchor with more is cut again by other anchors
 MAX_CUTS = 6
+CODE = 8                     # bytes of a word where passages are counted in words
 GRAM_SEEDS = mix(np.arange(1, 65, dtype=U64)) | U64(1)
 
 
@@ -241,6 +242,15 @@ def _merged(spans) -> list[list[int]]:
     return out
 
 
+def _in_bytes(text, spans) -> list[dict]:
+    """Byte spans, from first word to last, of spans in words."""
+    if not spans:
+        return []
+    raw = np.frombuffer(text.as_buffer(), np.uint8)
+    starts, ends, _ = split_words(raw, np.array([0, len(raw)], np.int64))
+    return [{"lo": int(starts[s["lo"]]), "hi": int(ends[s["hi"] - 1])} for s in spans]
+
+
 def with_spans(docs: DataFrame, text_col: str, length: int, name: str = "spans") -> DataFrame:
     """``docs`` with an array of its repeated byte spans, unordered; null where nothing repeats.
 
@@ -248,15 +258,54 @@ def with_spans(docs: DataFrame, text_col: str, length: int, name: str = "spans")
     texts (repeated rows too) have the same. An empty table gives no rows, and a column of ``docs``
     called ``name`` gives way to the result.
     """
+    texts, key = _keyed(docs, text_col)
+    return _marked(docs, key, repeated_spans(texts, length), name)
+
+
+def _keyed(docs: DataFrame, text_col: str):
+    """``(key, n, text)`` of every row, and the expression of its key."""
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     key = F.unhex(F.md5(raw))
-    found = repeated_spans(docs.select(key.alias("key"), F.lit(1).cast("long").alias("n"), raw.alias("text")), length)
+    return docs.select(key.alias("key"), F.lit(1).cast("long").alias("n"), raw.alias("text")), key
+
+
+def _marked(docs: DataFrame, key, found: DataFrame, name: str) -> DataFrame:
     by_text = found.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
     kept = docs.drop(name)
     return (kept.withColumn("__key", key).join(by_text.withColumnRenamed("key", "__key"), "__key", "left")
             .withColumn(name, F.col("__spans")).drop("__key", "__spans"))
 
 
+def _coded(texts: DataFrame) -> DataFrame:
+    """``(key, n, text)`` with every word of a text as its 64-bit hash, and nothing between words."""
+
+    def run(batches):
+        for batch in batches:
+            for first, buf, offs in slices(batch.column(2), 1 << 20):
+                rows = len(offs) - 1
+                starts, ends, bounds = split_words(buf, offs)
+                codes = hash_spans(buf, starts, ends).astype("<u8")
+                coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), rows, [
+                    None, pa.py_buffer((bounds * CODE).astype(np.int64).tobytes()), pa.py_buffer(codes.tobytes())])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, rows), batch.column(1).slice(first, rows),
+                                                  coded.cast(pa.binary())], ["key", "n", "text"])
+        give_back()
+
+    return texts.mapInArrow(run, "key binary, n long, text binary")
+
+
+def repeated_word_spans(texts: DataFrame, words: int) -> DataFrame:
+    """``(key, lo, hi)``: spans, in words, of passages of ``words`` words or more that also start elsewhere.
+
+    Passages are equal if their words are, in order and case, whatever space stands between them.
+    Words travel as 64-bit hashes, so the strings compared have ``CODE * words`` bytes; one that
+    begins inside a hash repeats by chance only, and is narrowed to whole words.
+    """
+    low, high = F.ceil(F.col("lo") / CODE).cast("long"), F.floor(F.col("hi") / CODE).cast("long")
+    found = repeated_spans(_coded(texts), CODE * words).select("key", low.alias("lo"), high.alias("hi"))
+    return found.filter(F.col("hi") - F.col("lo") >= words)
+
+
 def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
     """``id, n_bytes, n_removed, n_spans, kept_sha256`` for every row (see :func:`with_spans`)."""
     marked = with_spans(docs.select(F.col(id_col), F.col(text_col)), text_col, length).select(id_col, text_col, "spans")
@@ -282,22 +331,29 @@ def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return marked.mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400) -> DataFrame:
-    """``docs`` with its repeated spans cut out of ``text_col``.
+def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, words: int | None = None) -> DataFrame:
+    """``docs`` with its repeated spans cut out of ``text_col``: strings of ``length`` bytes or more.
 
+    With ``words``, passages of that many words or more go too, however few bytes they have (see
+    :func:`repeated_word_spans`), from their first word to the end of their last.
     A span that begins or ends inside a UTF-8 character is narrowed to whole characters, so the
     text stays valid. A null text stays null.
     """
     marked = with_spans(docs, text_col, length, "__gone")
     columns = [c for c in marked.columns if c != "__gone"]
+    if words is None:
+        marked = marked.withColumn("__words", F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>"))
+    else:
+        texts, key = _keyed(docs, text_col)
+        marked = _marked(marked, key, repeated_word_spans(texts, words), "__words")
     schema = docs.select(*columns).schema
 
     def run(batches):
         for batch in batches:
             texts = []
-            at_text, at_gone = (batch.schema.get_field_index(c) for c in (text_col, "__gone"))
-            for text, spans in zip(batch.column(at_text), batch.column(at_gone)):
-                gone = _merged(spans.as_py())
+            at_text, *at_gone = (batch.schema.get_field_index(c) for c in (text_col, "__gone", "__words"))
+            for text, spans, in_words in zip(batch.column(at_text), *map(batch.column, at_gone)):
+                gone = _merged([*(spans.as_py() or ()), *_in_bytes(text, in_words.as_py())])
                 if not gone:
                     texts.append(text.as_py())
                     continue
@@ -314,4 +370,4 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400) -
                       for c in columns]
             yield pa.RecordBatch.from_arrays(arrays, columns)
 
-    return marked.select(*columns, "__gone").mapInArrow(run, schema)
+    return marked.select(*columns, "__gone", "__words").mapInArrow(run, schema)
