@@ -1,8 +1,10 @@
 import random
 
+import pytest
+
 from brute import awkward, components, frame, prose, shingle_set
 from vecforge.llm.components import connected_components
-from vecforge.llm.minhash import near_duplicates
+from vecforge.llm.minhash import MISS, near_duplicates, setting
 
 
 def check(spark, rows, extra=True):
@@ -62,3 +64,25 @@ def test_components_of_random_graphs(spark):
             parent[max(a, b)] = min(a, b)
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: find(x) for x in parent}
+
+
+def test_setting_follows_the_threshold():
+    assert setting(85)[:2] == (28, 5) and round(setting(85).screen, 2) == 0.64
+    for percent in range(8, 101):
+        bands, rows, screen = setting(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= MISS and screen <= percent / 100
+    for percent in (0, 5, 101):
+        with pytest.raises(ValueError):
+            setting(percent)
+
+
+def test_half_alike(spark):
+    """Pairs just over a similarity of 0.5, of which the setting for 0.85 screens out nearly all."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(30):
+        base = prose(rng, 150, 10 ** 5).split()
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(f"n{j}" if j % 17 == 3 else w for j, w in enumerate(base)))]
+    want = components(rows, 50)
+    got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, rows, False), percent=50).collect()}
+    assert got == want == {i: i - i % 2 for i in range(60)}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -15,24 +17,47 @@ from vecforge.llm.words import U64, mix, slices, word_shingles
 from vecforge.session import scratch_path
 
 WIDTH = 5            # words in a shingle
-BANDS, ROWS = 28, 5  # a pair of similarity 0.85 shares a band but for 7 in 100 million
+MISS = 1e-7          # most chance that a pair at the threshold shares no band
+MOST_MINIMA = 208    # of a signature
 SEED = 20240229
-# A pair below this share of equal minima is not compared in full. At similarity 0.85 the share has
-# mean 0.85 and deviation 0.03, so 0.64 is seven deviations down.
-SCREEN = 0.64
+DEVIATIONS = 7       # of the share of equal minima, below the threshold, where the full comparison begins
 BLOCK = 1024         # members of a bucket that meet as many others in one cell
 
 
+class Setting(NamedTuple):
+    """A signature for pairs of at least some similarity."""
+
+    bands: int
+    rows: int
+    screen: float  # a pair below this share of equal minima is not compared in full
+
+
+def setting(percent: int) -> Setting:
+    """The longest bands (so fewest chance meetings) that miss a pair at the threshold with a chance under ``MISS``.
+
+    85 percent: 28 bands of 5 and a screen of 0.64; 80: 41 of 5. A threshold that ``MOST_MINIMA`` cannot
+    meet is rejected.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError(f"a similarity of {percent} percent is not one of 1 to 100")
+    share, best = percent / 100, None
+    for rows in range(1, 17):
+        bands = 1 if percent == 100 else math.ceil(math.log(MISS) / math.log1p(-share ** rows))
+        if bands * rows <= MOST_MINIMA:
+            best = bands, rows
+    if best is None:
+        raise ValueError(f"a similarity of {percent} percent needs more than {MOST_MINIMA} minima")
+    return Setting(*best, share - DEVIATIONS * math.sqrt(share * (1 - share) / (best[0] * best[1])))
+
+
 def _multipliers(n: int):
     """Of the universal family x -> (a x + b) mod 2 ** 64, upper 32 bits."""
     seeds = mix(np.arange(1, 2 * n + 1, dtype=U64) + U64(SEED))
     return seeds[:n] | U64(1), seeds[n:]
 
 
-def _features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _features(docs: DataFrame, id_col: str, text_col: str, n_hash: int) -> DataFrame:
     """``id, n_shingles, s1, s2`` (fingerprint of the whole shingle set) and ``sig``, 16 bits a minimum."""
-    n_hash = BANDS * ROWS
-
     def run(batches):
         a, b = _multipliers(n_hash)
         for batch in batches:
@@ -73,7 +98,7 @@ def _sigs(column) -> np.ndarray:
     return np.frombuffer(b"".join(arr.to_pylist()), np.uint16).reshape(len(arr), -1)
 
 
-def _alike(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+def _alike(pairs: DataFrame, sigs: DataFrame, screen: float) -> DataFrame:
     """Pairs whose share of equal minima passes the screen."""
     both = (pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
             .join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb"))
@@ -82,7 +107,7 @@ def _alike(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 share = (_sigs(batch.column(2)) == _sigs(batch.column(3))).mean(axis=1)
-                keep = pa.array(share >= SCREEN)
+                keep = pa.array(share >= screen)
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
     return both.mapInArrow(run, "a long, b long").distinct()
@@ -121,7 +146,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _unsettled(shared: DataFrame, parts: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _unsettled(shared: DataFrame, parts: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int, cut: Setting) -> DataFrame:
     """Links between members of a bucket that are still in different components.
 
     ``parts`` has ``(id, component)``. In each bucket the members outside its largest component are
@@ -174,9 +199,9 @@ def _unsettled(shared: DataFrame, parts: DataFrame, sigs: DataFrame, texts: Data
         for s in range(0, len(left), 64):
             one = left[s:s + 64]
             same = sig[one][:, None, :] == sig[right][None, :, :]
-            hit = (same.mean(axis=2) >= SCREEN) & (part[one][:, None] != part[right][None, :])
+            hit = (same.mean(axis=2) >= cut.screen) & (part[one][:, None] != part[right][None, :])
             for i, j in zip(*np.nonzero(hit)):
-                shares = same[i, j].reshape(BANDS, ROWS).all(axis=1)
+                shares = same[i, j].reshape(cut.bands, cut.rows).all(axis=1)
                 a, b = int(one[i]), int(right[j])
                 if shares[:band].any() or pivot in (ids[a], ids[b]) or root(part[a]) == root(part[b]):
                     continue
@@ -227,16 +252,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A text without words, null or empty, has no shingles and is linked with nothing. A row with a
     null id is linked with nothing, has no component and is not kept. Rows that share an id are one
-    document. An empty table gives no rows; other columns are not read.
+    document. An empty table gives no rows; other columns are not read. Bands and screen follow from
+    ``percent`` (:func:`setting`).
     """
-    spark = docs.sparkSession
+    spark, cut = docs.sparkSession, setting(percent)
 
     def written(frame, name):
         path = scratch_path(spark, f"minhash-{name}")
         frame.write.parquet(path)
         return spark.read.parquet(path)
 
-    rows = written(_features(docs, id_col, text_col), "rows")
+    rows = written(_features(docs, id_col, text_col, cut.bands * cut.rows), "rows")
     named = rows.filter("n_shingles > 0 AND id IS NOT NULL")
     least = named.groupBy("s1", "s2").agg(F.min("id").alias("first"))
     copies = (named.select("id", "s1", "s2").join(least, ["s1", "s2"]).filter("id <> first")
@@ -244,14 +270,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = written(named.select("id", "sig").join(least.select(F.col("first").alias("id")).distinct(), "id", "left_semi")
                    .dropDuplicates(["id", "sig"]), "sigs")
 
-    width = 2 * ROWS
+    width = 2 * cut.rows
     buckets = sigs.select("id", F.posexplode(F.array(*[
-        F.xxhash64(F.substring("sig", 1 + width * k, width), F.lit(k)) for k in range(BANDS)])).alias("band", "bucket"))
+        F.xxhash64(F.substring("sig", 1 + width * k, width), F.lit(k)) for k in range(cut.bands)])).alias("band", "bucket"))
     pivots = (buckets.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last"))
               .filter("last > pivot").select("bucket", "pivot"))
     shared = written(buckets.join(pivots, "bucket").select("bucket", "band", "id", "pivot"), "shared")
     star = (shared.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct())
-    tried = written(_alike(star, sigs), "tried")
+    tried = written(_alike(star, sigs, cut.screen), "tried")
     wanted = shared.select("id").distinct()
     texts = written(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
                     .join(wanted, "id", "left_semi"), "texts")
@@ -259,7 +285,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     parts = written(connected_components(edges), "parts")
-    more = written(_unsettled(shared, parts, sigs, texts, percent), "more")
+    more = written(_unsettled(shared, parts, sigs, texts, percent, cut), "more")
     if more.head(1):
         least_of = parts.select(F.col("id").alias("u"), F.col("component").alias("v"))
         parts = connected_components(least_of.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
