@@ -1,7 +1,7 @@
 """Row identifiers.
 
 * :func:`with_row_id` - unique, increasing, not contiguous (``monotonically_increasing_id``);
-  cheap, but only stable while the input partitioning is.
+  cheap, but only stable while the input partitioning is; :func:`id_counts` tells if they are unique.
 * :func:`with_file_order_index` - contiguous ``0 .. n-1`` in file order, for layouts where
   rows of two files are paired by position. It needs no global sort and no single-task
   window over the data: rows are counted per file split, the (small) split table gets
@@ -23,6 +23,13 @@ def with_row_id(frame: DataFrame, name: str = "id") -> DataFrame:
     return frame.withColumn(name, F.monotonically_increasing_id())
 
 
+def id_counts(frame: DataFrame, name: str = "id") -> DataFrame:
+    """``n_rows, n_distinct_ids``, exact. Each task sets a bit per id, so bitmaps are shuffled, not rows; ids are not null."""
+    maps = (frame.groupBy(F.bitmap_bucket_number(name).alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("n"), F.bitmap_construct_agg(F.bitmap_bit_position(name)).alias("bits")))
+    return maps.agg(F.sum("n").alias("n_rows"), F.sum(F.bitmap_count("bits")).alias("n_distinct_ids"))
+
+
 def file_order(path: Column) -> list[Column]:
     """Sort keys that put a writer's files in the order it numbered them.
 
