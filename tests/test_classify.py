@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from conftest import SF_MID
+from locations import SF_MID
 from vecforge.operators import classify, metrics
 from vecforge.plans.common import train_test
 from vecforge.sources.tables import planted_label

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from conftest import SF_SMALL
+from locations import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()

@@ -4,7 +4,7 @@ from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from locations import SF_MID
 from vecforge.operators import knn
 from vecforge.operators.blocks import BlockGrid, plan_grid
 from vecforge.plans.common import scaled, train_test

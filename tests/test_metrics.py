@@ -1,7 +1,7 @@
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 
-from conftest import SF_MID
+from locations import SF_MID
 from vecforge.operators import metrics
 from vecforge.sources.tables import table
 

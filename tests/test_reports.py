@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
-from conftest import SF_MID
+from locations import SF_MID
 from vecforge.operators import classify
 from vecforge.plans import model_queries
 

@@ -1,4 +1,4 @@
-from conftest import SF_SMALL
+from locations import SF_SMALL
 from vecforge.operators.rowid import id_counts
 from vecforge.plans.vector_queries import row_id_unique
 

@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from locations import SF_SMALL
 from vecforge.operators import rowid
 from vecforge.plans.common import vectors
 from vecforge.sources import csv
