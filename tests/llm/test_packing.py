@@ -3,21 +3,17 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-import pyarrow as pa
 from tokenizers import Tokenizer
 
 from brute import awkward, frame
 from vecforge.llm.packing import HarmonicBins, cut_lengths, pack
 from vecforge.llm.tokens import ByteBpe
-from vecforge.llm.words import slices
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def library():
-    model = Tokenizer.from_file(PATH)
-    model.encode_special_tokens = True
-    return model
+    return Tokenizer.from_file(PATH)
 
 
 def test_ids_are_the_library_s():
@@ -25,15 +21,28 @@ def test_ids_are_the_library_s():
     parts = [" ", "  ", "\n", "\n\n", " \n", "\t", "a", "Bc", "'s", "don't", "é", "1", "23", "!", "...", "\xa0", " ", "\x1c",
              "<|endoftext|>", "日本", "\r\n", "", "　 "]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(1500)] + [t or "" for _, t in awkward()]
-    model, got = ByteBpe(PATH), []
-    for _, buf, offs in slices(pa.array(texts), 500):
-        ids, bounds = model.encode(buf, offs)
-        got += [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
-    assert got == [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
+    model = ByteBpe(PATH)
+    assert model.fast is not None
+    assert [model.ids(t).tolist() for t in texts] == [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
+    assert model.ids("a <|endoftext|> b").tolist().count(50256) == 1
+    for other in ("word_bpe_49k.json",):  # another kind of file: all by the library
+        path = public_tokenizers.path(other)
+        own, plain = ByteBpe(path), Tokenizer.from_file(path)
+        assert own.fast is None
+        assert [own.ids(t).tolist() for t in texts[:50]] == [plain.encode(t, add_special_tokens=False).ids for t in texts[:50]]
+
+
+def test_characters_of_the_faster_way():
+    rng = random.Random(8)
+    chars = [chr(c) for c in [*range(9, 14), *range(32, 127), *range(0xA1, 0x250), *range(0x2010, 0x2028)]]
+    texts = ["".join(rng.choice(chars) for _ in range(rng.randrange(50))) for _ in range(1500)]
+    texts += ["a" * 255, "a" * 3000, " " * 255, " " * 3000, "\n" * 400 + "b", "ab " * 900]
+    model = ByteBpe(PATH)
+    assert [model.ids(t).tolist() for t in texts] == [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
 
 
 def test_pack(spark):
-    rows = awkward()
+    rows = [*awkward(), (30, "before <|endoftext|> after"), (31, "<|endoftext|>")]
     got = [r.asDict() for r in pack(frame(spark, rows), PATH, with_ids=True).collect()]
     model = library()
     want = sorted(model.encode(t or "", add_special_tokens=False).ids + [0] for _, t in rows)

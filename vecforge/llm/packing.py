@@ -10,12 +10,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecforge.llm.process import process_wide
+from vecforge.llm.process import give_back, process_wide
 from vecforge.llm.tokens import ByteBpe
-from vecforge.llm.words import slices
 
 CAPACITY = 1024
 END_ID = 0
+ROWS_IDS = 1 << 19  # ids whose pieces go out in one batch
 
 
 def cut_lengths(n: int, capacity: int = CAPACITY) -> list[int]:
@@ -36,9 +36,13 @@ class HarmonicBins:
         self.capacity, self.next_id = capacity, first_id
         self.open: dict[int, list] = {}
 
+    def number(self) -> int:
+        """The id of the next sequence."""
+        self.next_id += 1
+        return self.next_id - 1
+
     def _close(self, pieces):
-        number, self.next_id = self.next_id, self.next_id + 1
-        at = 0
+        number, at = self.number(), 0
         for piece in pieces:
             yield (*piece, number, at)
             at += piece[2]
@@ -55,13 +59,13 @@ class HarmonicBins:
     def rest(self):
         left = [p for of in sorted(self.open) for p in self.open[of]]
         self.open.clear()
-        bins, now = [], []
+        bins, now, held = [], [], 0
         for piece in left:  # falling powers of two: a sequence is always filled exactly
             now.append(piece)
-            if sum(p[2] for p in now) == self.capacity:
+            held += piece[2]
+            if held == self.capacity:
                 bins.append(now)
-                now = []
-        held = sum(p[2] for p in now)
+                now, held = [], 0
         part, need = [], 1 << (held.bit_length() - 1) if held else 0
         for piece in now:
             part.append(piece)
@@ -78,7 +82,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     """Pieces of all documents, placed in sequences of at most ``capacity`` ids (a power of two).
 
     ``tokenizer`` is the path of a byte-level BPE file for the `tokenizers` library, readable by
-    every executor. A document is the ids of its whole text and then id 0, cut by
+    every executor; ids are the library's with ``add_special_tokens=False`` (strings of special
+    tokens in a text are those tokens). A document is the ids of its whole text and then id 0, cut by
     :func:`cut_lengths`. Columns: the id, ``start``, ``length``, ``ids_crc32`` (of little-endian
     unsigned 32-bit ids), ``doc_tokens``, ``sequence_id``, ``offset``, and ``ids`` if asked for.
 
@@ -108,22 +113,27 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
         for batch in batches:
             kept_type = batch.column(0).type
-            doc_ids = batch.column(0).to_pylist()
-            for first, buf, offs in slices(batch.column(1)):
-                ids, bounds = model.encode(buf, offs)
-                rows = []
-                for i in range(len(offs) - 1):
-                    own = np.append(ids[bounds[i]:bounds[i + 1]], np.uint32(END_ID)).astype("<u4")
-                    raw, at = own.tobytes(), 0
-                    for n in cut_lengths(len(own), capacity):
-                        piece = (doc_ids[first + i], at, n, zlib.crc32(raw[4 * at:4 * (at + n)]), len(own),
-                                 own[at:at + n].tolist() if with_ids else None)
+            rows, held = [], 0
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.append(model.ids(text.as_py() or ""), np.uint32(END_ID)).astype("<u4")
+                raw, total, at = memoryview(own).cast("B"), len(own), 0
+                for n in cut_lengths(total, capacity):
+                    piece = (doc, at, n, zlib.crc32(raw[4 * at:4 * (at + n)]), total,
+                             own[at:at + n].tolist() if with_ids else None)
+                    if n == capacity:  # a bin of its own
+                        rows.append((*piece, bins.number(), 0))
+                    else:
                         rows.extend(bins.add(piece))
-                        at += n
-                if rows:
+                    at += n
+                held += total
+                if held > ROWS_IDS and rows:
                     yield rows_out(rows)
+                    rows, held = [], 0
+            if rows:
+                yield rows_out(rows)
         rows = list(bins.rest())
         if rows:
             yield rows_out(rows)
+        give_back()
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)

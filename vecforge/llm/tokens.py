@@ -1,78 +1,63 @@
-"""Token ids of whole texts with the `tokenizers` library, each distinct chunk encoded once."""
+"""Token ids of whole texts: those of the `tokenizers` library for a byte-level BPE file."""
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
 
-from vecforge.llm.pool import ChunkPool, flat_ids
-from vecforge.llm.words import hash_spans, split_words
+# Characters that the two libraries' patterns are sure to class alike; a text with any other one, or
+# with one run of this many characters (merged in quadratic time by the faster one), goes to `tokenizers`.
+OTHER = re.compile("[^\t-\r\x20-\x7e¡-ɏ‐-‧]")
+LONG = 256
+LONG_SPACE = re.compile(r"\s{%d}" % LONG)
+# Fixed value: the pattern of the file's pre-tokenizer (ByteLevel with `use_regex`).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# White space beyond the six ASCII characters; texts that hold any are encoded whole.
-RARE_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-SUSPECT = np.zeros(256, bool)  # bytes that one of them begins with
-SUSPECT[[*range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = True
-AT_ONCE = 1 << 14  # chunks in one call: the library's results are much larger than the ids
+
+def byte_characters() -> dict[str, int]:
+    """The printable character that a byte-level vocabulary writes for each byte, to the byte."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(rest)}}
 
 
 class ByteBpe:
-    """Ids of a byte-level BPE whose pre-tokenizer splits before a run of non-space with its one space.
+    """``ids(text)`` as ``tokenizers`` gives them with ``add_special_tokens=False``.
 
-    A text is cut into such chunks, and into white space: a run before a word loses its last
-    character to the word if that is a space, and otherwise stands apart from it. The
-    pre-tokenizer never joins what is cut here, so ids of a text are those of its chunks in order.
+    Most texts are encoded by `tiktoken` with the file's own vocabulary, which takes under half the
+    time; ids of merged pieces are in the order of the merges, as it needs. Texts that the two might
+    split differently, that hold the string of a special token, or that have a very long run, go to
+    ``tokenizers``, and so do all texts if the file is of another kind.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.pool = ChunkPool()
-
-    def spans(self, buf: np.ndarray, offs: np.ndarray):
-        """Starts and ends of all chunks, in order."""
-        starts, ends, bounds = split_words(buf, offs)
-        row = np.repeat(np.arange(len(offs) - 1), np.diff(bounds))
-        before = np.where(np.append([-1], row[:-1]) == row, np.append([0], ends[:-1]), offs[row]) if len(row) else starts
-        takes = (starts > before) & (buf[np.maximum(starts - 1, 0)] == 0x20)
-        begin = starts - takes
-        gap = begin - before
-        # a gap that ends in another character than a space gives that character up as a chunk of its own
-        own = (gap > 0) & ~takes
-        rest_end = np.where(own, begin - 1, begin)
-        rest = rest_end > before
-        last = np.array([ends[b - 1] if b > a else o for a, b, o in zip(bounds[:-1], bounds[1:], offs[:-1])], np.int64)
-        tail = last < offs[1:]
-        s = np.concatenate([before[rest], rest_end[own], begin, last[tail]])
-        e = np.concatenate([rest_end[rest], begin[own], ends, offs[1:][tail]])
-        order = np.argsort(s, kind="stable")
-        return s[order], e[order]
-
-    def encode(self, buf: np.ndarray, offs: np.ndarray):
-        """``(ids, bounds)`` of the texts of a slice."""
-        raw = buf.tobytes()
-        if SUSPECT[buf].any() and RARE_SPACE.search(raw):
-            return self._whole(raw, offs)
-        s, e = self.spans(buf, offs)
-
-        def encode(at):
-            texts = [raw[a:b].decode() for a, b in zip(s[at].tolist(), e[at].tolist())]
-            return flat_ids([x.ids for i in range(0, len(texts), AT_ONCE) for x in
-                             self.model.encode_batch_fast(texts[i:i + AT_ONCE], add_special_tokens=False)])
-
-        ids, upto = self.pool.ids_of(hash_spans(buf, s, e), encode)
-        return ids, upto[np.searchsorted(s, offs)]
-
-    def _whole(self, raw: bytes, offs: np.ndarray):
-        out, bounds = [], [0]
-        for a, b in zip(offs[:-1], offs[1:]):
-            one = raw[a:b]
-            if RARE_SPACE.search(one):
-                ids = np.array(self.model.encode(one.decode(), add_special_tokens=False).ids, np.uint32)
-            else:
-                ids, _ = self.encode(np.frombuffer(one, np.uint8), np.array([0, len(one)], np.int64))
-            out.append(ids)
-            bounds.append(bounds[-1] + len(ids))
-        return np.concatenate(out), np.array(bounds, np.int64)
+        with open(path, encoding="utf-8") as file:
+            given = json.load(file)
+        self.special = [t["content"] for t in given["added_tokens"]]
+        self.fast = self._fast(given)
+
+    @staticmethod
+    def _fast(given: dict):
+        import tiktoken
+
+        kind, vocab, merges = given["pre_tokenizer"] or {}, given["model"]["vocab"], given["model"].get("merges", [])
+        to_byte = byte_characters()
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
+        in_order = [vocab.get(a + b) for a, b in pairs]
+        if (given["normalizer"] or kind.get("type") != "ByteLevel" or kind.get("add_prefix_space") or not kind.get("use_regex")
+                or given["model"]["type"] != "BPE" or any(given["model"].get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+                or len(vocab) != len(pairs) + 256 or in_order != sorted(set(in_order)) or not all(c in vocab for c in to_byte)):
+            return None
+        ranks = {bytes(to_byte[c] for c in piece): number for piece, number in vocab.items()}
+        return tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, text: str) -> np.ndarray:
+        if (self.fast is None or OTHER.search(text) or max(map(len, text.split()), default=0) >= LONG
+                or LONG_SPACE.search(text) or any(s in text for s in self.special)):
+            return np.array(self.model.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self.fast.encode_ordinary(text), np.uint32)
