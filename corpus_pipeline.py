@@ -21,7 +21,10 @@ REPEAT_BYTES = 400  # a repeated string of as many bytes goes whatever its words
 
 
 def quality_rules(spark, docs, sf_dir):
-    """Documents that no rule rejects. A document without text has no words and goes."""
+    """Documents that no rule rejects. A document without text has no words and goes.
+
+    Repeated rows and rows without an id are judged alike, row by row; an empty table gives no rows.
+    """
     rows = docs.select(F.struct("*").alias("row"), "text")  # whole rows go through, whatever their columns are called
     return judge(rows, carry=["row"]).filter("kept").select("row.*")
 
@@ -29,8 +32,8 @@ def quality_rules(spark, docs, sf_dir):
 def near_dedup(spark, docs, sf_dir):
     """One document of each group of near-duplicates, the one of least id.
 
-    Rows that share an id are one document, of which one row stays. Rows without an id are in no
-    group and all stay.
+    Rows that share an id are one document, of which one row stays: the one of least text (null last), of those
+    the one of least hash of the other columns. Rows without an id are in no group and all stay.
     """
     path = scratch_path(spark, "pipeline-groups")
     near_duplicates(docs, percent=NEAR_PERCENT).write.parquet(path)
@@ -40,12 +43,18 @@ def near_dedup(spark, docs, sf_dir):
     stay = docs.join(gone, "doc_id", "left_anti")
     if not repeated.head(1):
         return stay.select(*docs.columns)
-    single = stay.join(repeated, "doc_id", "left_anti")
-    return single.unionByName(stay.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    hashed = F.xxhash64(*[f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    first = (stay.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
+             .agg(F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), "text", hashed)).alias("row")).select("row.*"))
+    return stay.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))
 
 
 def suffix_dedup(spark, docs, sf_dir):
-    """Texts without the passages of over 50 words, or of 400 bytes or more, that also stand elsewhere, and ``n_chars`` of what is left."""
+    """Texts without the passages of over 50 words, or of 400 bytes or more, that also stand elsewhere, and ``n_chars`` of what is left.
+
+    Every row stays, also one whose whole text goes; a null text stays null. Rows with equal texts
+    repeat each other, whatever their ids; a null id does not matter; an empty table gives no rows.
+    """
     cut = remove_repeats(docs, length=REPEAT_BYTES, words=REPEAT_WORDS)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -53,7 +62,10 @@ def suffix_dedup(spark, docs, sf_dir):
 
 
 def packing(spark, docs, sf_dir):
-    """Pieces of all documents in sequences of 1024 ids; a document left without text is its end id."""
+    """Pieces of all documents in sequences of 1024 ids; a document left without text is its end id.
+
+    Rows with equal or null ids are packed one by one; an empty table gives no rows.
+    """
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -19,10 +19,12 @@ def plain(rows):
         x = Text((t or "").encode())
         if not x.base_failed and not any(r.rejects(x) for r in RULES):
             kept.append((i, t))
-    part = components(kept)
-    kept = [(i, t) for i, t in kept if i is None or part[i] == i]
-    raw, masks = covered([t for _, t in kept], 400)
-    return [(i, bytes(b for b, m in zip(x, mask) if not m).decode()) for (i, _), x, mask in zip(kept, raw, masks)]
+    part = components(kept, corpus_pipeline.NEAR_PERCENT)
+    stay = [(i, t) for i, t in kept if i is None or part[i] == i]
+    rows = sorted((x for x in stay if x[0] is not None), key=lambda x: (x[0], x[1] is None, (x[1] or "").encode()))
+    stay = [x for x in stay if x[0] is None] + [x for x, before in zip(rows, [(None, None), *rows]) if x[0] != before[0]]
+    texts = without_repeats([t for _, t in stay], corpus_pipeline.REPEAT_WORDS, corpus_pipeline.REPEAT_BYTES)
+    return [(i, t) for (i, _), t in zip(stay, texts)]
 
 
 def without_repeats(texts, words=51, length=400):
@@ -50,7 +52,6 @@ def test_stages_against_brute_force(spark):
     assert {r.kept for r in docs.collect()} == {"x"}  # a column of the documents keeps its values
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, None).collect()
     model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    model.encode_special_tokens = True
     ids = {i: [*model.encode(t, add_special_tokens=False).ids, 0] for i, t in want}
     for i, own in ids.items():
         if i is None:
@@ -67,6 +68,10 @@ def test_repeated_ids_and_empty_table(spark):
     rows = [(1, text), (1, text), (2, text + " and more"), (None, text)]
     out = corpus_pipeline.near_dedup(spark, frame(spark, rows), None).collect()
     assert sorted((r.doc_id or 0) for r in out) == [0, 1]
+    other = [(1, text + " b"), (1, text + " a"), (1, None), (3, "zeta eta theta iota kappa lambda"), (3, "alpha beta gamma delta eps")]
+    for order in (other, other[::-1]):  # whichever comes first
+        out = corpus_pipeline.near_dedup(spark, frame(spark, order), None).collect()
+        assert sorted((r.doc_id, r.text) for r in out if r.text) == [(1, text + " a"), (3, "alpha beta gamma delta eps")] and len(out) == 2
     docs = frame(spark, [])
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, None)

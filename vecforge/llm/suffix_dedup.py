@@ -72,7 +72,7 @@ def _runs(texts: DataFrame, length: int, seed: int) -> DataFrame:
         told: dict[bytes, int] = {}
         for batch in batches:
             keys, counts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, buf, offs in slices(batch.column(2)):
+            for first, buf, offs in slices(batch.column(2), 1 << 20):
                 out, held = [[] for _ in names], 0
                 for i in range(len(offs) - 1):
                     key = keys[first + i]
@@ -269,11 +269,19 @@ def _keyed(docs: DataFrame, text_col: str):
     return docs.select(key.alias("key"), F.lit(1).cast("long").alias("n"), raw.alias("text")), key
 
 
+def free_name(columns, name: str) -> str:
+    """``name``, or with underscores before it, so that no column has it (case does not tell columns apart)."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def _marked(docs: DataFrame, key, found: DataFrame, name: str) -> DataFrame:
-    by_text = found.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
     kept = docs.drop(name)
-    return (kept.withColumn("__key", key).join(by_text.withColumnRenamed("key", "__key"), "__key", "left")
-            .withColumn(name, F.col("__spans")).drop("__key", "__spans"))
+    key_name = free_name([*kept.columns, name.lower()], "key")
+    by_text = found.groupBy(F.col("key").alias(key_name)).agg(F.collect_list(F.struct("lo", "hi")).alias(name))
+    return kept.withColumn(key_name, key).join(by_text, key_name, "left").drop(key_name)
 
 
 def _coded(texts: DataFrame) -> DataFrame:
@@ -337,21 +345,24 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, w
     With ``words``, passages of that many words or more go too, however few bytes they have (see
     :func:`repeated_word_spans`), from their first word to the end of their last.
     A span that begins or ends inside a UTF-8 character is narrowed to whole characters, so the
-    text stays valid. A null text stays null.
+    text stays valid. A null text stays null, and an empty one empty. Rows with equal texts, repeated
+    rows too, repeat each other and lose the same spans; an empty table gives no rows; columns of any
+    name are carried as they are.
     """
-    marked = with_spans(docs, text_col, length, "__gone")
-    columns = [c for c in marked.columns if c != "__gone"]
+    gone_name, words_name = free_name(docs.columns, "gone"), free_name(docs.columns, "gone_words")
+    marked = with_spans(docs, text_col, length, gone_name)
+    columns = docs.columns
     if words is None:
-        marked = marked.withColumn("__words", F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>"))
+        marked = marked.withColumn(words_name, F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>"))
     else:
         texts, key = _keyed(docs, text_col)
-        marked = _marked(marked, key, repeated_word_spans(texts, words), "__words")
+        marked = _marked(marked, key, repeated_word_spans(texts, words), words_name)
     schema = docs.select(*columns).schema
 
     def run(batches):
         for batch in batches:
             texts = []
-            at_text, *at_gone = (batch.schema.get_field_index(c) for c in (text_col, "__gone", "__words"))
+            at_text, *at_gone = (batch.schema.get_field_index(c) for c in (text_col, gone_name, words_name))
             for text, spans, in_words in zip(batch.column(at_text), *map(batch.column, at_gone)):
                 gone = _merged([*(spans.as_py() or ()), *_in_bytes(text, in_words.as_py())])
                 if not gone:
@@ -370,4 +381,4 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, w
                       for c in columns]
             yield pa.RecordBatch.from_arrays(arrays, columns)
 
-    return marked.select(*columns, "__gone", "__words").mapInArrow(run, schema)
+    return marked.select(*columns, gone_name, words_name).mapInArrow(run, schema)
