@@ -1,11 +1,13 @@
 import hashlib
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from brute import awkward, covered, frame, prose
+from brute import WORD, awkward, covered, frame, prose
 from vecforge.llm import suffix_dedup
 from vecforge.llm.suffix_dedup import removal_report, remove_repeats
 from vecforge.llm.suffixes import repeated_starts
@@ -24,8 +26,39 @@ def test_starts(texts, length):
     assert [x.tolist() for x in repeated_starts(raw, length)] == want
 
 
-def check(spark, rows, length, extra=True):
-    got = removal_report(frame(spark, rows, extra), length=length).collect()
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=30), min_size=1, max_size=6), st.integers(1, 9))
+def test_starts_of_words(texts, length):
+    big = [[x * (1 << 61) + 5 for x in t] for t in texts]
+    count = {}
+    for t in big:
+        for i in range(len(t) - length + 1):
+            count[tuple(t[i:i + length])] = count.get(tuple(t[i:i + length]), 0) + 1
+    want = [[i for i in range(len(t) - length + 1) if count[tuple(t[i:i + length])] > 1] for t in big]
+    assert [x.tolist() for x in repeated_starts([np.array(t, "<u8").tobytes() for t in big], length, 8)] == want
+
+
+def passages(texts, words):
+    """(passages, words in them) of each text: maximal runs of words in windows that start anywhere else too."""
+    own = [WORD.findall(t or "") for t in texts]
+    met = Counter(tuple(w[i:i + words]) for w in own for i in range(len(w) - words + 1))
+    out = []
+    for w in own:
+        mask = [0] * len(w)
+        for i in range(len(w) - words + 1):
+            if met[tuple(w[i:i + words])] > 1:
+                mask[i:i + words] = [1] * words
+        # windows that only touch are one span, as with bytes
+        out.append((sum(1 for j, x in enumerate(mask) if x and not (j and mask[j - 1])), sum(mask)))
+    return out
+
+
+def check(spark, rows, length, extra=True, words=None):
+    got = removal_report(frame(spark, rows, extra), length=length, words=words).collect()
+    if words:
+        counted = passages([t for _, t in rows], words)
+        assert sorted((repr(r.doc_id), r.n_passages, r.n_passage_words) for r in got) == sorted((repr(i), *c) for (i, _), c in zip(rows, counted))
+    got = [tuple(r)[:5] for r in got]
     raw, masks = covered([t for _, t in rows], length)
     want = []
     for (i, _), t, m in zip(rows, raw, masks):
@@ -40,6 +73,17 @@ def test_report(spark, length):
     check(spark, awkward(), length)
 
 
+@pytest.mark.parametrize("words", [51, 6])
+def test_report_of_passages(spark, words):
+    rng = random.Random(12)
+    between = {n: prose(rng, n, 300) for n in (51, 55, 63, 50, 49)}  # planted: 51 to 63 words, of under 400 bytes
+    rows = awkward()
+    for j, passage in enumerate(between.values()):
+        rows += [(100 + 2 * j, prose(rng, 30) + " " + passage + " " + prose(rng, 9)), (101 + 2 * j, passage.replace(" ", "\n ", 5) + "\t" + prose(rng, 20))]
+    assert all(len(p) < 400 for p in between.values())
+    check(spark, rows, 400, words=words)
+
+
 def test_heavy_anchors_are_cut_again(spark, monkeypatch):
     rng = random.Random(2)
     base, rows = prose(rng, 300).split(), []
@@ -49,7 +93,7 @@ def test_heavy_anchors_are_cut_again(spark, monkeypatch):
             copy[rng.randrange(len(copy))] = f"n{rng.randrange(10 ** 6)}"
         rows.append((i, " ".join(copy)))
     monkeypatch.setattr(suffix_dedup, "HEAVY_BYTES", 5000)
-    check(spark, rows, 100, extra=False)
+    check(spark, rows, 100, extra=False, words=12)
 
 
 def test_text_stays_valid(spark):

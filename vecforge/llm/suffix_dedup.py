@@ -1,16 +1,18 @@
-"""Exact removal of repeated byte strings: anchored pieces, suffix arrays, interval expansion.
+"""Exact removal of repeated strings: anchored pieces, suffix arrays, interval expansion.
 
-Every ``length``-byte string contains the least of its 64-byte grams (by a mixed hash; ties to
-the left): its anchor. Equal strings have equal anchors at equal places, so each maximal run of
-starts with one anchor, a *piece* (its starts, and ``length - 1`` bytes more), needs to be compared
+Strings are of bytes, or of words (as 64-bit hashes, whatever space stands between them); both are
+found in one pass. Every string of ``length`` symbols contains the least of its grams (by a mixed hash;
+ties to the left): its anchor. Equal strings have equal anchors at equal places, so each maximal run of
+starts with one anchor, a *piece* (its starts, and ``length - 1`` symbols more), needs to be compared
 only with pieces of the same anchor. Pieces with an anchor that is met twice are dealt out by
 anchor, and a suffix array and a Burrows-Wheeler transform over each batch of them tell which
-starts repeat (:mod:`vecforge.llm.suffixes`).
+starts repeat (:mod:`vecforge.llm.suffixes`). Where all pieces of an anchor are equal, they repeat whole.
 """
 
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,19 +25,39 @@ from vecforge.llm.suffixes import repeated_starts
 from vecforge.llm.words import U64, hash_spans, mix, slices, split_words
 from vecforge.session import scratch_path
 
-GRAM = 64
 CHUNK = 1 << 20              # starts worked on at once
 PLACE_BITS = U64(22)         # of a packed gram: its place in a chunk; the rest is its hash
 BATCH_BYTES = 1 << 20        # piece bytes in one suffix array, unless one anchor has more
 HEAVY_BYTES = 16 << 20       # an anchor with more is cut again by other anchors
 MAX_CUTS = 6
-CODE = 8                     # bytes of a word where passages are counted in words
+CODE = 8                     # bytes of a word, where words are the symbols
 GRAM_SEEDS = mix(np.arange(1, 65, dtype=U64)) | U64(1)
 
 
-def pieces(text: np.ndarray, length: int, seed: int):
+@dataclass(frozen=True)
+class Strings:
+    """Strings of ``length`` symbols that are looked for; a symbol has ``width`` bytes (1: a byte, ``CODE``: a word)."""
+
+    width: int
+    length: int
+
+    @property
+    def gram(self) -> int:
+        return min(64 if self.width == 1 else 8, 1 << (self.length.bit_length() - 1))
+
+    def symbols(self, raw: np.ndarray, coded: bool) -> np.ndarray:
+        """Symbols of a text's bytes, or of a piece that holds them as they are."""
+        if self.width == 1:
+            return raw
+        if coded:
+            return np.frombuffer(raw.tobytes(), "<u8")
+        starts, ends, _ = split_words(raw, np.array([0, len(raw)], np.int64))
+        return hash_spans(raw, starts, ends)
+
+
+def pieces(text: np.ndarray, strings: Strings, seed: int):
     """``(first start, last start, anchor)`` of every run of starts with one anchor, in order."""
-    gram = min(GRAM, 1 << (length.bit_length() - 1))
+    gram, length = strings.gram, strings.length
     total = len(text) - length + 1
     for begin in range(0, total, CHUNK):
         part = text[begin:min(begin + CHUNK, total) + length - 1]
@@ -58,11 +80,11 @@ def pieces(text: np.ndarray, length: int, seed: int):
         yield begin + first, begin + last, h[place[first]].view(np.int64)
 
 
-RUN = "anchor long, content binary, key binary, n long, lo long, hi long"
+RUN = "width int, anchor long, content binary, key binary, n long, lo long, hi long"
 
 
-def _runs(texts: DataFrame, length: int, seed: int) -> DataFrame:
-    """A ``RUN`` row for each piece of ``(key, n, text)``; ``content`` is a 128-bit hash of its bytes.
+def _runs(texts: DataFrame, sought: list[Strings], seed: int, coded: bool) -> DataFrame:
+    """A ``RUN`` row for each piece of ``(key, n, text)``; ``content`` is a 128-bit hash of its symbols.
 
     A key that a task meets again is told twice at most: twice is enough to repeat.
     """
@@ -74,40 +96,50 @@ def _runs(texts: DataFrame, length: int, seed: int) -> DataFrame:
             keys, counts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for first, buf, offs in slices(batch.column(2), 1 << 20):
                 out, held = [[] for _ in names], 0
+                words = [None] * (len(offs) - 1)
+                if not coded and any(s.width == CODE for s in sought):  # words of all texts of the slice at once
+                    starts, ends, bounds = split_words(buf, offs)
+                    hashes = hash_spans(buf, starts, ends)
+                    words = [hashes[i:j] for i, j in zip(bounds[:-1], bounds[1:])]
                 for i in range(len(offs) - 1):
                     key = keys[first + i]
                     told[key] = told.get(key, 0) + 1
-                    text = buf[offs[i]:offs[i + 1]]
-                    if len(text) < length or told[key] > 2:
+                    if told[key] > 2:
                         continue
-                    raw = text.tobytes()
-                    for lo, hi, anchor in pieces(text, length, seed):
-                        m = len(lo)
-                        out[0].append(anchor)
-                        out[1] += [xxhash.xxh3_128_digest(raw[a:b + length]) for a, b in zip(lo.tolist(), hi.tolist())]
-                        out[2] += [key] * m
-                        out[3].append(np.full(m, counts[first + i], np.int64))
-                        out[4].append(lo)
-                        out[5].append(hi)
-                        held += m
+                    text = buf[offs[i]:offs[i + 1]]
+                    for strings in sought:
+                        own = words[i] if strings.width == CODE and not coded else strings.symbols(text, coded)
+                        if len(own) < strings.length:
+                            continue
+                        raw, w = own.tobytes(), strings.width
+                        for lo, hi, anchor in pieces(own, strings, seed):
+                            m = len(lo)
+                            out[0].append(np.full(m, w, np.int32))
+                            out[1].append(anchor)
+                            out[2] += [xxhash.xxh3_128_digest(raw[w * a:w * (b + strings.length)]) for a, b in zip(lo.tolist(), hi.tolist())]
+                            out[3] += [key] * m
+                            out[4].append(np.full(m, counts[first + i], np.int64))
+                            out[5].append(lo)
+                            out[6].append(hi)
+                            held += m
                 if held:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(out[0])), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())]
-                        + [pa.array(np.concatenate(x)) for x in out[3:]], names)
+                        [pa.array(np.concatenate(x)) for x in out[:2]] + [pa.array(x, pa.binary()) for x in out[2:4]]
+                        + [pa.array(np.concatenate(x)) for x in out[4:]], names)
         give_back()
 
     return texts.select("key", "n", "text").mapInArrow(run, RUN)
 
 
-def _once(texts: DataFrame, length: int) -> DataFrame:
-    """``(key, text)`` of texts of ``length`` bytes or more, each key once a task."""
+def _once(texts: DataFrame, least: int) -> DataFrame:
+    """``(key, text)`` of texts of ``least`` bytes or more, each key once a task."""
 
     def run(batches):
         seen: set[bytes] = set()
         for batch in batches:
             keep = []
             for key, size in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
-                keep.append(size >= length and key not in seen)
+                keep.append(size >= least and key not in seen)
                 seen.add(key)
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["key", "text"])
@@ -116,19 +148,26 @@ def _once(texts: DataFrame, length: int) -> DataFrame:
             .mapInArrow(run, "key binary, text binary"))
 
 
-def _cut(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``(anchor, key, n, text)``: the bytes of the wanted pieces, keyed by content."""
-    by_text = wanted.groupBy("key").agg(F.collect_list(F.struct("anchor", "content", "n", "lo", "hi")).alias("cuts"))
-    found = _once(texts, length).join(by_text, "key").dropDuplicates(["key"]).select("text", "cuts")
+def _cut(texts: DataFrame, wanted: DataFrame, sought: list[Strings], coded: bool) -> DataFrame:
+    """``(width, anchor, key, n, text)``: the symbols of the wanted pieces, keyed by content."""
+    by_text = wanted.groupBy("key").agg(F.collect_list(F.struct("width", "anchor", "content", "n", "lo", "hi")).alias("cuts"))
+    # a text of so many words has a byte each and one between them, at least
+    least = min(s.length if s.width == 1 or coded else 2 * s.length - 1 for s in sought)
+    found = _once(texts, least).join(by_text, "key").dropDuplicates(["key"]).select("text", "cuts")
+    of_width = {s.width: s for s in sought}
 
     def run(batches):
         for batch in batches:
             rows, held = [], 0
             for text, cuts in zip(batch.column(0), batch.column(1)):
-                raw = text.as_buffer()
+                raw, symbols = np.frombuffer(text.as_buffer(), np.uint8), {}
                 for c in cuts.as_py():
-                    rows.append((c["anchor"], c["content"], c["n"], raw[c["lo"]:c["hi"] + length].to_pybytes()))
-                    held += len(rows[-1][3])
+                    strings = of_width[c["width"]]
+                    if strings.width not in symbols:
+                        symbols[strings.width] = strings.symbols(raw, coded)
+                    part = symbols[strings.width][c["lo"]:c["hi"] + strings.length]
+                    rows.append((strings.width, c["anchor"], c["content"], c["n"], part.tobytes()))
+                    held += len(rows[-1][4])
                     if held > 4 << 20:
                         yield _piece_batch(rows)
                         rows, held = [], 0
@@ -136,15 +175,15 @@ def _cut(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 yield _piece_batch(rows)
         give_back()
 
-    return found.mapInArrow(run, "anchor long, key binary, n long, text binary")
+    return found.mapInArrow(run, "width int, anchor long, key binary, n long, text binary")
 
 
 def _piece_batch(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-        zip(*rows), (pa.int64(), pa.binary(), pa.int64(), pa.binary()))], ["anchor", "key", "n", "text"])
+        zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.binary()))], ["width", "anchor", "key", "n", "text"])
 
 
-SPANS = "key binary, anchor long, spans array<struct<lo:bigint,hi:bigint>>"
+SPANS = "key binary, spans array<struct<lo:bigint,hi:bigint>>"
 
 
 def _spans_of(starts: np.ndarray, length: int) -> list[dict]:
@@ -155,35 +194,35 @@ def _spans_of(starts: np.ndarray, length: int) -> list[dict]:
     return [{"lo": int(a), "hi": int(b) + length} for a, b in zip(first, last)]
 
 
-def _expand(cut: DataFrame, length: int) -> DataFrame:
+def _expand(cut: DataFrame, sought: list[Strings]) -> DataFrame:
     """Repeated spans of each piece, by a suffix array and interval expansion over whole anchors."""
-    dealt = cut.repartition("anchor").sortWithinPartitions("anchor", "key")
+    dealt = cut.repartition("width", "anchor").sortWithinPartitions("width", "anchor", "key")
+    of_width = {s.width: s for s in sought}
 
     def flush(rows):
         """A piece met n times is in the batch once: all its starts repeat then, by its copies."""
-        starts = repeated_starts([text for _, _, _, text in rows], length)
+        strings = of_width[rows[0][0]]
+        starts = repeated_starts([text for *_, text in rows], strings.length, strings.width)
         rows_out = []
-        for (anchor, key, n, text), found in zip(rows, starts):
+        for (_, _, key, n, text), found in zip(rows, starts):
             if n > 1:
-                found = np.arange(len(text) - length + 1)
+                found = np.arange(len(text) // strings.width - strings.length + 1)
             if len(found):
-                rows_out.append((key, anchor, _spans_of(found, length)))
+                rows_out.append((key, _spans_of(found, strings.length)))
         if rows_out:
-            key, anchor, spans = zip(*rows_out)
+            key, spans = zip(*rows_out)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key, pa.binary()), pa.array(anchor, pa.int64()),
-                 pa.array(spans, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))],
-                ["key", "anchor", "spans"])
+                [pa.array(key, pa.binary()), pa.array(spans, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))], ["key", "spans"])
 
     def run(batches):
         rows, held = [], 0
         for batch in batches:
-            for anchor, key, n, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if held > BATCH_BYTES and anchor != rows[-1][0]:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if rows and (row[0] != rows[-1][0] or held > BATCH_BYTES and row[1] != rows[-1][1]):
                     yield from flush(rows)
                     rows, held = [], 0
-                rows.append((anchor, key, n, text))
-                held += len(text)
+                rows.append(row)
+                held += len(row[4])
         if rows:
             yield from flush(rows)
         give_back()
@@ -191,16 +230,17 @@ def _expand(cut: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, SPANS)
 
 
-def repeated_spans(texts: DataFrame, length: int, seed: int = 0) -> DataFrame:
-    """``(key, lo, hi)``: byte spans of each distinct text covered by strings that start elsewhere too.
+def repeated_spans(texts: DataFrame, sought: list[Strings], seed: int = 0, coded: bool = False) -> DataFrame:
+    """``(width, key, lo, hi)``: spans, in symbols, of each distinct text covered by strings that start elsewhere too.
 
     ``texts`` has ``(key binary, n long, text binary)``: a hash that names the text, how often the
-    row counts, the bytes. Spans of one text may overlap.
+    row counts, the bytes (``coded``: the symbols). Spans of one text may overlap.
 
-    Only hashes are shuffled until pieces with a unique anchor are gone; then one copy of each
-    distinct piece travels. An anchor with over ``HEAVY_BYTES`` of distinct pieces, such as one
-    in a large family of near copies, is not given to one task: its pieces are cut again, by
-    other anchors, where equal parts fall together.
+    Only hashes are shuffled until pieces with a unique anchor are gone. Where all pieces of an anchor
+    are equal, the anchor's count tells that they repeat; of the others one copy of each distinct piece
+    travels. An anchor with over ``HEAVY_BYTES`` of distinct pieces, such as one in a large family of
+    near copies, is not given to one task: its pieces are cut again, by other anchors, where equal parts
+    fall together.
     """
     spark = texts.sparkSession
 
@@ -209,27 +249,40 @@ def repeated_spans(texts: DataFrame, length: int, seed: int = 0) -> DataFrame:
         frame.write.parquet(path)
         return spark.read.parquet(path)
 
-    runs = written(_runs(texts, length, seed), "runs")
+    runs = written(_runs(texts, sought, seed, coded), "runs")
+    named = F.xxhash64("content")
     # written first: both sides of the join are then plain shuffles, of which Spark can split a hot anchor's
-    often = written(runs.groupBy("anchor").agg(F.sum("n").alias("met")).filter("met > 1").select("anchor"), "often")
-    shared = written(runs.join(often, "anchor", "left_semi"), "shared")
-    distinct = (shared.groupBy("anchor", "content")
+    often = written(runs.groupBy("width", "anchor").agg(F.sum("n").alias("met"), F.min(named).alias("least"), F.max(named).alias("most"))
+                    .filter("met > 1").select("width", "anchor", (F.col("least") == F.col("most")).alias("lone")), "often")
+    shared = written(runs.join(often, ["width", "anchor"]), "shared")
+    length = F.when(F.col("width") == 1, _length(sought, 1)).otherwise(_length(sought, CODE))
+    whole = shared.filter("lone").select("width", "key", "lo", (F.col("hi") + length).alias("hi"))
+    shared = shared.filter("NOT lone")
+    distinct = (shared.groupBy("width", "anchor", "content")
                 .agg(F.sum("n").alias("n"), F.min(F.struct("key", "lo", "hi")).alias("at"))
-                .select("anchor", "content", "n", "at.key", "at.lo", "at.hi"))
-    cut = written(_cut(texts, distinct, length), "cut")
-    heavy = (cut.groupBy("anchor").agg(F.sum(F.length("text").cast("long")).alias("held"))
-             .filter(F.col("held") > HEAVY_BYTES).select("anchor"))
+                .select("width", "anchor", "content", "n", "at.key", "at.lo", "at.hi"))
+    cut = written(_cut(texts, distinct, sought, coded), "cut")
+    heavy = (cut.groupBy("width", "anchor").agg(F.sum(F.length("text").cast("long")).alias("held"))
+             .filter(F.col("held") > HEAVY_BYTES).select("width", "anchor"))
     heavy = written(heavy, "heavy")
+    exploded = [F.explode("spans").alias("s")]
     if seed + 1 < MAX_CUTS and heavy.head(1):
-        light = _expand(cut.join(heavy, "anchor", "left_anti"), length)
-        again = repeated_spans(cut.join(heavy, "anchor", "left_semi"), length, seed + 1)
-        spans = light.select("key", F.explode("spans").alias("s")).select("key", "s.lo", "s.hi").unionByName(again)
+        light = _expand(cut.join(heavy, ["width", "anchor"], "left_anti"), sought)
+        spans = light.select("key", *exploded).select("key", "s.lo", "s.hi")
+        again = cut.join(heavy, ["width", "anchor"], "left_semi")
+        for strings in sought:
+            spans = spans.unionByName(repeated_spans(again.filter(F.col("width") == strings.width), [strings], seed + 1, True)
+                                      .select("key", "lo", "hi"))
     else:
-        spans = _expand(cut, length).select("key", F.explode("spans").alias("s")).select("key", "s.lo", "s.hi")
+        spans = _expand(cut, sought).select("key", *exploded).select("key", "s.lo", "s.hi")
     spans = written(spans.select(F.col("key").alias("content"), F.col("lo").alias("from"), F.col("hi").alias("to")), "spans")
-    return (shared.join(spans, "content")
-            .select("key", (F.col("lo") + F.col("from")).alias("lo"), (F.col("lo") + F.col("to")).alias("hi"))
-            .distinct())
+    found = (shared.join(spans, "content")
+             .select("width", "key", (F.col("lo") + F.col("from")).alias("lo"), (F.col("lo") + F.col("to")).alias("hi")))
+    return found.unionByName(whole).distinct()
+
+
+def _length(sought: list[Strings], width: int) -> int:
+    return next((s.length for s in sought if s.width == width), 0)
 
 
 def _merged(spans) -> list[list[int]]:
@@ -251,17 +304,6 @@ def _in_bytes(text, spans) -> list[dict]:
     return [{"lo": int(starts[s["lo"]]), "hi": int(ends[s["hi"] - 1])} for s in spans]
 
 
-def with_spans(docs: DataFrame, text_col: str, length: int, name: str = "spans") -> DataFrame:
-    """``docs`` with an array of its repeated byte spans, unordered; null where nothing repeats.
-
-    A null text is empty; texts under ``length`` bytes and empty ones have no spans; rows with equal
-    texts (repeated rows too) have the same. An empty table gives no rows, and a column of ``docs``
-    called ``name`` gives way to the result.
-    """
-    texts, key = _keyed(docs, text_col)
-    return _marked(docs, key, repeated_spans(texts, length), name)
-
-
 def _keyed(docs: DataFrame, text_col: str):
     """``(key, n, text)`` of every row, and the expression of its key."""
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
@@ -277,51 +319,42 @@ def free_name(columns, name: str) -> str:
     return name
 
 
-def _marked(docs: DataFrame, key, found: DataFrame, name: str) -> DataFrame:
-    kept = docs.drop(name)
-    key_name = free_name([*kept.columns, name.lower()], "key")
-    by_text = found.groupBy(F.col("key").alias(key_name)).agg(F.collect_list(F.struct("lo", "hi")).alias(name))
-    return kept.withColumn(key_name, key).join(by_text, key_name, "left").drop(key_name)
+def with_spans(docs: DataFrame, text_col: str, length: int, words: int | None = None, name: str = "spans",
+               word_name: str = "word_spans") -> DataFrame:
+    """``docs`` with arrays of its repeated spans, unordered: of bytes, and of words if asked for (else null).
 
+    A null text is empty; texts too short for a string have no spans; rows with equal texts (repeated rows
+    too) have the same. Null where nothing repeats. An empty table gives no rows, and columns of ``docs``
+    called ``name`` or ``word_name`` give way to the result.
+    """
+    texts, key = _keyed(docs, text_col)
+    sought = [Strings(1, length)] + ([Strings(CODE, words)] if words else [])
+    found = repeated_spans(texts, sought)
+    kept = docs.drop(name, word_name)
+    key_name = free_name([*kept.columns, name.lower(), word_name.lower()], "key")
 
-def _coded(texts: DataFrame) -> DataFrame:
-    """``(key, n, text)`` with every word of a text as its 64-bit hash, and nothing between words."""
+    def spans(width, alias):
+        return F.collect_list(F.when(F.col("width") == width, F.struct("lo", "hi"))).alias(alias)
 
-    def run(batches):
-        for batch in batches:
-            for first, buf, offs in slices(batch.column(2), 1 << 20):
-                rows = len(offs) - 1
-                starts, ends, bounds = split_words(buf, offs)
-                codes = hash_spans(buf, starts, ends).astype("<u8")
-                coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), rows, [
-                    None, pa.py_buffer((bounds * CODE).astype(np.int64).tobytes()), pa.py_buffer(codes.tobytes())])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, rows), batch.column(1).slice(first, rows),
-                                                  coded.cast(pa.binary())], ["key", "n", "text"])
-        give_back()
-
-    return texts.mapInArrow(run, "key binary, n long, text binary")
+    by_text = found.groupBy(F.col("key").alias(key_name)).agg(spans(1, name), spans(CODE, word_name))
+    return kept.withColumn(key_name, key).join(by_text, key_name, "left").drop(key_name)
 
 
-def repeated_word_spans(texts: DataFrame, words: int) -> DataFrame:
-    """``(key, lo, hi)``: spans, in words, of passages of ``words`` words or more that also start elsewhere.
+def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
+                   words: int | None = None) -> DataFrame:
+    """``id, n_bytes, n_removed, n_spans, kept_sha256`` for every row (see :func:`with_spans`).
 
-    Passages are equal if their words are, in order and case, whatever space stands between them.
-    Words travel as 64-bit hashes, so the strings compared have ``CODE * words`` bytes; one that
-    begins inside a hash repeats by chance only, and is narrowed to whole words.
+    With ``words`` also ``n_passages, n_passage_words``: the passages of that many words or more, whatever
+    space stands between them, that also start elsewhere, and their words. They count also where they are
+    too short in bytes to be removed.
     """
-    low, high = F.ceil(F.col("lo") / CODE).cast("long"), F.floor(F.col("hi") / CODE).cast("long")
-    found = repeated_spans(_coded(texts), CODE * words).select("key", low.alias("lo"), high.alias("hi"))
-    return found.filter(F.col("hi") - F.col("lo") >= words)
-
-
-def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
-    """``id, n_bytes, n_removed, n_spans, kept_sha256`` for every row (see :func:`with_spans`)."""
-    marked = with_spans(docs.select(F.col(id_col), F.col(text_col)), text_col, length).select(id_col, text_col, "spans")
+    marked = with_spans(docs.select(F.col(id_col), F.col(text_col)), text_col, length, words).select(id_col, text_col, "spans", "word_spans")
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + (["n_passages", "n_passage_words"] if words else [])
 
     def run(batches):
         for batch in batches:
-            out = [[], [], [], []]
-            for text, spans in zip(batch.column(1), batch.column(2)):
+            out = [[] for _ in names]
+            for text, spans, in_words in zip(batch.column(1), batch.column(2), batch.column(3)):
                 raw = (text.as_py() or "").encode()
                 gone = _merged(spans.as_py())
                 at, kept = 0, hashlib.sha256()
@@ -329,34 +362,32 @@ def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     kept.update(raw[at:lo])
                     at = hi
                 kept.update(raw[at:])
-                for column, value in zip(out, (len(raw), sum(b - a for a, b in gone), len(gone), kept.hexdigest())):
+                passages = _merged(in_words.as_py())
+                for column, value in zip(out, (len(raw), sum(b - a for a, b in gone), len(gone), kept.hexdigest(),
+                                               len(passages), sum(b - a for a, b in passages))):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.string())],
-                [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                [batch.column(0), *(pa.array(c, pa.string() if n == "kept_sha256" else pa.int64()) for n, c in zip(names, out))], [id_col, *names])
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return marked.mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    schema = ", ".join(f"{n} {'string' if n == 'kept_sha256' else 'long'}" for n in names)
+    return marked.mapInArrow(run, f"`{id_col}` {kind}, {schema}")
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, words: int | None = None) -> DataFrame:
     """``docs`` with its repeated spans cut out of ``text_col``: strings of ``length`` bytes or more.
 
-    With ``words``, passages of that many words or more go too, however few bytes they have (see
-    :func:`repeated_word_spans`), from their first word to the end of their last.
+    With ``words``, passages of that many words or more go too, however few bytes they have and whatever
+    space stands between them, from their first word to the end of their last.
     A span that begins or ends inside a UTF-8 character is narrowed to whole characters, so the
     text stays valid. A null text stays null, and an empty one empty. Rows with equal texts, repeated
     rows too, repeat each other and lose the same spans; an empty table gives no rows; columns of any
     name are carried as they are.
     """
     gone_name, words_name = free_name(docs.columns, "gone"), free_name(docs.columns, "gone_words")
-    marked = with_spans(docs, text_col, length, gone_name)
+    marked = with_spans(docs, text_col, length, words, gone_name, words_name)
     columns = docs.columns
-    if words is None:
-        marked = marked.withColumn(words_name, F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>"))
-    else:
-        texts, key = _keyed(docs, text_col)
-        marked = _marked(marked, key, repeated_word_spans(texts, words), words_name)
     schema = docs.select(*columns).schema
 
     def run(batches):

@@ -6,16 +6,18 @@ import numpy as np
 
 
 def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` symbols (at least); symbols are 0 to 511.
+    """Suffixes in the order of their first ``depth`` symbols (at least); symbols are not negative.
 
-    The first 7 symbols are sorted as one number; then prefixes double, and only suffixes that
-    still share theirs with another are sorted again.
+    The first symbols, as many as fit (7 of an alphabet of 512), are sorted as one number; then prefixes
+    double, and only suffixes that still share theirs with another are sorted again.
     """
     n = len(symbols)
-    padded = np.concatenate([symbols.astype(np.int64), np.zeros(8, np.int64)])
+    bits = max(1, int(symbols.max(initial=0)).bit_length())
+    begin = max(1, min(7, 63 // bits))
+    padded = np.concatenate([symbols.astype(np.int64), np.zeros(begin, np.int64)])
     key = np.zeros(n, np.int64)
-    for j in range(7):
-        key = (key << 9) | padded[j:n + j]
+    for j in range(begin):
+        key = (key << bits) | padded[j:n + j]
     order = np.argsort(key, kind="stable")
     sorted_key = key[order]
     new = np.ones(n, bool)
@@ -26,7 +28,7 @@ def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
     del key, sorted_key
     shared = ~(new & np.append(new[1:], True))
     at = np.flatnonzero(shared)
-    h = 7
+    h = begin
     while len(at) and h < depth:
         second = rank[np.minimum(order[at] + h, n)] + 1
         both = rank[order[at]] * (n + 1) + second
@@ -101,12 +103,21 @@ def boundaries_below(bwt: np.ndarray, limit: int) -> np.ndarray:
     return found
 
 
-def repeated_starts(texts: list[bytes], length: int) -> list[np.ndarray]:
-    """For each text the starts of its ``length``-byte strings that start anywhere else in ``texts``."""
-    sizes = np.array([len(t) for t in texts], np.int64)
-    joined = np.frombuffer(b"\x00".join(texts) + b"\x00", np.uint8)
+def repeated_starts(texts: list[bytes], length: int, width: int = 1) -> list[np.ndarray]:
+    """For each text the starts of its strings of ``length`` symbols that start anywhere else in ``texts``.
+
+    A symbol is a byte, or with ``width`` 8 a 64-bit number; starts count symbols.
+    """
+    if width == 1:
+        sizes = np.array([len(t) for t in texts], np.int64)
+        joined = np.frombuffer(b"\x00".join(texts) + b"\x00", np.uint8).astype(np.uint16)
+    else:
+        sizes = np.array([len(t) // width for t in texts], np.int64)
+        found, numbers = np.unique(np.frombuffer(b"".join(texts), "<u8"), return_inverse=True)
+        joined = np.zeros(int(sizes.sum()) + len(texts), np.int64)
+        joined[np.arange(len(numbers)) + np.repeat(np.arange(len(texts)), sizes)] = numbers
     ends = np.cumsum(sizes + 1) - 1
-    symbols = joined.astype(np.uint16) + np.uint16(1)
+    symbols = joined + joined.dtype.type(1)
     symbols[ends] = 0
     order = suffix_array(symbols, length)
     below = boundaries_below(symbols[order - 1], length)
