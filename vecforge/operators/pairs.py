@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.ml.stat import Summarizer
 
 from vecforge.functions.vectors import dot, norm2, to_array, to_vector
+from vecforge.operators.skewjoin import salted_join
 
 # Broadcast the centroid table when it is below this size (bytes, estimated
 # from its exact row count and the vector width); otherwise a shuffle join.
@@ -44,15 +45,16 @@ def with_centroid(frame: DataFrame, vec: str = "vec", label: str = "label") -> D
     """Attach each row's class centroid (equi-join on the label; broadcast when provably small).
 
     The centroid table (classes x width) is computed once and checkpointed into the shared
-    checkpoint folder; its exact size then decides broadcast or shuffle join.
+    checkpoint folder; its exact size then decides broadcast or shuffle join. The latter deals out
+    labels that hold many rows (:mod:`vecforge.operators.skewjoin`).
     """
     from vecforge.session import checkpoint_dir
     checkpoint_dir(frame.sparkSession)
     cents = class_centroids(frame, vec, label).checkpoint(eager=True)
     stats = cents.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("centroid")).alias("d")).first()
     if int(stats["n"]) * max(1, int(stats["d"] or 0)) * 8 <= CENTROID_BROADCAST_BYTES:
-        cents = F.broadcast(cents)
-    return frame.join(cents.withColumnRenamed("label", label), label)
+        return frame.join(F.broadcast(cents.withColumnRenamed("label", label)), label)
+    return salted_join(frame, cents.withColumnRenamed("label", label), label)
 
 
 def partner_dot_sums(frame: DataFrame, id_col: str = "id", vec: str = "vec") -> DataFrame:

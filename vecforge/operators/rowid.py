@@ -7,6 +7,9 @@
   window over the data: rows are counted per file split, the (small) split table gets
   running offsets and is checkpointed, and each row adds its position inside its split.
   Two passes over the input in all.
+* :func:`with_row_index` - contiguous ``0 .. n-1`` in the row order of any frame, filtered, joined
+  or sorted ones too. The frame is written once, with partition numbers; offsets are sums over
+  partitions.
 """
 
 from __future__ import annotations
@@ -14,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vecforge.session import checkpoint_dir, scratch_path
+
 # The split table is broadcast when it has at most this many rows
 # (one row per file split, i.e. input bytes / split size); larger tables are joined normally.
 SPLIT_TABLE_BROADCAST_ROWS = 200_000
@@ -56,7 +61,6 @@ def with_file_order_index(scan: DataFrame, name: str = "row_index") -> DataFrame
     running = Window.orderBy(*file_order(F.col("_file")), "_start").rowsBetween(Window.unboundedPreceding, -1)
     # materialised once in the shared checkpoint folder: sizing the join and the join itself
     # read this small table instead of re-aggregating the input
-    from vecforge.session import checkpoint_dir
     checkpoint_dir(scan.sparkSession)
     offsets = splits.select("_file", "_start", "_first",
                             F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset")
@@ -66,3 +70,27 @@ def with_file_order_index(scan: DataFrame, name: str = "row_index") -> DataFrame
     joined = tagged.join(side, ["_file", "_start"])
     return (joined.withColumn(name, F.col("_offset") + F.col("_mono") - F.col("_first"))
             .drop("_file", "_start", "_mono", "_first", "_offset"))
+
+
+def with_row_index(frame: DataFrame, name: str = "row_index") -> DataFrame:
+    """Contiguous index ``0 .. n-1`` in the row order of any frame: partition by partition, as it comes.
+
+    A frame's rows may come in another order when a task is run again (after a shuffle they do), so the
+    frame is written to the shared scratch folder with each row's partition and place, and only what was
+    written is numbered: whatever task is lost later reads the same numbers. Rows are counted by partition
+    and each partition's offset is the sum of the counts before it: one small row a partition is all that
+    is ever ordered. A column called ``name`` gives way to the index; an empty frame gives no rows.
+    """
+    spark = frame.sparkSession
+    kept = [c for c in frame.columns if c.lower() != name.lower()]
+    path = scratch_path(spark, "row-index")
+    # columns travel inside a struct, so that none of theirs can clash with the place
+    frame.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.monotonically_increasing_id().alias("place")).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("part", F.shiftright("place", 33))
+    counts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    checkpoint_dir(spark)
+    offsets = counts.select("part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")).checkpoint(eager=True)
+    side = F.broadcast(offsets) if offsets.count() <= SPLIT_TABLE_BROADCAST_ROWS else offsets
+    index = F.col("offset") + F.col("place") - F.col("first")
+    return rows.join(side, "part").select("row.*", index.cast("long").alias(name))

@@ -28,4 +28,5 @@ def register(name: str, oracle: str | None = None):
 
 
 def load_all() -> None:
-    from vecforge.plans import eval_queries, knn_queries, model_queries, source_queries, vector_queries  # noqa: F401
+    from vecforge.plans import (eval_queries, exact_search_queries, knn_queries, model_queries, source_queries,  # noqa: F401
+                                vector_queries)
