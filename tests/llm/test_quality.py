@@ -1,7 +1,7 @@
 import duckdb
 
 from brute import awkward, frame, prose, words
-from vecforge.llm.quality import COUNTS, JUDGE_SQL, RULES, Rule, Text, judge, order_rules
+from vecforge.llm.quality import COUNTS, JUDGE_SQL, RULES, Rule, Text, greedy_order, judge, order_rules
 
 
 def plain(text):
@@ -50,11 +50,28 @@ def test_order_is_rejection_per_cost(spark):
         return len(t.words) > 0
 
     rules = (Rule("never", lambda t: False), Rule("slow", slow), Rule("quick", lambda t: len(t.raw) > 0))
-    assert order_rules(docs, rules) == ["quick", "slow", "never"]
+    assert order_rules(docs, rules) == ["quick", "never", "slow"]  # nothing is left for the slow one
     assert order_rules(docs.limit(0), rules) == ["never", "slow", "quick"]
     a = {r.text: r.kept for r in judge(docs, rules).collect()}
     assert a == {r.text: r.kept for r in judge(docs, rules[::-1]).collect()}
 
 
+def test_later_rules_count_what_is_left():
+    """a rejects most, but b has rejected nearly all of that for less; c's few rows are its own."""
+    cost = {"a": 2.0, "b": 1.0, "c": 1.0}
+    masks = {0b000: 50, 0b011: 40, 0b001: 1, 0b100: 5}
+    assert greedy_order(["a", "b", "c"], masks, cost) == ["b", "c", "a"]
+    assert greedy_order(["a", "b"], {0: 9}, {"a": 2.0, "b": 1.0}) == ["b", "a"]
+
+
+def test_rows_that_fail_the_base_are_not_measured(spark):
+    """Short texts fail the base rule: a rule that rejects only them rejects nothing in the cascade."""
+    import random
+    rng = random.Random(3)
+    docs = spark.createDataFrame([("too short",)] * 200 + [(prose(rng, 40),) for _ in range(50)], "text string")
+    rules = (Rule("short", lambda t: len(t.words) < 10), Rule("dear", lambda t: sum(range(20000)) < 0 or len(t.raw) > 0))
+    assert order_rules(docs, rules) == ["dear", "short"]
+
+
 def test_empty_table(spark):
     assert judge(frame(spark, [])).count() == 0

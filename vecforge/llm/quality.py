@@ -10,6 +10,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecforge.llm.process import give_back
@@ -117,37 +118,65 @@ def _texts(batch: pa.RecordBatch, column: str):
         yield Text((x.as_py() or "").encode())
 
 
+def greedy_order(rules: list[str], masks: dict[int, int], cost: dict[str, float]) -> list[str]:
+    """Rules by rejection per cost, each judged on the rows that those before it leave.
+
+    ``masks`` counts rows by the set of rules that reject them (bit i: rule i). Of rules that reject
+    nothing more the cheapest is first.
+    """
+    left, waiting, out = dict(masks), list(range(len(rules))), []
+    while waiting:
+        hits = {i: sum(n for m, n in left.items() if m >> i & 1) for i in waiting}
+        # every rule meets the same rows that are left, so its cost a row ranks it
+        best = min(waiting, key=lambda i: (-hits[i] / cost[rules[i]], cost[rules[i]], i))
+        waiting.remove(best)
+        out.append(rules[best])
+        left = {m: n for m, n in left.items() if not m >> best & 1}
+    return out
+
+
 def order_rules(docs: DataFrame, rules=RULES, text_col: str = "text", sample_rows: int = SAMPLE_ROWS,
                 seed: int = 7) -> list[str]:
-    """Names of the rules, highest rejection per second first, as measured on a sample.
+    """Names of the rules in the order in which the cascade runs them, as measured on a sample.
 
-    The sample has about ``sample_rows`` rows, drawn over the whole table; only one row a rule
-    comes to the driver. On an empty table the given order stays.
+    The sample has about ``sample_rows`` rows, drawn over the whole table; of these, rows that fail the
+    base rule meet no other rule and are left out. A rule is timed as the cascade runs it, with the counts
+    of the result already found, and its rejections are those of rows that the rules before it let pass
+    (:func:`greedy_order`). One row for each set of rules that rejects something comes to the driver. With no
+    row to measure on, the given order stays.
     """
+    names = [r.name for r in rules]
     total = docs.count()
     if not total:
-        return [r.name for r in rules]
+        return names
     part = docs.select(text_col).sample(min(1.0, sample_rows / total), seed)
 
     def run(batches):
-        spent, hits, seen = dict.fromkeys((r.name for r in rules), 0.0), dict.fromkeys((r.name for r in rules), 0), 0
+        spent, seen, masks = [0.0] * len(rules), 0, {}
         for batch in batches:
             for text in _texts(batch, text_col):
-                seen += 1
-                for rule in rules:
-                    alone = Text(text.raw)  # nothing found for another rule makes this one look cheap
+                if text.base_failed:
+                    continue
+                for c in COUNTS[1:]:
+                    getattr(text, c)
+                seen, mask = seen + 1, 0
+                for i, rule in enumerate(rules):
                     began = time.perf_counter()
-                    hits[rule.name] += bool(rule.rejects(alone))
-                    spent[rule.name] += time.perf_counter() - began
-        yield pa.RecordBatch.from_pydict({"rule": list(spent), "spent": list(spent.values()),
-                                          "hits": list(hits.values()), "seen": [seen] * len(spent)})
-
-    found = (part.mapInArrow(run, "rule string, spent double, hits long, seen long")
-             .groupBy("rule").sum("spent", "hits", "seen").collect())  # one row a rule
-    spent = {r["rule"]: max(r["sum(spent)"], 1e-9) for r in found}
-    rate = {r["rule"]: r["sum(hits)"] / spent[r["rule"]] for r in found}
-    # of rules that rejected nothing the cheapest is first
-    return sorted((r.name for r in rules), key=lambda name: (-rate.get(name, 0.0), spent.get(name, 0.0)))
+                    mask |= bool(rule.rejects(text)) << i
+                    spent[i] += time.perf_counter() - began
+                masks[mask] = masks.get(mask, 0) + 1
+        if seen:  # the times go with the first set
+            keys = list(masks)
+            yield pa.RecordBatch.from_pydict({"mask": keys, "n": [masks[m] for m in keys],
+                                              "spent": [spent] + [[0.0] * len(rules)] * (len(keys) - 1)})
+
+    sums = [F.sum(F.get("spent", i)).alias(f"s{i}") for i in range(len(rules))]
+    found = part.mapInArrow(run, "mask long, n long, spent array<double>").groupBy("mask").agg(F.sum("n").alias("n"), *sums).collect()
+    if not found:
+        return names
+    rows = sum(r["n"] for r in found)
+    cost = {name: max(sum(r[f"s{i}"] for r in found) / rows, 1e-9) for i, name in enumerate(names)}
+    return greedy_order(names, {r["mask"]: r["n"] for r in found}, cost)
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
