@@ -32,6 +32,18 @@ def r6(col: str, name: str | None = None):
     return F.round(F.col(col), DIGITS).alias(name or col)
 
 
+def spread(vec: str, width: int, name: str):
+    """Columns ``<name>0, <name>1, ...``: the elements of a vector, rounded, so that all of it is compared."""
+    return [F.round(F.get(F.col(vec), i), DIGITS).alias(f"{name}{i}") for i in range(width)]
+
+
+def sql_spread(vec: str, width: int, name: str) -> str:
+    return ", ".join(f"round(CAST({vec}[{i + 1}] AS DOUBLE), {DIGITS}) AS {name}{i}" for i in range(width))
+
+
+VECTOR_WIDTH = 64  # of the embeddings
+
+
 # ---------------------------------------------------------------------------------------
 # DuckDB SQL fragments (tables are views named after the parquet files)
 # ---------------------------------------------------------------------------------------

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vecforge.functions.vectors import euclidean
-from vecforge.operators import cells, graph, knn, metric_index, pairs, refine, rowid, skewjoin
-from vecforge.plans.common import DIGITS, K_DEFAULT, SQL_SPLIT, SQL_SPLIT_SCALED, r6, scaled, sql_neighbors, train_test, vectors
+from vecforge.functions.vectors import euclidean, norm2
+from vecforge.operators import cells, graph, knn, metric_index, pairs, randomized_pca, refine, rowid, skewjoin
+from vecforge.plans.common import DIGITS, K_DEFAULT, SQL_SPLIT, SQL_SPLIT_SCALED, VECTOR_WIDTH, r6, scaled, sql_neighbors, train_test, vectors
 from vecforge.plans.knn_queries import SQL_CLASSIFY
 from vecforge.plans.registry import register
 from vecforge.plans.vector_queries import SQL_CENTROIDS
@@ -83,14 +83,14 @@ def self_knn_graph(spark, sf_dir):
 
 
 @register("row_index_any_frame", """
-SELECT l_orderkey, l_linenumber, revenue, row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS row_index
+SELECT l_orderkey, l_linenumber, revenue, row_number() OVER (ORDER BY l_orderkey, l_linenumber, revenue) - 1 AS row_index
 FROM (SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 4) AS revenue FROM lineitem WHERE l_quantity > 25)
 """)
 def row_index_any_frame(spark, sf_dir):
     """P5 of a derived frame: filtered and projected rows, sorted, then numbered without gaps."""
     revenue = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4).alias("revenue")
     rows = table(spark, sf_dir, "lineitem").filter("l_quantity > 25").select("l_orderkey", "l_linenumber", revenue)
-    return rowid.with_row_index(rows.orderBy("l_orderkey", "l_linenumber"))
+    return rowid.with_row_index(rows.orderBy("l_orderkey", "l_linenumber", "revenue"))
 
 
 @register("heavy_flags", """
@@ -111,3 +111,18 @@ def salted_centroid_join(spark, sf_dir):
     rows = vectors(spark, sf_dir)
     found = skewjoin.salted_join(rows, pairs.class_centroids(rows), "label", rows_per_salt=25)
     return found.select("id", "label", F.round(euclidean("vec", "centroid"), DIGITS).alias("distance"))
+
+
+@register("pca_randomized_check", f"""
+WITH {SQL_SPLIT},
+x AS (SELECT unnest(range(1, len(vec) + 1)) AS i, unnest(vec) AS v FROM tr),
+s AS (SELECT var_samp(v) AS s FROM x GROUP BY i),
+t AS (SELECT id, list_dot_product(vec, vec) AS norm2 FROM te)
+SELECT id, round(norm2, {DIGITS}) AS norm2, round(total, {DIGITS}) AS variance FROM t, (SELECT sum(s) AS total FROM s)
+""")
+def pca_randomized_check(spark, sf_dir):
+    """R1-R3 by the randomised range finder at full width: the axes' variances add up to the columns', and projected test rows keep their norms."""
+    train, test = train_test(spark, sf_dir)
+    axes = randomized_pca.fit(train, VECTOR_WIDTH)
+    out = randomized_pca.project(axes, test)
+    return out.select("id", F.round(norm2("vec"), DIGITS).alias("norm2"), F.round(F.lit(float(axes.variance.sum())), DIGITS).alias("variance"))

@@ -11,12 +11,13 @@ from pyspark.sql import types as T
 
 from vecforge.operators import knn, metrics
 from vecforge.plans import eval_queries, knn_queries
-from vecforge.plans.common import DIGITS, K_DEFAULT, SQL_SPLIT, sql_neighbors, sql_vote, train_test, vectors
+from vecforge.plans.common import (DIGITS, K_DEFAULT, SQL_SPLIT, VECTOR_WIDTH, spread, sql_neighbors, sql_spread, sql_vote,
+                                   train_test, vectors)
 from vecforge.plans.registry import register
 from vecforge.session import scratch_path
 from vecforge.sources import csv
 
-WIDTH = 64  # embeddings width; the scans are schema-on-read
+WIDTH = VECTOR_WIDTH  # the scans are schema-on-read
 
 
 def _wide_sql(first: int) -> str:
@@ -35,23 +36,19 @@ def csv_label_first_scan(spark, sf_dir):
 
 
 @register("split_label_features", f"""
-SELECT label, CAST(len(embedding) AS INTEGER) AS n_features, round(CAST(embedding[1] AS DOUBLE), {DIGITS}) AS first_feature,
-       round(CAST(embedding[{WIDTH}] AS DOUBLE), {DIGITS}) AS last_feature FROM embeddings
+SELECT label, CAST(len(embedding) AS INTEGER) AS n_features, {sql_spread("embedding", WIDTH, "f")} FROM embeddings
 """)
 def split_label_features(spark, sf_dir):
     """Label column apart and renamed, the other columns assembled in order."""
     path = scratch_path(spark, "label-first-csv")
     csv.write_label_first(vectors(spark, sf_dir), path, n_features=WIDTH)
     split = csv.split_label_features(csv.read_label_first(spark, path, n_features=WIDTH))
-    return split.select("label", F.size("vec").alias("n_features"),
-                        F.round(F.get("vec", 0), DIGITS).alias("first_feature"),
-                        F.round(F.get("vec", WIDTH - 1), DIGITS).alias("last_feature"))
+    return split.select("label", F.size("vec").alias("n_features"), *spread("vec", WIDTH, "f"))
 
 
 @register("csv_split_layout_scan", f"""
-SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS BIGINT) AS row_index, label,
-       round(list_sum(CAST(embedding AS DOUBLE[])), {DIGITS}) AS feature_sum,
-       round(CAST(embedding[1] AS DOUBLE), {DIGITS}) AS first_feature FROM embeddings
+SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS BIGINT) AS row_index, label, {sql_spread("embedding", WIDTH, "f")}
+FROM embeddings
 """)
 def csv_split_layout_scan(spark, sf_dir):
     """Features and labels in two headerless files, re-paired by contiguous row position."""
@@ -59,9 +56,7 @@ def csv_split_layout_scan(spark, sf_dir):
     labels = scratch_path(spark, "split-labels")
     csv.write_split_layout(vectors(spark, sf_dir), feats, labels, order_by="id", n_features=WIDTH)
     both = csv.read_split_layout(spark, feats, labels, WIDTH)
-    return both.select("row_index", "label",
-                       F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x), DIGITS).alias("feature_sum"),
-                       F.round(F.get("vec", 0), DIGITS).alias("first_feature"))
+    return both.select("row_index", "label", *spread("vec", WIDTH, "f"))
 
 
 REPORT_SCHEMA = T.StructType([T.StructField("class", T.IntegerType()), T.StructField("precision", T.DoubleType()),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vecforge.functions import vectors as V
 from vecforge.operators import pairs, rowid
-from vecforge.plans.common import DIGITS, SQL_SPLIT, r6, vectors
+from vecforge.plans.common import DIGITS, SQL_SPLIT, VECTOR_WIDTH, r6, spread, sql_spread, vectors
 from vecforge.plans.registry import register
 from vecforge.sources.tables import is_test_row, table
 
@@ -103,7 +103,7 @@ def self_join_id(spark, sf_dir):
 
 @register("join_features_labels", f"""
 WITH {SQL_E}
-SELECT id, label, CAST(len(vec) AS INTEGER) AS n_features, round(list_sum(vec), {DIGITS}) AS feature_sum FROM e
+SELECT id, label, CAST(len(vec) AS INTEGER) AS n_features, {sql_spread("vec", VECTOR_WIDTH, "f")} FROM e
 """)
 def join_features_labels(spark, sf_dir):
     """Features and labels as separate projections, re-joined on a stable key (the input id)."""
@@ -111,8 +111,7 @@ def join_features_labels(spark, sf_dir):
     feats = e.select("id", "vec")
     labels = e.select("id", "label")
     j = feats.join(labels, "id")
-    return j.select("id", "label", F.size("vec").alias("n_features"),
-                    F.round(V.vsum("vec"), DIGITS).alias("feature_sum"))
+    return j.select("id", "label", F.size("vec").alias("n_features"), *spread("vec", VECTOR_WIDTH, "f"))
 
 
 LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -183,24 +182,24 @@ def feature_sqrt(spark, sf_dir):
 @register("vector_arith", f"""
 WITH {SQL_CENTROIDS},
 d AS (SELECT id, list_transform(list_zip(vec, centroid), lambda p: (p[1] - p[2]) * 2.5) AS dv FROM ec)
-SELECT id, round(dv[1], {DIGITS}) AS d0, round(dv[2], {DIGITS}) AS d1,
-       round(list_sum(dv), {DIGITS}) AS d_sum FROM d
+SELECT id, CAST(len(dv) AS INTEGER) AS width, {sql_spread("dv", VECTOR_WIDTH, "d")} FROM d
 """)
 def vector_arith(spark, sf_dir):
     """P10: element-wise difference (vector minus class centroid) scaled by a constant."""
     ec = _with_centroid(spark, sf_dir)
     dv = V.scale(V.subtract("vec", "centroid"), 2.5)
     out = ec.select("id", dv.alias("dv"))
-    return out.select("id", F.round(V.element("dv", 0), DIGITS).alias("d0"),
-                      F.round(V.element("dv", 1), DIGITS).alias("d1"),
-                      F.round(V.vsum("dv"), DIGITS).alias("d_sum"))
+    return out.select("id", F.size("dv").alias("width"), *spread("dv", VECTOR_WIDTH, "d"))
+
+
+KEPT = 8  # fixed value: components kept
 
 
 @register("truncate_components", f"""
 WITH {SQL_E}
-SELECT id, CAST(len(vec[1:8]) AS INTEGER) AS n_kept, round(list_sum(vec[1:8]), {DIGITS}) AS kept_sum FROM e
+SELECT id, CAST(len(vec[1:{KEPT}]) AS INTEGER) AS n_kept, {sql_spread("vec", KEPT, "c")} FROM e
 """)
 def truncate_components(spark, sf_dir):
     """Keep the first n (8) components."""
-    e = vectors(spark, sf_dir).select("id", V.truncate("vec", 8).alias("head"))
-    return e.select("id", F.size("head").alias("n_kept"), F.round(V.vsum("head"), DIGITS).alias("kept_sum"))
+    e = vectors(spark, sf_dir).select("id", V.truncate("vec", KEPT).alias("head"))
+    return e.select("id", F.size("head").alias("n_kept"), *spread("head", KEPT, "c"))

@@ -30,8 +30,8 @@ def is_test_row(id_col: str = "id"):
 def split_train_test(frame: DataFrame, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
     """Deterministic split by id: rows with ``id % 5 = 0`` are the test set, the rest train.
 
-    The predicate is on the key itself, so each side is a pushed-down filter over the same scan
-    and re-running a lost task reproduces exactly the same rows.
+    The predicate is on the key itself, evaluated at the scan (of it only the null check reaches the
+    file reader), and re-running a lost task reproduces exactly the same rows.
     """
     test = frame.filter(is_test_row(id_col))
     train = frame.filter(~is_test_row(id_col))
