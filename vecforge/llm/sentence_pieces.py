@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 
 from vecforge.llm.pool import ChunkPool
 from vecforge.llm.process import process_wide
-from vecforge.llm.seating import ragged
 from vecforge.llm.suffixes import suffix_array
-from vecforge.llm.words import hash_spans
+from vecforge.llm.words import hash_spans, ragged
 
 MARK = "▁".encode()  # stands for a space
 PACK = 7                  # symbols of 9 bits in one sort key
