@@ -48,6 +48,25 @@ def test_matches(spark):
         assert abs(len(s & {tuple(w[i:i + 5]) for i in range(len(w) - 4)}) / len(s) - r.contained) < 1e-9
 
 
+def test_every_place_of_a_template(spark):
+    """A notice that stands three times is found three times; its places share no shingle."""
+    rng = random.Random(9)
+    for name in ("MIT", "Zlib-text", "MIT-line"):
+        w = TEMPLATES[name].split()
+        worn = " ".join(w[:len(w) // 2] + (["odd"] if len(w) > 60 else []) + w[len(w) // 2:])
+        text = " ".join([prose(rng, 50), TEMPLATES[name], prose(rng, 130), worn, prose(rng, 90), TEMPLATES[name].upper(), prose(rng, 20)])
+        got = sorted((r.first_word, r.last_word) for r in license_matches(frame(spark, [(1, text)])).collect() if r.license == name)
+        at = [50, 50 + len(w) + 130, 50 + len(w) + 130 + len(worn.split()) + 90]
+        assert got == [(a, a + n - 1) for a, n in zip(at, (len(w), len(worn.split()), len(w)))], name
+
+
+def test_clauses_are_told_apart(spark):
+    rows = [(2, TEMPLATES["BSD-2-Clause-text"]), (3, TEMPLATES["BSD-3-Clause-text"])]
+    got = {(r.doc_id, r.license): r.contained for r in license_matches(frame(spark, rows)).collect()}
+    assert got[2, "BSD-2-Clause-text"] == 1 and got[3, "BSD-3-Clause-text"] == 1
+    assert (3, "BSD-third-clause") in got and (2, "BSD-third-clause") not in got
+
+
 def test_bounds_and_empty(spark):
     assert license_matches(frame(spark, [])).count() == 0
     assert license_matches(frame(spark, [(1, "some text of five words")]), {}).count() == 0

@@ -9,6 +9,7 @@ similarity of at least ``LEAST``. A template is retrieved if any band, here one
 
 from __future__ import annotations
 
+import bisect
 import math
 
 import numpy as np
@@ -26,17 +27,65 @@ BANDS = math.ceil(math.log(MISS) / math.log(1 - LEAST))
 SEED = 977
 MAX_TEMPLATE_BYTES = 1 << 20  # templates are sent along with every task
 
-# Notices of public licenses, as they stand in texts and files.
+# Notices and whole texts of public licenses, as they stand in texts and files.
+GRANTED = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+           "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+           "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+           "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:")
+AS_IS = ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+         "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+         "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+         "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+REDISTRIBUTION = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+                  "the following conditions are met:")
+BSD_CONDITIONS = ("1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+                  "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this "
+                  "list of conditions and the following disclaimer in the documentation and/or other materials provided with "
+                  "the distribution.")
+BSD_THIRD = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+             "products derived from this software without specific prior written permission.")
+BSD_DISCLAIMER = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+                  "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+                  "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+                  "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+                  "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+                  "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+                  "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+ISC_GRANT = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+             "granted, provided that the above copyright notice and this permission notice appear in all copies.")
 TEMPLATES = {
+    "MIT-text": f"{GRANTED} The above copyright notice and this permission notice shall be included in all copies or substantial "
+                f"portions of the Software. {AS_IS}",
+    "BSD-2-Clause-text": f"{REDISTRIBUTION} {BSD_CONDITIONS} {BSD_DISCLAIMER}",
+    "BSD-3-Clause-text": f"{REDISTRIBUTION} {BSD_CONDITIONS} 3. {BSD_THIRD} {BSD_DISCLAIMER}",
+    "BSD-third-clause": BSD_THIRD,  # tells the last two apart
+    "ISC-text": f"{ISC_GRANT} THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS "
+                "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE "
+                "FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, "
+                "DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+                "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "Zlib-text": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+                 "liable for any damages arising from the use of this software. Permission is granted to anyone to use this "
+                 "software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject "
+                 "to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that "
+                 "you wrote the original software. If you use this software in a product, an acknowledgment in the product "
+                 "documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, "
+                 "and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from "
+                 "any source distribution.",
+    "BSD-line": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "CC-BY-4.0-line": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0-line": "Licensed under CC BY-SA 4.0.",
+    "LGPL-3.0-or-later": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                         "General Public License as published by the Free Software Foundation; either version 3 of the License, "
+                         "or (at your option) any later version.",
+    "AGPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                         "General Public License as published by the Free Software Foundation, either version 3 of the License, "
+                         "or (at your option) any later version.",
     "MIT-line": "Released under the MIT License.",
     "Apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
     "GPL-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0-line": "Licensed under CC BY-NC 4.0.",
-    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-           "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
-           "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
-           "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
-           "subject to the following conditions:",
+    "MIT": GRANTED,
     "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
                   "in compliance with the License. You may obtain a copy of the License at "
                   "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
@@ -48,12 +97,10 @@ TEMPLATES = {
     "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of "
                         "the GNU General Public License as published by the Free Software Foundation; either version "
                         "2 of the License, or (at your option) any later version.",
-    "BSD-clauses": "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                   "provided that the following conditions are met:",
+    "BSD-clauses": REDISTRIBUTION,
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
                "MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
-    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-           "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "ISC": ISC_GRANT,
     "Unlicense": "This is free and unencumbered software released into the public domain.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
@@ -84,8 +131,11 @@ class Scanner:
                                U64).reshape(len(self.sets), BANDS)
 
     def scan(self, found: np.ndarray, bounds: np.ndarray):
-        """``(row, template, contained, first shingle, last shingle)``: each row's best place of each template."""
-        best: dict[tuple[int, int], tuple] = {}
+        """``(row, template, contained, first shingle, last shingle)``: every verified place of each template.
+
+        Of places that overlap the one that holds more counts, of equal ones the first.
+        """
+        verified: dict[tuple[int, int], list] = {}
         rows = np.arange(len(bounds) - 1)
         layout = {}
         for step, (blocks, members) in self.steps.items():
@@ -118,21 +168,25 @@ class Scanner:
                     share = len(np.unique(found[lo:hi][inside])) / len(self.sets[i])
                     if share >= CONTAINED:
                         first = int(bounds[row[w]])
-                        place = (share, lo + int(inside[0]) - first, lo + int(inside[-1]) - first)
-                        old = best.get((int(row[w]), i))
-                        if old is None or (-share, place[1]) < (-old[0], old[1]):
-                            best[int(row[w]), i] = place
-        for (row_, i), (share, first, last) in sorted(best.items()):
-            yield row_, i, share, first, last
+                        verified.setdefault((int(row[w]), i), []).append((-share, lo + int(inside[0]) - first, lo + int(inside[-1]) - first))
+        for (row_, i), places in sorted(verified.items()):
+            taken: list[tuple] = []
+            for share, first, last in sorted(set(places)):
+                at = bisect.bisect(taken, (first,))
+                if (at == len(taken) or taken[at][0] > last) and (not at or taken[at - 1][1] < first):
+                    taken.insert(at, (first, last, -share))
+            for first, last, share in taken:
+                yield row_, i, share, first, last
 
 
 def license_matches(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """``id, license, contained, first_word, last_word``: the best match of each template in each text.
+    """``id, license, contained, first_word, last_word``: every place of each template in each text.
 
     ``contained`` is the share of the template's five-word shingles (lower-cased A-Z) that the
     window has, at least 0.8; the words are those of the first and last shingle of it that are
-    there, counted from 0. Of equal matches the first counts. A template of fewer than five words is
+    there, counted from 0. Places of one template do not overlap in their shingles: the best one
+    counts, of equal ones the first, and then the best of those beside it. A template of fewer than five words is
     its whole sequence, and is found only in texts that are that sequence.
 
     Narrow: texts are scanned whole where they are read, against templates of bounded size. A null
