@@ -40,8 +40,7 @@ def test_awkward(spark):
 
 
 def test_many_cells_and_large_values(spark, monkeypatch):
-    monkeypatch.setattr(pivots, "CANDIDATE_BLOCK", 64)
-    monkeypatch.setattr(pivots, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(pivots, "BLOCK_BYTES", 64 * 8 * 41)
     monkeypatch.setattr(pivots, "FIRST_LOOK", 8)
     rng = random.Random(2)
     rows = [(i, [rng.gauss(0, 1) + (i % 4) for _ in range(5)]) for i in range(500)]
@@ -63,8 +62,43 @@ def test_stops_before_the_end(monkeypatch):
     monkeypatch.setattr(pivots, "_scores", lambda r, q, s: seen.append(len(r)) or whole(r, q, s))
     ids = np.arange(len(rows))
     found = list(pivots.search_cell(rows[::500], ids[::500], rows, ids, pivots._distances(lifted, p), p, radius2, 5))
-    assert sum(seen) < 0.5 * len(rows) * len(rows[::500])
+    assert sum(seen) < 0.1 * len(rows) * len(rows[::500])
+    assert sum(x[2] for x in found if x[1] < 0) == sum(seen)
+    found = [x for x in found if x[1] >= 0]
     for i in range(len(rows[::500])):
         s = rows @ rows[500 * i]
         s[500 * i] = s.min()
         assert sorted(x[2] for x in found if x[0] == i) == sorted(s)[-5:]
+
+
+def test_share_evaluated_by_the_whole_query(spark):
+    """Clustered vectors: under half of all pairs are compared, over all cells."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(30, 24))
+    rows = [(i, (centres[rng.integers(30)] + 0.1 * rng.normal(size=24)).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = top_k(df, "vec_id", "embedding", F.pmod("vec_id", F.lit(50)) == 0, 5).collect()
+    by_query = {r.query_id: (r.evaluated, r.candidates) for r in got}
+    assert len(by_query) == 60 and all(n == 2999 for _, n in by_query.values())
+    share = sum(e for e, _ in by_query.values()) / sum(n for _, n in by_query.values())
+    assert 5 / 2999 <= share < 0.5
+    x = np.floor(256 * np.array([v for _, v in rows])).astype(np.int64)
+    for q in by_query:
+        s = x @ x[q]
+        order = sorted((-int(v), i) for i, v in enumerate(s) if i != q)[:5]
+        assert [(i, -v) for v, i in order] == [(r.vec_id, r.score) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])]
+
+
+def test_span_bounds_hold():
+    rng = np.random.default_rng(5)
+    x = rng.integers(-300, 300, (400, 12))
+    radius2 = float((x ** 2).sum(axis=1).max())
+    up = pivots._lifted(x, radius2)
+    p = pivots._far_apart(up, 6)
+    p = np.concatenate([p, p[:1]])  # a direction twice
+    turn, norm2 = pivots.span_of(p)
+    inside, outside = pivots.coordinates(pivots._distances(up, p), np.full(len(up), radius2), turn, norm2)
+    q = np.concatenate([x[:30], np.zeros((30, 1))], axis=1).astype(float)
+    q_in, q_out = pivots.coordinates(pivots._distances(q, p), (q ** 2).sum(axis=1), turn, norm2)
+    bound = q_in @ inside.T + q_out[:, None] * outside[None, :]
+    assert (bound >= x[:30] @ x.T - 1e-6 * radius2).all() and bound.mean() < radius2

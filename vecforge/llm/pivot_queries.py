@@ -25,4 +25,4 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= {TO
 @register("op9_exact_top_k", ORACLE)
 def op9_exact_top_k(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding",
-                 F.pmod("vec_id", F.lit(QUERY_MODULUS)) == 0, TOP)
+                 F.pmod("vec_id", F.lit(QUERY_MODULUS)) == 0, TOP).select("query_id", "rank", "vec_id", "score")
