@@ -63,3 +63,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/vecforge-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written intermediate table that nothing reads any more (what came of it is written itself)."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
