@@ -12,16 +12,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecforge.operators import knn
+from vecforge.operators import knn, partials
 
 # Extra columns of the random matrix, and power iterations.
 OVERSAMPLE = 10
 POWERS = 4
-FAN_IN = 16  # triangles that one task of the reduction puts together
 
 
 @dataclass
@@ -35,56 +33,26 @@ class Axes:
     rows: int
 
 
-def _flat(matrix: np.ndarray) -> list[float]:
-    return np.ascontiguousarray(matrix, dtype=float).ravel().tolist()
+def _folded(frame: DataFrame, column: str, fold) -> DataFrame:
+    """:func:`vecforge.operators.partials.by_part` of ``fold(rows, held)`` over batches of rows as matrices."""
+    def of_batch(batch, held):
+        rows, _ = knn._valid_matrix(batch.column(0))
+        return fold(rows, held) if len(rows) else held
 
-
-def _matrices(frame: DataFrame, column: str, fn) -> DataFrame:
-    """``fn(rows)`` of each batch's rows as a matrix; a batch gives a ``(part, values)`` row for each thing returned."""
-    def run(batches):
-        total = None
-        for batch in batches:
-            rows, _ = knn._valid_matrix(batch.column(0))
-            if len(rows):
-                total = fn(rows, total)
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(list(range(len(total))), pa.int32()),
-                                              pa.array([_flat(np.atleast_2d(m)) for m in total], pa.list_(pa.float64()))], ["part", "values"])
-
-    return frame.select(F.col(column).alias("v")).mapInArrow(run, "part int, values array<double>")
-
-
-def _summed(found: DataFrame) -> dict[int, np.ndarray]:
-    """Element-wise sums of all tasks' matrices, by part; added up in stages, a few tasks' at a time."""
-    def add(table: pa.Table) -> pa.Table:
-        values = np.sum([np.asarray(v) for v in table.column("values").to_pylist()], axis=0)
-        return pa.table({"deal": pa.array([0], pa.int32()), "part": table.column("part").slice(0, 1),
-                         "values": pa.array([values.tolist()], pa.list_(pa.float64()))})
-
-    schema = "deal int, part int, values array<double>"
-    dealt = found.withColumn("deal", (F.spark_partition_id() % FAN_IN).cast("int"))
-    for keys in (("deal", "part"), ("deal", "part")):
-        dealt = dealt.select("deal", "part", "values").groupBy(*keys).applyInArrow(add, schema)
-    return {r["part"]: np.array(r["values"]) for r in dealt.collect()}  # one row a part
+    return partials.by_part(frame.select(F.col(column).alias("v")), of_batch)
 
 
 def _triangle(frame: DataFrame, column: str, basis: np.ndarray, mean: np.ndarray) -> np.ndarray:
     """R of a QR of ``(rows - mean) @ basis``: of each task's rows, then of the triangles, some at a time."""
     rank = basis.shape[1]
 
-    def fold(rows, total):
-        held = [] if total is None else [total[0]]
-        return [np.linalg.qr(np.concatenate([*held, (rows - mean) @ basis]), mode="r")]
+    def fold(rows, held):
+        return [np.linalg.qr(np.concatenate([*(held or []), (rows - mean) @ basis]), mode="r")]
 
-    def together(table: pa.Table) -> pa.Table:
-        stacked = np.concatenate([np.asarray(v).reshape(-1, rank) for v in table.column("values").to_pylist()])
-        return pa.table({"deal": pa.array([0], pa.int32()), "part": pa.array([0], pa.int32()),
-                         "values": pa.array([_flat(np.linalg.qr(stacked, mode="r"))], pa.list_(pa.float64()))})
+    def together(arrays):
+        return np.linalg.qr(np.concatenate([a.reshape(-1, rank) for a in arrays]), mode="r").ravel()
 
-    dealt = _matrices(frame, column, fold).withColumn("deal", (F.spark_partition_id() % FAN_IN).cast("int"))
-    for _ in range(2):
-        dealt = dealt.select("deal", "part", "values").groupBy("deal").applyInArrow(together, "deal int, part int, values array<double>")
-    return np.array(dealt.collect()[0]["values"]).reshape(-1, rank)  # one triangle
+    return partials.reduced(_folded(frame, column, fold), together)[0].reshape(-1, rank)
 
 
 def fit(frame: DataFrame, k: int, vec: str = "vec", seed: int = 0, oversample: int = OVERSAMPLE, powers: int = POWERS) -> Axes:
@@ -99,7 +67,7 @@ def fit(frame: DataFrame, k: int, vec: str = "vec", seed: int = 0, oversample: i
         own = [x.sum(axis=0), np.array([float(len(x))]), np.array([float((x * x).sum())])]
         return own if total is None else [a + b for a, b in zip(own, total)]
 
-    found = _summed(_matrices(rows, "v", moments))
+    found = partials.reduced(_folded(rows, "v", moments))
     if not found or found[1][0] < 2:
         raise ValueError("principal axes need two vectors at least")
     n = int(found[1][0])
@@ -121,7 +89,7 @@ def fit(frame: DataFrame, k: int, vec: str = "vec", seed: int = 0, oversample: i
             own = [(centred @ thin).T @ centred]
             return own if total is None else [own[0] + total[0]]
 
-        small = _summed(_matrices(rows, "v", back))[0].reshape(-1, width)  # rank x width
+        small = partials.reduced(_folded(rows, "v", back))[0].reshape(-1, width)  # rank x width
         if step < powers:
             basis = np.linalg.qr(small.T)[0]
     _, s, vt = np.linalg.svd(small, full_matrices=False)

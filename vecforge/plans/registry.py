@@ -28,5 +28,5 @@ def register(name: str, oracle: str | None = None):
 
 
 def load_all() -> None:
-    from vecforge.plans import (eval_queries, exact_search_queries, knn_queries, model_queries, source_queries,  # noqa: F401
-                                vector_queries)
+    from vecforge.plans import (eval_queries, exact_search_queries, forest_queries, knn_queries, model_queries,  # noqa: F401
+                                source_queries, vector_queries)
