@@ -202,7 +202,7 @@ def check_kernel(nq, nt, d, k, metric, ties, seed):
         order = np.lexsort((tids, keys))
         if ties:
             kth = keys[order[min(k, nt) - 1]]
-            expect = {int(tids[j]) for j in range(nt) if keys[j] <= kth}
+            expect = {int(tids[j]) for j in range(nt) if keys[j] <= kth < np.inf} | {int(tids[j]) for j in order[:k]}
         else:
             expect = {int(tids[j]) for j in order[:k]}
         got = {int(tids[j]) for j in c[r == i]}
@@ -327,7 +327,7 @@ def test_malformed_vectors_on_every_plan(spark, qs, ts, k, metric, ties):
         mine = sorted(((s is None, 0 if s is None else (s if metric == "euclidean" else -s), j)
                        for (q, j), s in scores.items() if q == i))
         for n, (null, key, j) in enumerate(mine):
-            rank = 1 + sum((a, round(b, 9)) < (null, round(key, 9)) for a, b, _ in mine) if ties else n + 1
+            rank = 1 + sum((a, round(b, 9)) < (null, round(key, 9)) for a, b, _ in mine) if ties and not null else n + 1
             if rank <= k:
                 want.add((i, j, null) if not ties else (i, j, null, rank))
     test, train = frame(spark, te), frame(spark, tr)
@@ -341,6 +341,15 @@ def test_malformed_vectors_on_every_plan(spark, qs, ts, k, metric, ties):
             assert {(a, c) for a, _, c in got} == {(a, c) for a, _, c in want} and len(got) == len(want)
 
 
+def test_malformed_rows_make_no_table_of_ties(spark):
+    """With ties kept and few good train rows, a test row still gets k rows, not all malformed ones."""
+    bad = [(i, [float("nan"), 1.0], 0) for i in range(100, 400)]
+    test, train = frame(spark, [(1, [0.0, 1.0], 0), (2, [None, 1.0], 0)]), frame(spark, [(5, [0.0, 1.0], 1), (6, [0.0, 1.0], 1), *bad])
+    for method, grid in (("broadcast", None), ("block", BlockGrid(1, 3)), ("native", BlockGrid(1, 2))):
+        got = sorted((r["test_id"], r["rank"], r["train_id"]) for r in knn.neighbors(test, train, 4, method=method, keep_ties=True, grid=grid).collect())
+        assert got == [(1, 1, 5), (1, 1, 6), (1, 3, 100), (1, 4, 101), (2, 1, 5), (2, 2, 6), (2, 3, 100), (2, 4, 101)], method
+
+
 def test_one_bad_element_keeps_all_predictions(spark):
     train, test = train_test(spark, SF_MID)
     bad = train.withColumn("vec", F.when(F.col("id") == 1, F.transform("vec", lambda x, i: F.when(i != 3, x)))

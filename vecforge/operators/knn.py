@@ -20,7 +20,7 @@ per-block candidates; with a single reference block the cell result is already f
 shuffle is skipped.
 
 Orderings (fixed semantics): Euclidean ascending distance; cosine descending similarity;
-null scores last; equal scores are broken by ``train_id``. A row without a vector (null) takes no
+null scores last, by ``train_id``; equal scores are broken by ``train_id``. A row without a vector (null) takes no
 part. A vector is malformed if its sum of squares is null, NaN or not below ``NORM_LIMIT`` (a null,
 NaN or infinite element, or one too large to square), and for cosine if it is zero: its score
 with any other is null. The rules hold on every plan, and one such row changes no other score.
@@ -271,7 +271,7 @@ def cell_top_k(Q: np.ndarray, ref: Reference, k: int, keep_ties: bool):
     from matrix products (approximate keys); every reference row that could be within the top k
     given the rounding bound of the pair is scored exactly with left-to-right folds, so no true
     neighbour is lost at the cut and there is no cap on candidates. Null scores rank after all
-    others, by train id; when ties are kept they are one tie.
+    others, one after the other by train id, also when ties are kept: a malformed row is no tie.
     """
     out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]]
 
@@ -289,8 +289,8 @@ def cell_top_k(Q: np.ndarray, ref: Reference, k: int, keep_ties: bool):
         for rows, pool, before in ((good, ref.bad_by_id, n_good), (bad, ref.by_id, 0)):
             if before >= k or not len(rows) or not len(pool):
                 continue
-            fill = pool if keep_ties else pool[:k - before]
-            rank = np.full(len(fill), before + 1) if keep_ties else before + 1 + np.arange(len(fill))
+            fill = pool[:k - before]  # null scores are no ties: never more than k rows
+            rank = before + 1 + np.arange(len(fill))
             add(np.repeat(rows, len(fill)), np.tile(fill, len(rows)), np.full(len(rows) * len(fill), np.nan),
                 np.tile(rank, len(rows)))
     r, c, score, rank = (np.concatenate(x) for x in out)
@@ -551,16 +551,19 @@ def _native_cells(q, r, grid, k, metric, keep_ties, carry):
     if keep_ties:
         joined = joined.withColumn("kth", F.get("ranked", k - 1)["key"])
         kth = F.col("kth")
-        top = F.when(F.size(ranked) <= k, ranked).otherwise(F.filter(ranked, lambda x: x["key"] <= kth))
+        name = score_name(metric)
+        # beyond the k-th only ties of its score; null scores are no ties
+        top = F.when(F.size(ranked) <= k, ranked).otherwise(
+            F.filter(ranked, lambda x, i: (i < k) | ((x["key"] <= kth) & x[name].isNotNull())))
     else:
         top = F.slice(ranked, 1, k)
     if keep_ties:
         # rank() inside the cell: 1 + number of kept keys strictly below this one
         exploded = (joined.select("qid", *carry, top.alias("top"))
                     .select("qid", *carry, F.transform("top", lambda x: x["key"]).alias("top_keys"),
-                            F.explode("top").alias("n")))
-        exploded = exploded.withColumn(
-            "pos", F.size(F.filter(F.col("top_keys"), lambda y: y < F.col("n.key"))))
+                            F.posexplode("top").alias("at", "n")))
+        below = F.size(F.filter(F.col("top_keys"), lambda y: y < F.col("n.key")))
+        exploded = exploded.withColumn("pos", F.when(F.col(f"n.{name}").isNull(), F.col("at")).otherwise(below))
     else:
         exploded = joined.select("qid", *carry, F.posexplode(top).alias("pos", "n"))
     score = F.col("n.distance") if metric == EUCLIDEAN else F.col("n.similarity")
@@ -597,6 +600,8 @@ def _grid_neighbors(q, r, grid, k, metric, method, keep_ties, carry):
         return cells  # every query met every reference row in exactly one cell: already final
     w = Window.partitionBy("test_id", "_query").orderBy(score_order(metric))
     if keep_ties:
+        null_order = F.when(F.col(score_name(metric)).isNull(), F.col("train_id"))  # null scores are numbered by id
+        w = Window.partitionBy("test_id", "_query").orderBy(score_order(metric), null_order.asc())
         ranked = cells.withColumn("rank", F.rank().over(w))
     else:
         w = Window.partitionBy("test_id", "_query").orderBy(score_order(metric), F.col("train_id").asc())
@@ -615,7 +620,7 @@ def neighbors(test: DataFrame, train: DataFrame, k: int, metric: str = EUCLIDEAN
     Output: ``test_id, *carry, train_id, train_label, distance|similarity, rank``.
     Train ids break score ties. ``keep_ties=False`` numbers neighbours 1..k with ``train_id``
     breaking equal scores; ``keep_ties=True`` keeps every row whose ``rank()`` (by score only) is
-    at most ``k``. ``k`` above the train size returns every train row. ``carry`` passes test
+    at most ``k``; null scores are no ties of each other, and are numbered by ``train_id``. ``k`` above the train size returns every train row. ``carry`` passes test
     columns (e.g. the true label) through, which saves a join later. Vectors are arrays or ML
     vectors; malformed ones and repeated test rows are defined in the module's docstring.
 
