@@ -16,7 +16,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,7 +94,7 @@ def _runs(texts: DataFrame, sought: list[Strings], seed: int, coded: bool) -> Da
         for batch in batches:
             keys, counts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for first, buf, offs in slices(batch.column(2), 1 << 20):
-                out, held = [[] for _ in names], 0
+                out = [[] for _ in names]
                 words = [None] * (len(offs) - 1)
                 if not coded and any(s.width == CODE for s in sought):  # words of all texts of the slice at once
                     starts, ends, bounds = split_words(buf, offs)
@@ -111,26 +110,33 @@ def _runs(texts: DataFrame, sought: list[Strings], seed: int, coded: bool) -> Da
                         own = words[i] if strings.width == CODE and not coded else strings.symbols(text, coded)
                         if len(own) < strings.length:
                             continue
-                        raw, w = own.tobytes(), strings.width
                         for lo, hi, anchor in pieces(own, strings, seed):
+                            base = int(lo[0])  # contents are hashed within the chunk
+                            part = own[base:int(hi[-1]) + strings.length]
+                            begin, end = lo - base, hi - base + strings.length
+                            content = np.stack([hash_spans(part, begin, end), hash_spans(mix(part.astype(U64)), begin, end)], axis=1)
                             m = len(lo)
-                            out[0].append(np.full(m, w, np.int32))
-                            out[1].append(anchor)
-                            out[2] += [xxhash.xxh3_128_digest(raw[w * a:w * (b + strings.length)]) for a, b in zip(lo.tolist(), hi.tolist())]
-                            out[3] += [key] * m
-                            out[4].append(np.full(m, counts[first + i], np.int64))
-                            out[5].append(lo)
-                            out[6].append(hi)
-                            held += m
-                if held:
+                            for held, x in zip(out, (np.full(m, strings.width, np.int32), anchor, content, np.full(m, first + i),
+                                                     np.full(m, counts[first + i], np.int64), lo, hi)):
+                                held.append(x)
+                if out[0]:
+                    width, anchor, content, row, n, lo, hi = (np.concatenate(x) for x in out)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(x)) for x in out[:2]] + [pa.array(x, pa.binary()) for x in out[2:4]]
-                        + [pa.array(np.concatenate(x)) for x in out[4:]], names)
+                        [pa.array(width), pa.array(anchor), _binary(content), batch.column(0).take(pa.array(row, pa.int64())),
+                         pa.array(n), pa.array(lo), pa.array(hi)], names)
         give_back()
 
     return texts.select("key", "n", "text").mapInArrow(run, RUN)
 
 
+def _binary(values: np.ndarray) -> pa.Array:
+    """Rows of a matrix of 64-bit numbers as binary values."""
+    size = values.shape[1] * 8
+    data = np.ascontiguousarray(values.astype("<u8"))
+    return pa.Array.from_buffers(pa.binary(), len(values), [
+        None, pa.py_buffer((np.arange(len(values) + 1) * size).astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+
+
 def _once(texts: DataFrame, least: int) -> DataFrame:
     """``(key, text)`` of texts of ``least`` bytes or more, each key once a task."""
 
