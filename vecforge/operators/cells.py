@@ -238,7 +238,8 @@ def join(test: DataFrame, train: DataFrame, k: int, metric: str = knn.EUCLIDEAN,
         left = visits.join(load, ["cell", "block"]).withColumn("slice", F.pmod(F.col("_query"), F.col("slices")).cast("int"))
         right = blocked.join(load, ["cell", "block"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
         held = 8 * dims * (int(asked["n"]) + n_rows)
-        parts = max(4 * spark.sparkContext.defaultParallelism, math.ceil(held / CELL_BYTES))
+        few = min(int(pieces.sum()), 4 * spark.sparkContext.defaultParallelism)  # no more tasks than cells
+        parts = max(few, math.ceil(held / CELL_BYTES))
         key = ["cell", "block", "slice"]
         return (left.select(*columns, *key).repartition(parts, *key).groupBy(*key)
                 .cogroup(right.select("tid", "tv", "label", *key).repartition(parts, *key).groupBy(*key))
