@@ -1,9 +1,9 @@
-import random
-
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from vecforge.llm import kmeans_tree
 from vecforge.llm.kmeans_tree import KMeansTree, best_of, lifted, lifted_queries, search
 from vecforge.llm.kmeans_tree_queries import op12_kmeans_tree_search
 
@@ -118,6 +118,27 @@ def test_query_recall(spark):
     assert hits >= 0.9 * 20 * len(got)
 
 
+@pytest.mark.parametrize("dense", [0, 8, 10 ** 9])
+def test_both_ways_through_a_cell(dense, monkeypatch):
+    """As one masked product, or leaf by leaf: the best of the visited leaves' rows, ties by id."""
+    monkeypatch.setattr(kmeans_tree, "DENSE", dense)
+    rng = np.random.default_rng(7)
+    x = rng.integers(-2, 3, (400, 5)).astype(float)
+    x[:30] = 1.0
+    leaf, ids = rng.integers(0, 12, 400), rng.permutation(400)
+    visited = [sorted(rng.choice(14, rng.integers(1, 9), replace=False).tolist()) for _ in range(40)]
+    left = pa.table({"id": pa.array(ids[:40], pa.int64()), "v": pa.array([r.tolist() for r in x[:40]], pa.list_(pa.float64())),
+                     "qkey": pa.array(range(40), pa.int64()), "leaves": pa.array(visited, pa.list_(pa.int64()))})
+    right = pa.table({"id": pa.array(ids, pa.int64()), "v": pa.array([r.tolist() for r in x], pa.list_(pa.float64())),
+                      "leaf": pa.array(leaf, pa.int64())})
+    got = {}
+    for r in kmeans_tree._cell(6)(left, right).to_pylist():
+        got.setdefault(r["qkey"], []).append((-r["score"], r["vec_id"]))
+    for i in range(40):
+        want = sorted((-fold(x[i], x[j]), int(ids[j])) for j in range(400) if leaf[j] in visited[i] and j != i)[:6]
+        assert got.get(i, []) == want
+
+
 def test_few_and_none(spark):
     assert run(spark, []) == [] and run(spark, [(0, [1.0, 2.0])]) == []
     rows = [(0, [1.0, 2.0]), (1, [1.0, 0.0]), (2, [0.0, -1.0])]

@@ -28,6 +28,7 @@ CALIBRATION = 256       # queries (about) that are answered exactly
 RECALL = 0.95           # of their neighbours that the visited leaves must hold
 GROUP_ROWS = 8192       # rows searched in one cell: small leaves together, a large one in blocks
 QUERY_BLOCK = 4096      # queries of one cell
+DENSE = 8               # a cell of which queries visit this part or more is searched as one product
 EPS = float(np.finfo(np.float64).eps)
 
 
@@ -144,8 +145,12 @@ def _fold(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return acc
 
 
-def best_of(queries: np.ndarray, query_ids, rows: np.ndarray, ids, k: int):
-    """``(query row, row, score)`` of the ``k`` largest inner products of other ids, exact to the last bit."""
+def best_of(queries: np.ndarray, query_ids, rows: np.ndarray, ids, k: int, allowed=None, floor=None):
+    """``(query row, row, score)`` of the ``k`` largest inner products of other ids, exact to the last bit.
+
+    ``allowed(first, last)`` says which rows these queries may meet; with ``floor`` a query's products below
+    its floor are left out.
+    """
     out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
     step = max(1, (1 << 22) // max(1, len(rows)))
     longest = np.sqrt(np.einsum("ij,ij->i", rows, rows).max(initial=0))
@@ -153,8 +158,12 @@ def best_of(queries: np.ndarray, query_ids, rows: np.ndarray, ids, k: int):
         q, own = queries[at:at + step], query_ids[at:at + step]
         near = q @ rows.T
         near[own[:, None] == ids[None, :]] = -np.inf
+        if allowed is not None:
+            near[~allowed(at, at + len(q))] = -np.inf
         slack = (4 * q.shape[1] + 16) * EPS * np.sqrt(np.einsum("ij,ij->i", q, q)) * longest
         least = np.partition(near, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(q), -np.inf)
+        if floor is not None:
+            least = np.maximum(least, floor[at:at + len(q)])
         r, c = np.nonzero((near >= (least - 2 * slack)[:, None]) & (near > -np.inf))
         score = _fold(q[r], rows[c])
         order = np.lexsort((ids[c], -score, r))
@@ -336,8 +345,25 @@ def _matrix_rows(column):
     return rows
 
 
+def _leaf_by_leaf(q, q_ids, x, ids, k: int, of_row, at, asker):
+    """:func:`best_of` of every leaf and its visitors; a query's k-th best so far is its floor in the leaves after."""
+    found = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
+    best = np.full((len(q), k), -np.inf)
+    by_leaf, by_asked = np.argsort(of_row, kind="stable"), np.argsort(at, kind="stable")
+    for one in np.unique(at):
+        rows = by_leaf[slice(*np.searchsorted(of_row[by_leaf], [one, one + 1]))]
+        askers = asker[by_asked[slice(*np.searchsorted(at[by_asked], [one, one + 1]))]]
+        r, c, score = best_of(q[askers], q_ids[askers], x[rows], ids[rows], k, floor=best[askers].min(axis=1))
+        for held, values in zip(found, (askers[r], rows[c], score)):
+            held.append(values)
+        wide = np.full((len(askers), k), -np.inf)
+        wide[r, np.arange(len(r)) - np.searchsorted(r, r)] = score
+        best[askers] = -np.sort(-np.concatenate([best[askers], wide], axis=1), axis=1)[:, :k]
+    return found
+
+
 def _cell(k: int):
-    """Each query meets the rows of the leaves that it visits, leaf by leaf."""
+    """Each query meets the rows of the leaves that it visits."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [[], [], [], []]
@@ -347,14 +373,17 @@ def _cell(k: int):
             ids, leaf = right.column("id").to_numpy(), right.column("leaf").to_numpy()
             wanted = left.column("leaves").combine_chunks()
             leaves, asker = wanted.flatten().to_numpy(), np.repeat(np.arange(len(q)), np.diff(wanted.offsets.to_numpy()))
-            found = [[], [], []]
-            by_leaf, by_asked = np.argsort(leaf, kind="stable"), np.argsort(leaves, kind="stable")
-            for one in np.unique(leaves):
-                rows = by_leaf[slice(*np.searchsorted(leaf[by_leaf], [one, one + 1]))]
-                askers = asker[by_asked[slice(*np.searchsorted(leaves[by_asked], [one, one + 1]))]]
-                r, c, score = best_of(q[askers], q_ids[askers], x[rows], ids[rows], k)
-                for held, values in zip(found, (askers[r], rows[c], score)):
-                    held.append(values)
+            numbers, of_row = np.unique(leaf, return_inverse=True)
+            at = np.minimum(np.searchsorted(numbers, leaves), len(numbers) - 1)
+            held_here = numbers[at] == leaves  # a leaf may have no row in this block
+            at, asker = at[held_here], asker[held_here]
+            sizes = np.bincount(of_row, minlength=len(numbers))
+            if sizes[at].sum() * DENSE >= len(q) * len(x):  # many leaves each: one product, and a mask
+                visited = np.zeros((len(q), len(numbers)), bool)
+                visited[asker, at] = True
+                found = [[part] for part in best_of(q, q_ids, x, ids, k, lambda i, j: visited[i:j][:, of_row])]
+            else:
+                found = _leaf_by_leaf(q, q_ids, x, ids, k, of_row, at, asker)
             r, c, score = (np.concatenate(f) for f in found)
             order = np.lexsort((ids[c], -score, r))
             r, c, score = r[order], c[order], score[order]
