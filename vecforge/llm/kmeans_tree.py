@@ -264,6 +264,8 @@ def search(vectors: DataFrame, id_col: str, vec_col: str, query_where: Column, k
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(of)], ["id", "v", "d", "is_query", "leaf"])
 
     placed = written(rows.mapInArrow(leaves, "id long, v array<double>, d int, is_query boolean, leaf long"), "rows")
+    slots = 4 * spark.sparkContext.defaultParallelism
+    group_rows = min(group_rows, max(512, math.ceil(sum(r["n"] for r in kinds.values()) / slots)))  # enough cells for all
     counts = {(r["d"], r["leaf"]): r["count"] for r in placed.groupBy("d", "leaf").count().collect()}  # one a leaf
     groups = 0
     for d, one in fitted.items():
@@ -318,7 +320,9 @@ def search(vectors: DataFrame, id_col: str, vec_col: str, query_where: Column, k
                         [batch.column(0).take(take), batch.column(1).take(take), batch.column(3).take(take), pa.array(group, pa.int64()),
                          pa.array(wanted, pa.list_(pa.int64()))], ["id", "v", "qkey", "group", "leaves"])
 
-    asked = placed.filter("is_query").select("id", "v", "d").distinct().withColumn("qkey", F.xxhash64("id", "v"))
+    parts = max(1, min(slots, math.ceil(sum(r["queries"] for r in kinds.values()) / 64)))  # few bytes, but much work
+    asked = (placed.filter("is_query").select("id", "v", "d").distinct().withColumn("qkey", F.xxhash64("id", "v"))
+             .repartition(parts, "qkey"))
     visits = written(asked.mapInArrow(opened, "id long, v array<double>, qkey long, group long, leaves array<long>"), "visits")
     load = written(visits.groupBy("group").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("long").alias("parts")), "load")
     cells = max(1, min(4 * spark.sparkContext.defaultParallelism, groups)) if groups < 4096 else max(4096, groups // 64)
