@@ -77,6 +77,31 @@ def test_cells_on_the_tables(spark):
     same(cells.join(test, train, 10, cell_rows=50).neighbors, knn.neighbors(test, train, 10, method="block"), *NAMES)
 
 
+@pytest.mark.parametrize("metric", [knn.EUCLIDEAN, knn.COSINE])
+@pytest.mark.parametrize("group_rows", [40, 200])
+def test_cells_in_groups_equal_the_grid(spark, metric, group_rows):
+    rows = awkward()
+    test, train = frame(spark, rows[::3] + rows[-8:]), frame(spark, rows)
+    got = cells.join(test, train, 4, metric, cell_rows=10, group_rows=group_rows).neighbors
+    same(got, knn.neighbors(test, train, 4, metric, method="block"), *(NAMES if metric == knn.EUCLIDEAN else COSINE_NAMES))
+
+
+def test_cells_of_unclustered_vectors_copy_no_more_than_groups(spark):
+    """Bounds rule nothing out: copies go by groups, not by the many small cells."""
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=30).tolist(), 0) for i in range(1500)]
+    test, train = frame(spark, rows[:300]), frame(spark, rows[300:])
+    found = cells.join(test, train, 5, cell_rows=10, group_rows=300)
+    report = found.report.first()
+    assert report["cells"] > 50 and report["query_copies"] <= 300 * (2 + 8)
+    same(found.neighbors, knn.neighbors(test, train, 5, method="block"), *NAMES)
+
+
+def test_groups_of_cells():
+    first, blocks = cells.grouped(np.array([3, 0, 4, 25, 2, 9, 1]), 10)
+    assert first.tolist() == [0, 0, 0, 1, 4, 5, 5] and blocks.tolist() == [1, 1, 1, 3, 1, 1, 1]
+
+
 def good_rows(rows):
     return [r for r in rows if r[1] is not None and float(np.sum(np.square(r[1]))) < 1e300]
 

@@ -9,6 +9,9 @@ larger. For the distance of a query q to any row of cell j the bounds are
 * ``|q - p_j| - high_j`` and ``low_j - |q - p_j|`` (triangle inequality), and
 * ``(|q - p_j|^2 - |q - p_i|^2) / (2 |p_i - p_j|)`` for q's nearest pivot i (a cell lies behind a plane).
 
+Cells are put together to groups of bounded size, and a query is copied once for each group of which it
+visits a cell, whatever their number; so where bounds rule nothing out the copies are those of the grid.
+
 Cosine neighbours are those of the vectors at unit length. Scores are computed by the kernel of
 :mod:`vecforge.operators.knn` on the vectors as given, so all rows equal those of the other plans.
 """
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecforge.operators import knn
-from vecforge.operators.blocks import plan_grid
+from vecforge.operators.blocks import MAX_BLOCK_BYTES, MIN_CELL_WORK, MIN_PARTITIONS_PER_SLOT, plan_grid
 from vecforge.session import scratch_path
 
 # Sizes of cells, and what of the train side reaches the driver (a sample for the pivots,
@@ -34,8 +37,9 @@ CELL_ROWS = 8192
 MAX_PIVOTS = 1024
 SAMPLE_PER_PIVOT = 24
 ROUNDS = 6
-CELL_BYTES = 64 << 20   # of cell input that one task reads, if it has several cells
-QUERY_ROWS = 65536      # queries of one cell; more are dealt out again
+QUERY_ROWS = 16384      # queries of one group that meet in a task; more are dealt out again
+PLACED_AT_ONCE = 1024   # rows whose distances to all pivots a task holds
+SEARCHED_AT_ONCE = 2048  # queries that are searched in the cells any of them visits
 
 
 def placed(rows: np.ndarray, metric: str) -> np.ndarray:
@@ -119,7 +123,8 @@ def assign(train: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 points = placed(_vectors(batch.column(1)), metric)
-                cell = distances(points, pivots).argmin(axis=1)
+                cell = np.concatenate([distances(points[i:i + PLACED_AT_ONCE], pivots).argmin(axis=1)
+                                       for i in range(0, len(points), PLACED_AT_ONCE)])
                 away = np.sqrt(((points - pivots[cell]) ** 2).sum(axis=1))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(away)], names)
 
@@ -137,6 +142,54 @@ def cells_of(assigned: DataFrame, pivots: np.ndarray, metric: str) -> Cells:
     return Cells(metric, pivots, rows, low, high)
 
 
+def grouped(rows: np.ndarray, group_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each cell's first group and how many it has: small cells share one, a cell above ``group_rows`` has its own."""
+    first, blocks = np.zeros(len(rows), np.int64), np.maximum(1, -(-rows // group_rows))
+    upto, held = 0, 0
+    for cell, (n, cut) in enumerate(zip(rows, blocks)):
+        if held and (cut > 1 or held + n > group_rows):
+            upto, held = upto + 1, 0
+        first[cell] = upto
+        if cut > 1:
+            upto += int(cut)
+        else:
+            held += int(n)
+    return first, blocks
+
+
+def _group_function(k: int, metric: str, hidden: list[str], members: dict[int, np.ndarray]):
+    """Top k of every query among the rows of a group, of which cells that no query near it visits are left out."""
+    name = knn.score_name(metric)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int32))]
+        if left.num_rows and right.num_rows:
+            own = members[left.column("grp")[0].as_py()]
+            packed = np.frombuffer(b"".join(left.column("visits").to_pylist()), np.uint8).reshape(left.num_rows, -1)
+            visits = np.unpackbits(packed, axis=1, count=len(own)).view(bool)
+            queries, vectors, tids = _vectors(left.column("qv")), _vectors(right.column("tv")), right.column("tid").to_numpy()
+            at = np.searchsorted(own, right.column("cell").to_numpy())
+            ref = None
+            order = np.argsort(visits.argmax(axis=1), kind="stable")  # neighbours visit the same cells
+            for begin in range(0, len(order), SEARCHED_AT_ONCE):
+                part = order[begin:begin + SEARCHED_AT_ONCE]
+                rows = np.flatnonzero(visits[part].any(axis=0)[at])
+                if not len(rows):
+                    continue
+                if ref is None or not np.array_equal(rows, held):
+                    held, ref = rows, knn.Reference(vectors[rows], tids[rows], metric)
+                r, c, score, rank = knn.cell_top_k(queries[part], ref, k, False)
+                out.append((part[r], rows[c], score, rank))
+        r, c, score, rank = (np.concatenate(x) for x in zip(*out))
+        r, c = pa.array(r, pa.int64()), pa.array(c, pa.int64())
+        columns = {"test_id": left.column("qid").take(r), **{x: left.column(x).take(r) for x in hidden},
+                   "train_id": right.column("tid").take(c), "train_label": right.column("label").take(c),
+                   name: pa.array(score, pa.float64(), mask=np.isnan(score)), "rank": pa.array(rank, pa.int32())}
+        return pa.table(columns)
+
+    return run
+
+
 @dataclass
 class CellJoin:
     """The neighbours, and the copies of rows that were made to find them (``report``)."""
@@ -146,12 +199,14 @@ class CellJoin:
 
 
 def join(test: DataFrame, train: DataFrame, k: int, metric: str = knn.EUCLIDEAN, *, test_id: str = "id", train_id: str = "id",
-         vec: str = "vec", label: str = "label", carry: list[str] | tuple[str, ...] = (), cell_rows: int = CELL_ROWS) -> CellJoin:
+         vec: str = "vec", label: str = "label", carry: list[str] | tuple[str, ...] = (), cell_rows: int = CELL_ROWS,
+         group_rows: int | None = None) -> CellJoin:
     """The ``k`` nearest train rows of every test row, as :func:`vecforge.operators.knn.neighbors` gives them.
 
     ``report`` has one row: ``queries, train_rows, cells, query_copies, train_copies, grid_copies``, the
-    last for a grid of blocks of ``cell_rows`` rows. A cell of many rows (equal vectors, say) is cut into
-    blocks by hash, and a cell that very many queries visit is dealt out again by query.
+    last for a grid of blocks of ``cell_rows`` rows. Cells are searched in groups of up to ``group_rows`` rows (a
+    block's bytes, unless given). A cell of more rows (equal vectors, say) is cut into groups by hash, and a
+    group that very many queries visit is dealt out again by query.
 
     Malformed train rows come last by id (null scores), so they count only for malformed test rows, and
     where fewer than ``k`` train rows are well formed; then the grid answers.
@@ -190,12 +245,21 @@ def join(test: DataFrame, train: DataFrame, k: int, metric: str = knn.EUCLIDEAN,
     cells = cells_of(assigned, pivots, metric)
     columns = ["qid", "qv", *hidden]
     schema = knn._output_schema(queries.withColumnRenamed("qid", "test_id"), r, metric, hidden)
-    pieces = np.maximum(1, -(-cells.rows // cell_rows))
-    blocks = F.broadcast(spark.createDataFrame([(i, int(n)) for i, n in enumerate(pieces)], "cell int, blocks int"))  # MAX_PIVOTS rows at most
-    blocked = assigned.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("tid", "tv"), F.col("blocks")).cast("int"))
+    group_rows = group_rows or max(1, MAX_BLOCK_BYTES // (8 * dims))
+    group, blocks = grouped(cells.rows, group_rows)
+    members: dict[int, list[int]] = {}
+    for c in np.flatnonzero(cells.rows > 0):
+        for g in range(int(group[c]), int(group[c] + blocks[c])):
+            members.setdefault(g, []).append(int(c))
+    members = {g: np.array(own) for g, own in members.items()}
+    places = F.broadcast(spark.createDataFrame([(i, int(g), int(n)) for i, (g, n) in enumerate(zip(group, blocks))],
+                                               "cell int, first int, blocks int"))  # MAX_PIVOTS rows at most
+    dealt = (assigned.join(places, "cell")
+             .withColumn("grp", (F.col("first") + F.pmod(F.xxhash64("tid", "tv"), F.col("blocks"))).cast("int"))
+             .select("tid", "tv", "label", "cell", "grp"))
 
     def visiting(batches, chosen):
-        """A row for each query and block of the cells ``chosen(points, thetas)`` says."""
+        """A row for each query and group that has any of the cells ``chosen(points, thetas)`` says, with a bit a cell."""
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -203,47 +267,54 @@ def join(test: DataFrame, train: DataFrame, k: int, metric: str = knn.EUCLIDEAN,
             points = placed(_vectors(batch.column(at("qv"))), metric)
             if points.shape[1] != dims:
                 raise ValueError("query and reference vectors differ in length")
-            for begin in range(0, len(points), 4096):
-                part = points[begin:begin + 4096]
-                theta = batch.column(at("theta")).to_numpy()[begin:begin + 4096] if at("theta") >= 0 else None
-                row, cell, block = [], [], []
-                for i, own in enumerate(chosen(part, theta)):
-                    for c in own:
-                        n = int(pieces[c])
-                        row += [begin + i] * n
-                        cell += [int(c)] * n
-                        block += range(n)
-                take = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(at(c)).take(take) for c in columns] + [pa.array(cell, pa.int32()), pa.array(block, pa.int32())],
-                                                 [*columns, "cell", "block"])
+            for begin in range(0, len(points), PLACED_AT_ONCE):
+                upto = begin + PLACED_AT_ONCE
+                theta = batch.column(at("theta")).to_numpy()[begin:upto] if at("theta") >= 0 else None
+                mask = chosen(points[begin:upto], theta)
+                for g, own in members.items():
+                    row = np.flatnonzero(mask[:, own].any(axis=1))
+                    if len(row):
+                        bits = np.packbits(mask[row][:, own], axis=1)
+                        take = pa.array(begin + row, pa.int64())
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(at(c)).take(take) for c in columns]
+                            + [pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(np.full(len(row), g, np.int32))],
+                            [*columns, "visits", "grp"])
 
     def nearest(points, _):
-        return cells.first(distances(points, pivots), k)
+        return first_of(distances(points, pivots))
+
+    def first_of(away):
+        mask = np.zeros(away.shape, bool)
+        for row, own in zip(mask, cells.first(away, k)):
+            row[own] = True
+        return mask
 
     def within(points, theta):
-        """Cells beyond the first that the k-th distance found does not rule out."""
+        """The cells that the k-th distance found does not rule out, if there are any beyond the first ones."""
         away = distances(points, pivots)
+        first = first_of(away)
         possible = cells.bounds(away) <= (theta * (1 + 1e-9) + 4 * cells.slack(points))[:, None]
-        for row, own in zip(possible, cells.first(away, k)):
-            row[own] = False
-        return [np.flatnonzero(row) for row in possible]
+        return (possible | first) & (possible & ~first).any(axis=1)[:, None]
 
-    visit_schema = T.StructType([*(queries.schema[c] for c in columns), T.StructField("cell", T.IntegerType()),
-                                 T.StructField("block", T.IntegerType())])
+    visit_schema = T.StructType([*(queries.schema[c] for c in columns), T.StructField("visits", T.BinaryType()),
+                                 T.StructField("grp", T.IntegerType())])
 
     def searched(visits):
-        """Top k of every query in each block it visits."""
-        load = visits.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("slices"))
-        load = written(load, "load")  # a row a block
-        left = visits.join(load, ["cell", "block"]).withColumn("slice", F.pmod(F.col("_query"), F.col("slices")).cast("int"))
-        right = blocked.join(load, ["cell", "block"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-        held = 8 * dims * (int(asked["n"]) + n_rows)
-        few = min(int(pieces.sum()), 4 * spark.sparkContext.defaultParallelism)  # no more tasks than cells
-        parts = max(few, math.ceil(held / CELL_BYTES))
-        key = ["cell", "block", "slice"]
-        return (left.select(*columns, *key).repartition(parts, *key).groupBy(*key)
-                .cogroup(right.select("tid", "tv", "label", *key).repartition(parts, *key).groupBy(*key))
-                .applyInArrow(knn._cell_function(k, metric, False, hidden), schema))
+        """Top k of every query in each group it visits."""
+        load = {r["grp"]: r["n"] for r in visits.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a group
+        work = sum(load.values()) * min(n_rows, group_rows) * dims
+        slots = spark.sparkContext.defaultParallelism
+        wanted = max(1, min(MIN_PARTITIONS_PER_SLOT * slots, math.ceil(work / MIN_CELL_WORK["block"])))
+        most = min(QUERY_ROWS, math.ceil(max(1, sum(load.values())) / wanted))
+        table = [(g, math.ceil(n / most)) for g, n in sorted(load.items())]
+        slices = F.broadcast(spark.createDataFrame(table, "grp int, slices int"))
+        left = visits.join(slices, "grp").withColumn("slice", F.pmod(F.col("_query"), F.col("slices")).cast("int"))
+        right = dealt.join(slices, "grp").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+        parts = max(1, sum(n for _, n in table))
+        return (left.select(*columns, "visits", "grp", "slice").repartition(parts, "grp", "slice").groupBy("grp", "slice")
+                .cogroup(right.select("tid", "tv", "label", "cell", "grp", "slice").repartition(parts, "grp", "slice").groupBy("grp", "slice"))
+                .applyInArrow(_group_function(k, metric, hidden, members), schema))
 
     start = written(queries.filter("good").select(*columns).mapInArrow(lambda b: visiting(b, nearest), visit_schema), "first")
     found = written(searched(start), "found")
@@ -255,8 +326,10 @@ def join(test: DataFrame, train: DataFrame, k: int, metric: str = knn.EUCLIDEAN,
     theta = top.groupBy(*keys).agg(F.max(chord).alias("theta")).withColumnRenamed("test_id", "qid")
     open_ = queries.filter("good").select(*columns).join(theta, ["qid", "_query"])
     more = written(open_.mapInArrow(lambda b: visiting(b, within), visit_schema), "more")
-    both = top.drop("rank").unionByName(searched(more).drop("rank"))
-    ranked = both.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
+    # a query with more cells is searched in its first ones again, so that its later rows stand for all
+    both = top.withColumn("stage", F.lit(0)).unionByName(searched(more).withColumn("stage", F.lit(1)))
+    last = both.withColumn("last", F.max("stage").over(Window.partitionBy(*keys))).filter("stage = last")
+    ranked = last.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
     out = knn._given_back(ranked.select(*[f.name for f in schema]))
     if asked["good"] < asked["n"]:  # malformed test rows: the least ids, of all train rows
         bad = q.filter(F.col("qv").isNotNull() & ~knn.usable(F.col("qv"), metric)).withColumnRenamed("qid", "id").withColumnRenamed("qv", "vec")
