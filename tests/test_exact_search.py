@@ -1,6 +1,7 @@
 """Pivot cells, filter and refine, the metric index, the kNN graph, heavy keys and the index of any frame."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -188,6 +189,27 @@ def test_self_graph(spark, block_rows):
     assert sorted(tuple(r) for r in got.collect()) == plain_graph(rows, 4)
 
 
+def test_pair_of_blocks_holds_only_the_best(monkeypatch):
+    """Many chunks of one side: the other side's neighbours are cut to k as they come."""
+    monkeypatch.setattr(knn, "_CHUNK_CELLS", 1 << 14)
+    rng = np.random.default_rng(3)
+    x, y = np.round(rng.normal(size=(2000, 4)), 1), np.round(rng.normal(size=(1500, 4)), 1)  # many ties
+    x_ids, y_ids = rng.permutation(2000), rng.permutation(1500)
+    tracemalloc.start()
+    forth, back = graph.pair_of_blocks(x, x_ids, y, y_ids, False, 5)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 6e6, most
+    for (r, c, s), of, to, ids in ((forth, x, y, y_ids), (back, y, x, x_ids)):
+        away = np.zeros((len(of), len(to)))
+        for j in range(4):
+            away = away + (of[:, j][:, None] - to[:, j][None, :]) ** 2
+        away = np.sqrt(away)
+        want = np.lexsort((np.broadcast_to(ids, away.shape), away), axis=1)[:, :5]
+        assert np.array_equal(r, np.repeat(np.arange(len(of)), 5)) and np.array_equal(c, want.ravel())
+        assert np.array_equal(s, np.take_along_axis(away, want, 1).ravel())
+
+
 def test_self_graph_ends(spark):
     assert graph.self_knn_graph(frame(spark, []).limit(0), 3).count() == 0
     assert graph.self_knn_graph(frame(spark, [(1, [1.0], 0)]), 3).count() == 0

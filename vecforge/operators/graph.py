@@ -41,9 +41,15 @@ def _best(keys: np.ndarray, row_slack: np.ndarray, col_slack: np.ndarray, k: int
     return np.nonzero((low <= limit[:, None]) & (keys < np.inf))
 
 
-def _one_way(keys, x, y, x_slack, y_slack, ids, k: int):
-    """``(row, column, distance)`` of each row's k nearest columns, exact; ties by id, then column number."""
-    r, c = _best(keys, x_slack, y_slack, k)
+def _one_way(keys, x, y, x_slack, y_slack, ids, k: int, limit: np.ndarray | None = None):
+    """``(row, column, distance)`` of each row's k nearest columns, exact; ties by id, then column number.
+
+    Columns whose key is above the row's ``limit``, less rounding, are left out.
+    """
+    if limit is not None and np.isfinite(limit).all():
+        r, c = np.nonzero(keys - 2 * y_slack <= limit[:, None])
+    else:
+        r, c = _best(keys, x_slack, y_slack, k)
     score = np.sqrt(knn._fold_sq_diff(x, y, r, c))
     order = np.lexsort((c, ids[c], score, r))
     r, c, score = r[order], c[order], score[order]
@@ -51,6 +57,19 @@ def _one_way(keys, x, y, x_slack, y_slack, ids, k: int):
     return r[keep], c[keep], score[keep]
 
 
+_NONE = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+
+def _nearest(held: tuple, parts: list[tuple], ids, k: int):
+    """Each row's k nearest of those held and those of ``parts``, by row."""
+    r, c, s = (np.concatenate(p) for p in zip(held, *parts))
+    order = np.lexsort((c, ids[c], s, r))
+    r, c, s = r[order], c[order], s[order]
+    first = np.flatnonzero(np.append(True, r[1:] != r[:-1])) if len(r) else np.zeros(0, np.int64)
+    place = np.arange(len(r)) - np.repeat(first, np.diff(np.append(first, len(r))))
+    return r[place < k], c[place < k], s[place < k]
+
+
 def pair_of_blocks(x, x_ids, y, y_ids, same: bool, k: int):
     """Neighbours ``(row, column, distance)`` of x's rows among y's, and of y's among x's, from one product.
 
@@ -60,7 +79,8 @@ def pair_of_blocks(x, x_ids, y, y_ids, same: bool, k: int):
     unit = (4.0 * x.shape[1] + 16.0) * np.finfo(float).eps
     a, b = np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", y, y)
     step = max(1, knn._CHUNK_CELLS // max(1, len(y)))
-    forth, back = [], []
+    forth, back, waiting, bound = [], _NONE, 0, np.full(len(y), np.inf)
+    parts: list[tuple] = []
     for begin in range(0, len(x), step):
         part = slice(begin, begin + step)
         product = x[part] @ y.T
@@ -70,16 +90,17 @@ def pair_of_blocks(x, x_ids, y, y_ids, same: bool, k: int):
         r, c, s = _one_way(keys, x[part], y, unit * a[part], unit * b, y_ids, k)
         forth.append((r + begin, c, s))
         if not same:
-            r, c, s = _one_way(0.5 * a[part][None, :] - product.T, y, x[part], unit * b, unit * a[part], x_ids[part], k)
-            back.append((r, c + begin, s))
-    joined = [tuple(np.concatenate(p) for p in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) for parts in (forth, back)]
-    if back:  # chunks of x each sent k: only the best k go on
-        r, c, s = joined[1]
-        order = np.lexsort((c, x_ids[c], s, r))
-        r, c, s = r[order], c[order], s[order]
-        keep = np.arange(len(r)) - np.searchsorted(r, np.arange(len(y)))[r] < k
-        joined[1] = (r[keep], c[keep], s[keep])
-    return joined
+            keys = 0.5 * a[part][None, :] - product.T
+            limit = 0.5 * bound ** 2 * (1 + unit) - 0.5 * b + 2 * unit * b
+            r, c, s = _one_way(keys, y, x[part], unit * b, unit * a[part], x_ids[part], k, limit)
+            parts.append((r, c + begin, s))
+            waiting += len(r)
+            if waiting >= len(y) * k // 2:  # chunks of x each send some: only the best k are held
+                back, parts, waiting = _nearest(back, parts, x_ids, k), [], 0
+                full = np.bincount(back[0], minlength=len(y)) >= k
+                bound[full] = back[2][np.searchsorted(back[0], np.flatnonzero(full), side="right") - 1]
+    forth = tuple(np.concatenate(p) for p in zip(*forth)) if forth else _NONE
+    return [forth, _nearest(back, parts, x_ids, k)]
 
 
 def self_knn_graph(frame: DataFrame, k: int, *, id_col: str = "id", vec: str = "vec", block_rows: int | None = None) -> DataFrame:
