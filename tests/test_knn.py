@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from hypothesis import Phase, given, settings
@@ -422,3 +424,30 @@ def test_planning_runs_no_upstream_shuffle(spark):
         assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 0
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+@pytest.mark.parametrize("ties", [False, True])
+def test_tiles_equal_the_whole(metric, ties):
+    """Train rows scored a tile at a time: the same neighbours and ranks, of malformed rows too."""
+    rng = np.random.default_rng(8)
+    T = np.round(rng.normal(size=(400, 3)))
+    T[[5, 80, 333]] = np.nan
+    tids = rng.permutation(400)
+    Q = np.concatenate([np.round(rng.normal(size=(60, 3))), [[np.nan] * 3, [0.0] * 3]])
+    for train, ids in ((T, tids), (T[[5, 80, 333, 1, 2]], tids[[5, 80, 333, 1, 2]])):
+        want = knn.cell_top_k(Q, knn.Reference(train, ids, metric), 4, ties)
+        got = knn.Tiles(train, ids, metric, tile_rows=max(2, len(train) // 9)).top_k(Q, 4, ties)
+        plain = [sorted(zip(r, ids[c], np.nan_to_num(s, nan=-9.0), rank)) for r, c, s, rank in (want, got)]
+        assert plain[0] == plain[1]
+
+
+def test_tiles_hold_one_tile(monkeypatch):
+    monkeypatch.setattr(knn, "_CHUNK_CELLS", 1 << 14)
+    T = np.random.default_rng(9).normal(size=(40000, 16))
+    tiles = knn.Tiles(T, np.arange(40000), "euclidean", tile_rows=1000)
+    tracemalloc.start()
+    tiles.top_k(T[:50], 5, False)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < T.nbytes / 2, most

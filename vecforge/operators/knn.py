@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from pyspark.ml.linalg import VectorUDT
 
 from vecforge.functions.vectors import cosine_similarity, euclidean, norm2, to_array
-from vecforge.operators.blocks import (MIN_CELL_WORK, BlockGrid, block_of, lay_out, plan_grid,
+from vecforge.operators.blocks import (MAX_BLOCK_BYTES, MIN_CELL_WORK, BlockGrid, block_of, lay_out, plan_grid,
                                        replicate)
 
 EUCLIDEAN = "euclidean"
@@ -228,7 +228,7 @@ def _ranked(r, key, tids, k: int, keep_ties: bool):
     row_start = np.maximum.accumulate(np.where(new_row, idx, 0)) if len(r) else idx
     if keep_ties:
         new_key = new_row.copy()
-        new_key[1:] |= key[1:] != key[:-1]
+        new_key[1:] |= (key[1:] != key[:-1]) | np.isinf(key[1:])  # null scores are no ties
         rank = (np.maximum.accumulate(np.where(new_key, idx, 0)) if len(r) else idx) - row_start + 1
     else:
         rank = idx - row_start + 1
@@ -298,6 +298,33 @@ def cell_top_k(Q: np.ndarray, ref: Reference, k: int, keep_ties: bool):
     return r[order], c[order], score[order], rank[order].astype(np.int32)
 
 
+class Tiles:
+    """Train rows of any number, of which one tile at a time is prepared and scored."""
+
+    def __init__(self, Tm: np.ndarray, tids: np.ndarray, metric: str, tile_rows: int | None = None):
+        self.Tm, self.tids, self.metric = Tm, tids, metric
+        self.step = tile_rows or max(1, MAX_BLOCK_BYTES // (8 * max(1, Tm.shape[1])))
+        self._only = None
+
+    def top_k(self, Q: np.ndarray, k: int, keep_ties: bool):
+        """:func:`cell_top_k` against all rows: what the tiles give, merged tile by tile."""
+        if len(self.tids) <= self.step:
+            if self._only is None:
+                self._only = Reference(self.Tm, self.tids, self.metric)  # once a task, not once a batch
+            return cell_top_k(Q, self._only, k, keep_ties)
+        held = None
+        for begin in range(0, len(self.tids), self.step):
+            tile = slice(begin, begin + self.step)
+            r, c, score, _ = cell_top_k(Q, Reference(self.Tm[tile], self.tids[tile], self.metric), k, keep_ties)
+            c = c + begin
+            if held is not None:
+                r, c, score = (np.concatenate(x) for x in zip(held, (r, c, score)))
+            key = np.where(np.isnan(score), np.inf, score if self.metric == EUCLIDEAN else -score)
+            order, rank = _ranked(r, key, self.tids[c], k, keep_ties)
+            held = r[order], c[order], score[order]
+        return *held, rank.astype(np.int32)
+
+
 def _cell_function(k: int, metric: str, keep_ties: bool, carry: list[str]):
     name = score_name(metric)
 
@@ -476,7 +503,7 @@ def _broadcast_rows(q, r, k, metric, keep_ties, carry, vote: bool = False,
 
     def run(batches):
         T_all, tids, labs = shipped.value
-        ref = Reference(T_all, tids, metric)  # once a task, not once a batch
+        tiles = Tiles(T_all, tids, metric)
         lab_np = labs.to_numpy(zero_copy_only=False) if vote else None
         for batch in batches:
             if batch.num_rows == 0:
@@ -486,7 +513,7 @@ def _broadcast_rows(q, r, k, metric, keep_ties, carry, vote: bool = False,
                 Q, qrows = _valid_matrix(batch.column(col("qv")))
                 if len(qrows) and Q.shape[1] != T_all.shape[1]:
                     raise ValueError("query and reference vectors differ in length")
-                rr, cc, score, rank = cell_top_k(Q, ref, k, keep_ties)
+                rr, cc, score, rank = tiles.top_k(Q, k, keep_ties)
                 rr = qrows[rr]
             else:
                 rr = cc = np.zeros(0, np.int64)
