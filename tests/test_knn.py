@@ -451,3 +451,17 @@ def test_tiles_hold_one_tile(monkeypatch):
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < T.nbytes / 2, most
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_native_scores_few_pairs(spark, metric):
+    """A first look rules most pairs out before any is scored by higher-order functions; wide vectors are compared in part."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=140).tolist(), i % 3) for i in range(900)] + [(1000, [float("nan")] * 140, 1), (1001, [0.0] * 140, 2)]
+    test, train = frame(spark, rows[::30]), frame(spark, rows)
+    names = ("test_id", "train_id", "train_label", knn.score_name(metric), "rank")
+    got, want = (sorted(tuple(r[n] for n in names) for r in knn.neighbors(test, train, 3, metric, method=m, grid=BlockGrid(2, 3)).collect())
+                 for m in ("native", "block"))
+    assert got == want
+    plan = knn.neighbors(test, train, 3, metric, method="native", grid=BlockGrid(2, 3))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_t_half" in plan.split("Join Inner")[1].split("\n")[0]

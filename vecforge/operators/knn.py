@@ -12,8 +12,9 @@ Three plans for the same operator, all exact, none with a cross join or an all-p
   chunk, keeps the candidates within the float-error slack of each pair, recomputes their
   distances exactly and cuts to ``k`` before the next chunk.
   Only ``n_query * B_ref * k`` rows leave the cells.
-* ``method="native"``: reference blocks are folded into bounded ``array<struct>`` values and
-  each query row scores its block with built-in higher-order functions (JVM only).
+* ``method="native"``: a first look at some reference rows bounds each query's k-th distance, compiled
+  column arithmetic drops the pairs of a block beyond it, and built-in higher-order functions score and rank
+  the others (JVM only).
 
 A global ``row_number`` (or ``rank`` when ties are kept) over ``(score, train_id)`` merges the
 per-block candidates; with a single reference block the cell result is already final and that
@@ -41,9 +42,9 @@ from pyspark.sql import types as T
 
 from pyspark.ml.linalg import VectorUDT
 
-from vecforge.functions.vectors import cosine_similarity, euclidean, norm2, to_array
-from vecforge.operators.blocks import (MAX_BLOCK_BYTES, MIN_CELL_WORK, BlockGrid, block_of, lay_out, plan_grid,
-                                       replicate)
+from vecforge.functions.vectors import cosine_similarity, euclidean, norm2, squared_euclidean, to_array
+from vecforge.operators.blocks import (MAX_BLOCK_BYTES, MAX_NATIVE_ROWS, MIN_CELL_WORK, MIN_PARTITIONS_PER_SLOT, BlockGrid,
+                                       block_of, lay_out, plan_grid, replicate)
 
 EUCLIDEAN = "euclidean"
 COSINE = "cosine"
@@ -55,6 +56,8 @@ _EPS = float(np.finfo(np.float64).eps)
 BROADCAST_BYTES = 256 << 20
 SMALL_TEST_BYTES = 64 << 20  # a test side below this is spread over the task slots before scoring
 NORM_LIMIT = 1e300  # sums of squares from here on could overflow in a distance
+LEAST_LOOK = 64      # train rows of the native plan's first look; more with more train rows
+UNROLLED = 128       # elements of a vector that the native plan compares as columns
 _CHUNK_CELLS = 1 << 21  # query rows * reference rows scored at once inside a cell
 
 
@@ -546,34 +549,66 @@ def _broadcast_rows(q, r, k, metric, keep_ties, carry, vote: bool = False,
     return q.mapInArrow(run, schema), vote
 
 
+def _looked(q, r, k, metric, rows):
+    """``q`` with ``limit``: a bound of the squared distance of its k-th neighbour, from a first look at some train rows.
+
+    Null (no bound) for a malformed row, and where the look found fewer than ``k`` usable rows. Cosine
+    distances are those at unit length.
+    """
+    look = r.filter(usable(F.col("tv"), metric)).limit(rows).agg(F.collect_list("tv").alias("look"))  # a few rows, shipped
+    q = q.repartition(MIN_PARTITIONS_PER_SLOT * _parallelism(q), "qid").crossJoin(F.broadcast(look))
+    if metric == EUCLIDEAN:
+        squares = F.transform("look", lambda t: squared_euclidean(F.col("qv"), t))
+    else:
+        squares = F.transform("look", lambda t: 2 - 2 * cosine_similarity(F.col("qv"), t) + 1e-9)
+    kth = F.get(F.sort_array(F.filter(squares, lambda x: x.isNotNull())), k - 1)
+    return q.withColumn("limit", F.when(F.col("q_ok"), kth * (1 + 1e-9))).drop("look")
+
+
 def _native_cells(q, r, grid, k, metric, keep_ties, carry):
-    q = q.filter(F.col("qv").isNotNull())
+    """Pairs that a first look rules out are dropped by column arithmetic, which Spark compiles; higher-order
+    functions, which it does not, score the others and rank them block by block."""
+    q = q.filter(F.col("qv").isNotNull()).withColumn("q_ok", usable(F.col("qv"), metric))
     r = r.filter(F.col("tv").isNotNull())
+    first = r.select(F.size("tv").alias("d")).first()
+    width = min(UNROLLED, int(first["d"])) if first else 0
+    q = _looked(q, r, k, metric, min(MAX_NATIVE_ROWS, max(LEAST_LOOK, math.isqrt(k * grid.ref_blocks * MAX_NATIVE_ROWS))))
+    r = r.select("tid", "tv", F.col("label").alias("_label"), usable(F.col("tv"), metric).alias("t_ok"))
+    qx = q.withColumn("qb", block_of(F.col("qid"), grid.query_blocks)).withColumn("rb", replicate(grid.ref_blocks))
+    rx = (r.withColumn("rb", block_of(F.col("tid"), grid.ref_blocks, F.col("tv")))
+          .withColumn("qb", replicate(grid.query_blocks)))
     parts = grid.partitions(_parallelism(q))
-    blocks = (r.withColumn("rb", block_of(F.col("tid"), grid.ref_blocks, F.col("tv")))
-              .groupBy("rb")
-              .agg(F.collect_list(F.struct(F.col("tid").alias("id"), F.col("label").alias("label"),
-                                           F.col("tv").alias("v"), usable(F.col("tv"), metric).alias("ok")))
-                   .alias("blk"))
-              .withColumn("qb", replicate(grid.query_blocks))
-              .repartition(parts, "qb", "rb"))
-    qx = (q.withColumn("qb", block_of(F.col("qid"), grid.query_blocks))
-          .withColumn("rb", replicate(grid.ref_blocks))
-          .repartition(parts, "qb", "rb"))
-    joined = qx.withColumn("q_ok", usable(F.col("qv"), metric)).join(blocks, ["qb", "rb"])
+
+    def in_columns(frame, vec, name, half):
+        """A column for each of the first elements, at unit length for cosine, and ``half`` of their squares."""
+        by = F.lit(1.0) if metric == EUCLIDEAN else F.sqrt(norm2(F.col(vec)))
+        frame = frame.repartition(parts, "qb", "rb").withColumn("_by", by)
+        squares = norm2(F.slice(vec, 1, max(1, width))) / F.greatest(F.col("_by") * F.col("_by"), F.lit(1e-300))
+        return frame.select(*[c for c in frame.columns if c != "_by"], half(squares * (1 - 2 * _slack(width))).alias(f"{name}_half"),
+                            F.size(vec).alias(f"{name}_size"),
+                            *[F.coalesce(F.try_divide(F.get(vec, j), F.col("_by")), F.lit(0.0)).alias(f"{name}{j}") for j in range(width)])
+
+    # |q - t|^2 = |q|^2 + |t|^2 - 2 q.t over the first elements is never above the distance; each is read once a pair
+    left = in_columns(qx, "qv", "_q", lambda squares: F.coalesce((F.col("limit") - squares) / 2, F.lit(float("inf"))))
+    right = in_columns(rx, "tv", "_t", lambda squares: F.when(F.col("t_ok"), squares / 2).otherwise(F.lit(float("-inf"))))
+    right = right.withColumnsRenamed({"qb": "t_qb", "rb": "t_rb"})
+    product = [F.col(f"_q{j}") * F.col(f"_t{j}") for j in range(width)] or [F.lit(0.0)]
+    while len(product) > 1:  # a flat sum of many terms would nest too deep
+        product = [sum(product[i + 1:i + 8], product[i]) for i in range(0, len(product), 8)]
+    near = (product[0] >= F.col("_t_half") - F.col("_q_half")) | (F.col("_q_size") != F.col("_t_size"))
+    pairs = left.join(right.hint("merge"), (F.col("qb") == F.col("t_qb")) & (F.col("rb") == F.col("t_rb")) & near)
     if metric == EUCLIDEAN:
-        def scored(t):
-            dist = F.when(F.col("q_ok") & t["ok"], euclidean(F.col("qv"), t["v"]))
-            return F.struct(F.coalesce(dist, F.lit(float("inf"))).alias("key"), t["id"].alias("train_id"),
-                            t["label"].alias("train_label"), dist.alias("distance"))
+        score = F.when(F.col("q_ok") & F.col("t_ok"), euclidean(F.col("qv"), F.col("tv")))
+        key = F.coalesce("_score", F.lit(float("inf")))
     else:
-        def scored(t):
-            sim = F.when(F.col("q_ok") & t["ok"], cosine_similarity(F.col("qv"), t["v"]))
-            # null similarity sorts after every real one (-1 <= -sim <= 1 < 2)
-            return F.struct(F.coalesce(-sim, F.lit(2.0)).alias("key"), t["id"].alias("train_id"),
-                            t["label"].alias("train_label"), sim.alias("similarity"))
+        score = F.when(F.col("q_ok") & F.col("t_ok"), cosine_similarity(F.col("qv"), F.col("tv")))
+        key = F.coalesce(-F.col("_score"), F.lit(2.0))  # a null similarity sorts after every real one (-1 <= -sim <= 1 < 2)
+    entry = F.struct(key.alias("key"), F.col("tid").alias("train_id"), F.col("_label").alias("train_label"),
+                     F.col("_score").alias(score_name(metric)))
+    joined = (pairs.select("qid", *carry, "qb", "rb", "tid", "_label", score.alias("_score"))
+              .groupBy("qid", *carry, "qb", "rb").agg(F.collect_list(entry).alias("scored")))
     # natural struct order: key, then train_id; a column of its own, so that it is sorted once a row
-    joined = joined.withColumn("ranked", F.sort_array(F.transform("blk", scored)))
+    joined = joined.withColumn("ranked", F.sort_array("scored"))
     ranked = F.col("ranked")
     if keep_ties:
         joined = joined.withColumn("kth", F.get("ranked", k - 1)["key"])
