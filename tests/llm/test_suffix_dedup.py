@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from brute import WORD, awkward, covered, frame, prose
-from vecforge.llm import suffix_dedup
+from vecforge.llm import suffix_dedup, suffixes
 from vecforge.llm.suffix_dedup import removal_report, remove_repeats
 from vecforge.llm.suffixes import repeated_starts
 
@@ -120,3 +120,42 @@ def test_text_stays_valid(spark):
 def test_empty_table(spark):
     assert removal_report(frame(spark, [])).count() == 0
     assert remove_repeats(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("width", [1, 8])
+def test_only_what_may_repeat_is_sorted(monkeypatch, width):
+    """Texts that share a gram but no string: none of them enters the suffix array, whose time they took before."""
+    rng, kind = np.random.default_rng(5), "<u1" if width == 1 else "<u8"
+    shared = rng.integers(97, 123, 64).astype(kind)
+    texts = [np.concatenate([rng.integers(97, 123, 200), shared, rng.integers(97, 123, 200)]).astype(kind) for _ in range(50)]
+    texts += [texts[7][20:], texts[9][:-30]]
+    sorted_, whole = [], suffixes.suffix_array
+    monkeypatch.setattr(suffixes, "suffix_array", lambda symbols, depth: sorted_.append(len(symbols)) or whole(symbols, depth))
+    got = [x.tolist() for x in suffixes.repeated_starts([t.tobytes() for t in texts], 300, width)]
+    want = {7: (20, 165), 50: (0, 145), 9: (0, 135), 51: (0, 135)}
+    assert got == [list(range(*want.get(i, (0, 0)))) for i in range(52)]
+    assert sum(sorted_) == sum(hi - lo + 300 for lo, hi in want.values())  # a separator each
+
+
+@pytest.mark.parametrize("n", [1, 2, 1000, (1 << 21) - 1, 1 << 21])  # from 2 ** 21 on, places no longer fit in the keys
+def test_suffixes_are_in_order(n):
+    symbols = np.random.default_rng(n).integers(1, 4, n)
+    symbols[n // 2:n // 2 + n // 4] = symbols[:n // 4]
+    order = suffixes.suffix_array(symbols, 20)
+    key = np.zeros(n, np.int64)
+    padded = np.append(symbols, np.zeros(20, np.int64))
+    for j in range(20):
+        key = key * 4 + padded[j:n + j]
+    assert (np.bincount(order, minlength=n) == 1).all() and (np.diff(key[order]) >= 0).all()
+
+
+def test_pieces_of_texts_end_to_end():
+    """Texts worked on together have the pieces that each has alone: none crosses into the next text."""
+    raw = [(t or "").encode() for _, t in awkward()] + [b"", b"x" * 99, b"x" * 100, b""]
+    bounds = np.cumsum([0, *map(len, raw)])
+    strings = suffix_dedup.Strings(1, 100)
+    alone = [(a + lo, a + hi, x) for a, t in zip(bounds.tolist(), raw)
+             for one in suffix_dedup.pieces(np.frombuffer(t, np.uint8), np.array([0, len(t)]), strings, 0) for lo, hi, x in zip(*(c.tolist() for c in one))]
+    together = [row for some in suffix_dedup.pieces(np.frombuffer(b"".join(raw), np.uint8), bounds, strings, 0)
+                for row in zip(*(c.tolist() for c in some))]
+    assert alone == together and alone

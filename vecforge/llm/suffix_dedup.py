@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecforge.llm.process import give_back
-from vecforge.llm.suffixes import repeated_starts
-from vecforge.llm.words import U64, hash_spans, mix, slices, split_words
+from vecforge.llm.suffixes import gram_hashes, repeated_starts
+from vecforge.llm.words import U64, hash_spans, mix, ragged, slices, split_words
 from vecforge.session import scratch_path
 
 CHUNK = 1 << 20              # starts worked on at once
@@ -30,7 +30,9 @@ BATCH_BYTES = 1 << 20        # piece bytes in one suffix array, unless one ancho
 HEAVY_BYTES = 16 << 20       # an anchor with more is cut again by other anchors
 MAX_CUTS = 6
 CODE = 8                     # bytes of a word, where words are the symbols
-GRAM_SEEDS = mix(np.arange(1, 65, dtype=U64)) | U64(1)
+RUN_BYTES = 1 << 17          # text bytes whose pieces are found at once: arrays of them fit a core's cache
+RUN_ROWS = 1 << 14           # pieces sent on at once
+SCRAMBLED = mix(np.arange(256, dtype=U64))
 
 
 @dataclass(frozen=True)
@@ -46,37 +48,39 @@ class Strings:
 
     def symbols(self, raw: np.ndarray, coded: bool) -> np.ndarray:
         """Symbols of a text's bytes, or of a piece that holds them as they are."""
+        return self.of_texts(raw, np.array([0, len(raw)], np.int64), coded)[0]
+
+    def of_texts(self, raw: np.ndarray, offs: np.ndarray, coded: bool) -> tuple[np.ndarray, np.ndarray]:
+        """``(symbols, bounds)`` of texts end to end: text ``i`` has those from ``bounds[i]`` to ``bounds[i + 1]``."""
         if self.width == 1:
-            return raw
+            return raw, offs
         if coded:
-            return np.frombuffer(raw.tobytes(), "<u8")
-        starts, ends, _ = split_words(raw, np.array([0, len(raw)], np.int64))
-        return hash_spans(raw, starts, ends)
+            return np.frombuffer(raw.tobytes(), "<u8"), offs // CODE
+        starts, ends, bounds = split_words(raw, offs)
+        return hash_spans(raw, starts, ends), bounds
+
 
+def pieces(symbols: np.ndarray, bounds: np.ndarray, strings: Strings, seed: int):
+    """``(first start, last start, anchor)`` of every run of starts with one anchor, in order, of texts end to end.
 
-def pieces(text: np.ndarray, strings: Strings, seed: int):
-    """``(first start, last start, anchor)`` of every run of starts with one anchor, in order."""
+    Text ``i`` is from ``bounds[i]`` to ``bounds[i + 1]``; no string goes beyond its text.
+    """
     gram, length = strings.gram, strings.length
-    total = len(text) - length + 1
-    for begin in range(0, total, CHUNK):
-        part = text[begin:min(begin + CHUNK, total) + length - 1]
-        h = part.astype(U64) + U64(1)
-        width = 1
-        while width < gram:
-            h = h[:-width] * GRAM_SEEDS[8 * seed + width.bit_length() - 1] + h[width:]
-            width *= 2
-        h = mix(h ^ GRAM_SEEDS[seed])
-        packed = (h >> PLACE_BITS << PLACE_BITS) | np.arange(len(h), dtype=U64)
-        least, width, span = packed, 1, length - gram + 1
+    starts = ragged(bounds[:-1], np.maximum(np.diff(bounds) - length + 1, 0))
+    for begin in range(0, len(symbols) - length + 1, CHUNK):
+        inside = starts[np.searchsorted(starts, begin):np.searchsorted(starts, begin + CHUNK)]
+        if not len(inside):
+            continue
+        h = gram_hashes(symbols[begin:begin + CHUNK + length - 1], gram, seed)
+        least, width, span = (h >> PLACE_BITS << PLACE_BITS) | np.arange(len(h), dtype=U64), 1, length - gram + 1
         while 2 * width <= span:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
         if width < span:
             least = np.minimum(least[:-(span - width)], least[span - width:])
-        place = (least & ((U64(1) << PLACE_BITS) - U64(1))).astype(np.int64)
+        place = (least[inside - begin] & ((U64(1) << PLACE_BITS) - U64(1))).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        last = np.append(first[1:], len(place)) - 1
-        yield begin + first, begin + last, h[place[first]].view(np.int64)
+        yield inside[first], inside[np.append(first[1:], len(place)) - 1], h[place[first]].view(np.int64)
 
 
 RUN = "width int, anchor long, content binary, key binary, n long, lo long, hi long"
@@ -89,41 +93,37 @@ def _runs(texts: DataFrame, sought: list[Strings], seed: int, coded: bool) -> Da
     """
     names = [x.split()[0] for x in RUN.split(",")]
 
+    def rows(batch, held):
+        width, anchor, content, row, lo, hi = (np.concatenate(x) for x in zip(*held))
+        at = pa.array(row, pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(width), pa.array(anchor), _binary(content), batch.column(0).take(at),
+                                           batch.column(1).take(at), pa.array(lo), pa.array(hi)], names)
+
     def run(batches):
         told: dict[bytes, int] = {}
         for batch in batches:
-            keys, counts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, buf, offs in slices(batch.column(2), 1 << 20):
-                out = [[] for _ in names]
-                words = [None] * (len(offs) - 1)
-                if not coded and any(s.width == CODE for s in sought):  # words of all texts of the slice at once
-                    starts, ends, bounds = split_words(buf, offs)
-                    hashes = hash_spans(buf, starts, ends)
-                    words = [hashes[i:j] for i, j in zip(bounds[:-1], bounds[1:])]
-                for i in range(len(offs) - 1):
-                    key = keys[first + i]
-                    told[key] = told.get(key, 0) + 1
-                    if told[key] > 2:
-                        continue
-                    text = buf[offs[i]:offs[i + 1]]
-                    for strings in sought:
-                        own = words[i] if strings.width == CODE and not coded else strings.symbols(text, coded)
-                        if len(own) < strings.length:
-                            continue
-                        for lo, hi, anchor in pieces(own, strings, seed):
-                            base = int(lo[0])  # contents are hashed within the chunk
-                            part = own[base:int(hi[-1]) + strings.length]
-                            begin, end = lo - base, hi - base + strings.length
-                            content = np.stack([hash_spans(part, begin, end), hash_spans(mix(part.astype(U64)), begin, end)], axis=1)
-                            m = len(lo)
-                            for held, x in zip(out, (np.full(m, strings.width, np.int32), anchor, content, np.full(m, first + i),
-                                                     np.full(m, counts[first + i], np.int64), lo, hi)):
-                                held.append(x)
-                if out[0]:
-                    width, anchor, content, row, n, lo, hi = (np.concatenate(x) for x in out)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(width), pa.array(anchor), _binary(content), batch.column(0).take(pa.array(row, pa.int64())),
-                         pa.array(n), pa.array(lo), pa.array(hi)], names)
+            fresh = []
+            for key in batch.column(0).to_pylist():
+                told[key] = told.get(key, 0) + 1
+                fresh.append(told[key] <= 2)
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
+            held = []
+            for first, buf, offs in slices(batch.column(2), RUN_BYTES):  # many texts at once
+                for strings in sought:
+                    symbols, bounds = strings.of_texts(buf, offs, coded)
+                    for lo, hi, anchor in pieces(symbols, bounds, strings, seed):
+                        base = int(lo[0])  # contents are hashed within the chunk
+                        part = symbols[base:int(hi[-1]) + strings.length]
+                        begin, end = lo - base, hi - base + strings.length
+                        other = SCRAMBLED[part] if strings.width == 1 else mix(part)
+                        content = np.stack([hash_spans(part, begin, end), hash_spans(other, begin, end)], axis=1)
+                        row = np.searchsorted(bounds, lo, "right") - 1
+                        held.append((np.full(len(lo), strings.width, np.int32), anchor, content, first + row, lo - bounds[row], hi - bounds[row]))
+                if sum(len(x[0]) for x in held) > RUN_ROWS:
+                    yield rows(batch, held)
+                    held = []
+            if held:
+                yield rows(batch, held)
         give_back()
 
     return texts.select("key", "n", "text").mapInArrow(run, RUN)
