@@ -465,3 +465,12 @@ def test_native_scores_few_pairs(spark, metric):
     assert got == want
     plan = knn.neighbors(test, train, 3, metric, method="native", grid=BlockGrid(2, 3))._jdf.queryExecution().optimizedPlan().toString()
     assert "_t_half" in plan.split("Join Inner")[1].split("\n")[0]
+
+
+def test_native_join_is_compiled(spark):
+    """Spark compiles no join of over 100 columns: 64 elements on either side take 32 each."""
+    rng = np.random.default_rng(5)
+    train = frame(spark, [(i, rng.normal(size=64).tolist(), i % 3) for i in range(200)])
+    line = knn.neighbors(train, train, 3, method="native", grid=BlockGrid(2, 2))._jdf.queryExecution().optimizedPlan().toString()
+    columns = {w.split("#")[0] for w in line.split("Join Inner")[1].split("\n")[0].replace("(", " ").split() if w[:2] in ("_q", "_t")}
+    assert 64 <= len(columns) <= 80, columns

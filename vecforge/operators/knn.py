@@ -57,7 +57,10 @@ BROADCAST_BYTES = 256 << 20
 SMALL_TEST_BYTES = 64 << 20  # a test side below this is spread over the task slots before scoring
 NORM_LIMIT = 1e300  # sums of squares from here on could overflow in a distance
 LEAST_LOOK = 64      # train rows of the native plan's first look; more with more train rows
-UNROLLED = 128       # elements of a vector that the native plan compares as columns
+UNROLLED = 64        # elements of a vector that the native plan compares as columns, two to a column
+CODE = 1000          # length of a vector in whole numbers; products of two digits' sums are below 2^20
+CODE_BITS = 21
+CODE_BASE = 1 << CODE_BITS
 _CHUNK_CELLS = 1 << 21  # query rows * reference rows scored at once inside a cell
 
 
@@ -578,25 +581,42 @@ def _native_cells(q, r, grid, k, metric, keep_ties, carry):
     rx = (r.withColumn("rb", block_of(F.col("tid"), grid.ref_blocks, F.col("tv")))
           .withColumn("qb", replicate(grid.query_blocks)))
     parts = grid.partitions(_parallelism(q))
-
-    def in_columns(frame, vec, name, half):
-        """A column for each of the first elements, at unit length for cosine, and ``half`` of their squares."""
-        by = F.lit(1.0) if metric == EUCLIDEAN else F.sqrt(norm2(F.col(vec)))
-        frame = frame.repartition(parts, "qb", "rb").withColumn("_by", by)
-        squares = norm2(F.slice(vec, 1, max(1, width))) / F.greatest(F.col("_by") * F.col("_by"), F.lit(1e-300))
-        return frame.select(*[c for c in frame.columns if c != "_by"], half(squares * (1 - 2 * _slack(width))).alias(f"{name}_half"),
-                            F.size(vec).alias(f"{name}_size"),
-                            *[F.coalesce(F.try_divide(F.get(vec, j), F.col("_by")), F.lit(0.0)).alias(f"{name}{j}") for j in range(width)])
-
-    # |q - t|^2 = |q|^2 + |t|^2 - 2 q.t over the first elements is never above the distance; each is read once a pair
-    left = in_columns(qx, "qv", "_q", lambda squares: F.coalesce((F.col("limit") - squares) / 2, F.lit(float("inf"))))
-    right = in_columns(rx, "tv", "_t", lambda squares: F.when(F.col("t_ok"), squares / 2).otherwise(F.lit(float("-inf"))))
-    right = right.withColumnsRenamed({"qb": "t_qb", "rb": "t_rb"})
-    product = [F.col(f"_q{j}") * F.col(f"_t{j}") for j in range(width)] or [F.lit(0.0)]
+    count = (width + 1) // 2
+
+    def in_columns(frame, vec, name, ok, half, swapped):
+        """What a pair is dropped by, and the row itself as one column: ``half`` of the first elements' squares, what turns their
+        products into codes', and their codes, two whole numbers to a column; those of the right side swapped.
+
+        The loop of the join has to stay small: beyond 100 columns Spark does not compile it, and a long one is compiled badly."""
+        known = [c for c in frame.columns if c not in ("qb", "rb", "limit")]
+        frame = frame.withColumn("cell", F.col("qb").cast("long") * grid.ref_blocks + F.col("rb")).repartition(parts, "cell")
+        frame = frame.withColumn("_squares", norm2(F.col(vec))).withColumn("_first", F.sqrt(norm2(F.slice(vec, 1, max(1, width)))))
+        by = F.lit(1.0) if metric == EUCLIDEAN else F.when(F.col(ok), F.sqrt("_squares")).otherwise(1.0)
+        length = F.when(F.col("_first") > 0, F.col("_first")).otherwise(1.0)
+        code = F.transform(F.slice(vec, 1, max(1, width)), lambda x: F.rint(x / F.col("_length") * CODE))
+        # a malformed row has codes of nothing, and a half by which no pair of it is dropped
+        frame = frame.withColumn("_length", F.when(F.col(ok), length).otherwise(1.0)).withColumn("_code", F.when(F.col(ok), code))
+        low, high = (1, 0) if swapped else (0, 1)
+        at = lambda j: F.coalesce(F.get("_code", j), F.lit(0.0))
+        squares = half(F.col("_first") * F.col("_first") / (by * by) * (1 - 2 * _slack(width)))
+        return frame.select("cell", F.struct(*known).alias(f"{name}_row"), F.coalesce(squares, F.lit(float("nan"))).alias(f"{name}_half"),
+                            F.coalesce(F.when(F.col(ok), by / F.col("_length")), F.lit(1.0)).alias(f"{name}_scale"),
+                            F.coalesce(F.size(vec), F.lit(-1)).alias(f"{name}_size"),
+                            *[(at(2 * j + low) + at(2 * j + high) * float(CODE_BASE)).alias(f"{name}{j}") for j in range(count)])
+
+    left = in_columns(qx, "qv", "_q", "q_ok", lambda squares: F.coalesce((F.col("limit") - squares) / 2, F.lit(float("inf"))), False)
+    right = in_columns(rx, "tv", "_t", "t_ok", lambda squares: F.when(F.col("t_ok"), squares / 2).otherwise(F.lit(float("-inf"))), True)
+    right = right.withColumnRenamed("cell", "t_cell")
+    product = [F.col(f"_q{j}") * F.col(f"_t{j}") for j in range(count)] or [F.lit(0.0)]
     while len(product) > 1:  # a flat sum of many terms would nest too deep
         product = [sum(product[i + 1:i + 8], product[i]) for i in range(0, len(product), 8)]
-    near = (product[0] >= F.col("_t_half") - F.col("_q_half")) | (F.col("_q_size") != F.col("_t_size"))
-    pairs = left.join(right.hint("merge"), (F.col("qb") == F.col("t_qb")) & (F.col("rb") == F.col("t_rb")) & near)
+    middle = F.shiftright(F.floor(product[0] + CODE_BASE / 2), CODE_BITS)
+    middle = F.shiftright(F.shiftleft(middle, 64 - CODE_BITS), 64 - CODE_BITS)  # the middle digit, with its sign
+    # |q - t|^2 = |q|^2 + |t|^2 - 2 q.t over the first elements is never above the distance; codes are off by half a unit each
+    least = (F.col("_t_half") - F.col("_q_half")) * F.col("_t_scale") * F.col("_q_scale")
+    near = (middle >= least * float(CODE * CODE) - (CODE * math.sqrt(width) + width + 1)) | (F.col("_q_size") != F.col("_t_size"))
+    pairs = left.join(right.hint("merge"), (F.col("cell") == F.col("t_cell")) & near)
+    pairs = pairs.select("cell", "_q_row", "_t_row").select("cell", "_q_row.*", "_t_row.*")
     if metric == EUCLIDEAN:
         score = F.when(F.col("q_ok") & F.col("t_ok"), euclidean(F.col("qv"), F.col("tv")))
         key = F.coalesce("_score", F.lit(float("inf")))
@@ -605,8 +625,8 @@ def _native_cells(q, r, grid, k, metric, keep_ties, carry):
         key = F.coalesce(-F.col("_score"), F.lit(2.0))  # a null similarity sorts after every real one (-1 <= -sim <= 1 < 2)
     entry = F.struct(key.alias("key"), F.col("tid").alias("train_id"), F.col("_label").alias("train_label"),
                      F.col("_score").alias(score_name(metric)))
-    joined = (pairs.select("qid", *carry, "qb", "rb", "tid", "_label", score.alias("_score"))
-              .groupBy("qid", *carry, "qb", "rb").agg(F.collect_list(entry).alias("scored")))
+    joined = (pairs.select("qid", *carry, "cell", "tid", "_label", score.alias("_score"))
+              .groupBy("qid", *carry, "cell").agg(F.collect_list(entry).alias("scored")))
     # natural struct order: key, then train_id; a column of its own, so that it is sorted once a row
     joined = joined.withColumn("ranked", F.sort_array("scored"))
     ranked = F.col("ranked")
